@@ -1,5 +1,9 @@
-"""Scalar building blocks. Every function takes and returns Columns, so all of
-it stays inside generated JVM code."""
+"""Scalar building blocks.
+
+Each function takes SQL text of a column (or an expression) and returns a Column
+made of built-in functions, so all of it stays inside generated JVM code and a
+wide projection costs the driver one call per output column.
+"""
 
 from __future__ import annotations
 
@@ -15,18 +19,14 @@ WHOLESALE_NAME_PATTERN = "handel|trad|internation|product|materieel|wholesale"
 SCORE_TIMESTAMP_FORMAT = "MM-dd-yy hh:mm a"  # 10-24-19 09:30 AM
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def normalise_key(c) -> Column:
+def normalise_key(c: str) -> Column:
     """Lower-cased and trimmed key, the one spelling used for every join."""
-    return F.lower(F.trim(_col(c)))
+    return F.expr(f"lower(trim({c}))")
 
 
-def normalise_label(c) -> Column:
+def normalise_label(c: str) -> Column:
     """Lower-cased without any blank: ' Professional services' -> 'professionalservices'."""
-    return F.lower(F.regexp_replace(_col(c), " ", ""))
+    return F.expr(f"lower(regexp_replace({c}, ' ', ''))")
 
 
 def label_text(text: str) -> str:
@@ -34,67 +34,72 @@ def label_text(text: str) -> str:
     return text.replace(" ", "").lower()
 
 
-def in_list(c, csv: str) -> Column:
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def in_list(c: str, csv: str) -> Column:
     """Membership in a comma separated list ('NL,BE'), blanks and case ignored."""
     items = [part.strip().lower() for part in csv.split(",") if part.strip()]
-    return _col(c).isin(items)
+    if not items:
+        return F.lit(False)
+    return F.expr(f"{c} IN ({', '.join(quoted(i) for i in items)})")
 
 
-def guarded_log(c) -> Column:
+def guarded_log(c: str) -> Column:
     """log1p of a positive value; zero for NULL, zero and negative values."""
-    c = _col(c).cast("double")
-    return F.when(c > 0, F.log1p(c)).otherwise(F.lit(0.0))
+    return F.expr(f"CASE WHEN {c} > 0 THEN log1p(CAST({c} AS DOUBLE)) ELSE 0.0D END")
 
 
-def has_value(c) -> Column:
+def has_value(c: str) -> Column:
     """True for a positive value, false for NULL and the rest."""
-    return F.coalesce(_col(c) > 0, F.lit(False))
+    return F.expr(f"coalesce({c} > 0, false)")
 
 
-def not_negative(c) -> Column:
+def not_negative(c: str) -> Column:
     """NULL and negative values become zero."""
-    return F.greatest(F.coalesce(_col(c), F.lit(0)), F.lit(0))
+    return F.expr(not_negative_sql(c))
+
+
+def not_negative_sql(c: str) -> str:
+    return f"greatest(coalesce({c}, 0), 0)"
 
 
-def null_safe_sum(*cols) -> Column:
+def null_safe_sum_sql(*cols: str) -> str:
     """Row-wise sum that counts NULL as zero."""
-    total = F.lit(0)
-    for c in cols:
-        total = total + F.coalesce(_col(c), F.lit(0))
-    return total
+    return "(" + " + ".join(f"coalesce({c}, 0)" for c in cols) + ")"
 
 
-def whole_months(end, start) -> Column:
+def whole_months(end: str, start: str) -> Column:
     """Whole average months between two dates."""
-    return F.floor(F.datediff(_col(end), _col(start)) / F.lit(DAYS_PER_MONTH)).cast("int")
+    return F.expr(f"CAST(floor(datediff({end}, {start}) / {DAYS_PER_MONTH}) AS INT)")
 
 
-def is_holiday_season(c) -> Column:
-    return F.month(_col(c)).isin(*HOLIDAY_MONTHS)
+def is_holiday_season(c: str) -> Column:
+    return F.expr(f"month({c}) IN {HOLIDAY_MONTHS}")
 
 
-def sector_bucket(c) -> Column:
-    c = _col(c)
-    return F.when(c.isNull(), "Unknown").when(c == "G", "G").otherwise("NonG")
+def sector_bucket(c: str) -> Column:
+    return F.expr(f"CASE WHEN {c} IS NULL THEN 'Unknown' WHEN {c} = 'G' THEN 'G' ELSE 'NonG' END")
 
 
-def has_wholesale_name(c) -> Column:
-    return F.coalesce(F.lower(_col(c)).rlike(WHOLESALE_NAME_PATTERN), F.lit(False))
+def has_wholesale_name(c: str) -> Column:
+    return F.expr(f"coalesce(lower({c}) RLIKE '{WHOLESALE_NAME_PATTERN}', false)")
 
 
-def parse_score_timestamp(c) -> Column:
+def parse_score_timestamp(c: str) -> Column:
     """Text such as '10-24-19 09:30 AM'; NULL when it does not parse."""
-    return F.try_to_timestamp(_col(c), F.lit(SCORE_TIMESTAMP_FORMAT))
+    return F.expr(f"try_to_timestamp({c}, '{SCORE_TIMESTAMP_FORMAT}')")
 
 
-def health_score(probability) -> Column:
+def health_score(probability: str) -> Column:
     """0..100 from the probability of NO event, halves rounded to the even score."""
-    return F.bround(_col(probability) * 100, 0).cast("int")
+    return F.expr(f"CAST(bround({probability} * 100, 0) AS INT)")
 
 
-def event_probability(score) -> Column:
+def event_probability(score: str) -> Column:
     """Inverse of health_score: probability of the event."""
-    return (F.lit(100) - _col(score)) / F.lit(100.0)
+    return F.expr(f"(100 - {score}) / 100.0D")
 
 
 def add_period(date: dt.date, months: int) -> dt.date:

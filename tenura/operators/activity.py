@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.functions import guarded_log, in_list, not_negative
+from tenura.functions import guarded_log, in_list, not_negative, not_negative_sql, null_safe_sum_sql
 from tenura.operators.contracts import cohort
 from tenura.operators.grid import ACCOUNT, REF, DistinctDays, Refs, in_look_back, window_bounds
 from tenura.sources.tables import Tables
@@ -44,16 +44,17 @@ def _facts(tables: Tables, refs: Refs, window: int, countries: str | None, ids=N
     if countries is not None:
         rows = rows.where(in_list("environment", countries))
     if ids is not None:
-        rows = rows.where(F.col("activity_id").isin(*ids))
+        rows = rows.where(f"activity_id IN ({', '.join(map(str, ids))})")
     return in_look_back(rows, refs, window)
 
 
 def _sum_of(measure: str) -> Column:
-    return F.sum(F.when(F.col("activity_id").isin(*SUMS[measure]), F.col("quantity"))).alias(measure)
+    ids = ", ".join(map(str, SUMS[measure]))
+    return F.expr(f"sum(CASE WHEN activity_id IN ({ids}) THEN quantity END) AS {measure}")
 
 
 def _logins() -> Column:
-    return F.count(F.when(F.col("activity_id") == LOGIN, F.col("date"))).alias("active_days")
+    return F.expr(f"count(CASE WHEN activity_id = {LOGIN} THEN date END) AS active_days")
 
 
 def activity_measures(tables: Tables, refs: Refs, window: int, countries: str | None,
@@ -69,12 +70,12 @@ def activity_measures(tables: Tables, refs: Refs, window: int, countries: str |
         return facts.groupBy(*ACCOUNT).agg(*aggregates)
     # Reduce to one row per account, user and division first: the distinct counts
     # then work on that, not on the facts.
-    viewed = F.bool_or(F.col("activity_id") == PAGE_VIEW).alias("_viewed")
+    viewed = F.expr(f"bool_or(activity_id = {PAGE_VIEW}) AS _viewed")
     reduced = facts.groupBy(*ACCOUNT, "user_id", "division_code").agg(viewed, *aggregates)
-    again = [F.sum(m).alias(m) for m in sums] + ([F.sum("active_days").alias("active_days")] if logins else [])
+    again = [F.sum(m).alias(m) for m in [*sums, *(["active_days"] if logins else [])]]
     return reduced.groupBy(*ACCOUNT).agg(
-        F.countDistinct(F.when(F.col("_viewed"), F.col("user_id"))).alias("active_users"),
-        F.countDistinct(F.when(F.col("_viewed"), F.col("division_code"))).alias("active_divisions"),
+        F.expr("count(DISTINCT CASE WHEN _viewed THEN user_id END) AS active_users"),
+        F.expr("count(DISTINCT CASE WHEN _viewed THEN division_code END) AS active_divisions"),
         *again)
 
 
@@ -124,33 +125,27 @@ def user_roles(tables: Tables, refs: Refs, window: int, countries: str) -> DataF
     up, so the joins carry no fact rows. Users of unknown accounts count for the
     page views only.
     """
-    entrepreneur, accountant = DistinctDays("own", window), DistinctDays("other", window)
-    days = DistinctDays("days", window)
+    own, other, days = (DistinctDays(name, window) for name in ("own", "other", "days"))
     by_user = (_facts(tables, refs, window, countries, [PAGE_VIEW])
                .groupBy(*ACCOUNT, "account_id", "user_id")
                .agg(F.sum("quantity").alias("_views"), *days.of_rows()))
-    known = (tables.get("accounts").where(F.col("account_id").isNotNull()).groupBy("account_id")
-             .agg(F.bool_or(F.col("is_accountant") == "Accountant").alias("_accountant")))
-    users = (tables.get("users").join(known, "account_id")
-             .select("user_id", F.col("account_id").alias("_home"), "_accountant"))
-    own = F.col("account_id") == F.col("_home")
-    other = (F.col("account_id") != F.col("_home")) & F.col("_accountant")
+    homes = (tables.get("accounts").where("account_id IS NOT NULL").groupBy("account_id")
+             .agg(F.expr("bool_or(is_accountant = 'Accountant') AS _accountant")))
+    users = (tables.get("users").join(homes, "account_id")
+             .selectExpr("user_id", "account_id AS _home", "_accountant"))
     merged = (by_user.join(users, "user_id", "left").groupBy(*ACCOUNT)
               .agg(F.sum("_views").alias("pageviews"), F.count("_home").alias("_known"),
-                   *entrepreneur.merged(own, days), *accountant.merged(other, days)))
-    none = F.lit(None).cast("bigint")
-
-    def counted(role: DistinctDays) -> Column:
-        return F.when(role.count() > 0, role.count()).otherwise(none)
-
-    return merged.select(*ACCOUNT, "pageviews", "_known",
-                         counted(entrepreneur).alias("entrepreneur_days_active"),
-                         counted(accountant).alias("accountant_days_active"))
+                   *own.merged("account_id = _home", days),
+                   *other.merged("account_id != _home AND _accountant", days)))
+    return merged.selectExpr(
+        *ACCOUNT, "pageviews", "_known",
+        f"nullif(CAST({own.count()} AS BIGINT), 0L) AS entrepreneur_days_active",
+        f"nullif(CAST({other.count()} AS BIGINT), 0L) AS accountant_days_active")
 
 
 def user_role_days(tables: Tables, refs: Refs, window: int, countries: str) -> DataFrame:
     """Accounts with at least one known user; a role that was not active is NULL."""
-    return (user_roles(tables, refs, window, countries).where(F.col("_known") > 0)
+    return (user_roles(tables, refs, window, countries).where("_known > 0")
             .select(*ACCOUNT, "entrepreneur_days_active", "accountant_days_active"))
 
 
@@ -163,33 +158,31 @@ def linked_companies(tables: Tables, refs: Refs, window: int, countries: str) ->
     homes = (tables.get("accounts").where(in_list("environment", countries))
              .select("environment", "account_code", "account_id"))
     users = tables.get("users").join(homes, "account_id")
-    visits = (by_place.join(users, "user_id")
-              .where(F.col("account_id") != F.col("_visited")))
+    visits = by_place.join(users, "user_id").where("account_id != _visited")
     # per division first, so the distinct count is a plain count of groups
     per_division = (visits.groupBy(*ACCOUNT, "division_code")
                     .agg(F.sum("_views").alias("_views"), *days.merged()))
     merged = per_division.groupBy(*ACCOUNT).agg(
         F.count("division_code").alias("num_active_linked_companies"),
         F.sum("_views").alias("pageviews_on_linked_companies"), *days.merged())
-    return merged.select(*ACCOUNT, days.count().alias("active_days_on_linked_companies"),
-                         "num_active_linked_companies", "pageviews_on_linked_companies")
+    return merged.selectExpr(*ACCOUNT, f"CAST({days.count()} AS BIGINT) AS active_days_on_linked_companies",
+                             "num_active_linked_companies", "pageviews_on_linked_companies")
 
 
-def accountant_status(accountant_days: Column, linked: Column) -> Column:
+def accountant_status() -> Column:
     """Active, Inactive (linked but not seen) or NotLinked."""
-    seen = F.coalesce(accountant_days, F.lit(0)) > 0
-    return (F.when(seen, "Active")
-            .when(F.coalesce(linked, F.lit(False)), "Inactive").otherwise("NotLinked"))
+    return F.expr("CASE WHEN coalesce(accountant_days_active, 0) > 0 THEN 'Active' "
+                  "WHEN accountant_or_linked THEN 'Inactive' ELSE 'NotLinked' END")
 
 
 def with_accountancy_total(df: DataFrame) -> DataFrame:
-    clipped = {c: not_negative(c) for c in ACCOUNTANCY_SUMS}
-    total = sum(clipped.values(), F.lit(0))
-    return df.withColumns({**clipped, "other_accountancy_activities": total,
+    total = "(" + " + ".join(not_negative_sql(c) for c in ACCOUNTANCY_SUMS) + ")"
+    return df.withColumns({**{c: not_negative(c) for c in ACCOUNTANCY_SUMS},
+                           "other_accountancy_activities": F.expr(total),
                            "log_other_accountancy_activities": guarded_log(total)})
 
 
 def with_manufacturing_total(df: DataFrame) -> DataFrame:
-    filled = {c: F.coalesce(c, F.lit(0)) for c in MANUFACTURING_SUMS}
-    total = sum(filled.values(), F.lit(0))
-    return df.withColumns({**filled, "log_manufacturing_activities": guarded_log(total)})
+    total = null_safe_sum_sql(*MANUFACTURING_SUMS)
+    return df.withColumns({**{c: F.expr(f"coalesce({c}, 0)") for c in MANUFACTURING_SUMS},
+                           "log_manufacturing_activities": guarded_log(total)})

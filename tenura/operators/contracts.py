@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.functions import add_period, guarded_log, in_list, label_text, whole_months
-from tenura.operators.grid import ACCOUNT, REF, Refs, as_of_latest, by_ref, in_horizon, unfold
+from tenura.functions import add_period, guarded_log, in_list, label_text, quoted, whole_months
+from tenura.operators.grid import ACCOUNT, REF, Refs, by_ref, day, in_horizon, per_ref, unfold
 from tenura.sources.tables import Tables
 
 UPGRADE_EVENT = "cup"  # fixed values: contract event types
@@ -35,72 +35,60 @@ CONTRACT_FIELDS = ("date", "package_code", "event_type", "account_id", "number_o
                    "number_of_administrations", "accountant_or_linked", "mrr")
 
 
-def _contract_state(tables: Tables, refs: Refs, fields=CONTRACT_FIELDS, upgrades: bool = False) -> DataFrame:
-    """Per (environment, account): one record per reference date, still folded."""
-    record = F.struct(*fields)
-    aggregates = [as_of_latest(record, ref).alias(f"latest_{i}") for i, ref in enumerate(refs)]
-    if upgrades:
-        day = F.when(F.col("event_type") == UPGRADE_EVENT, F.col("date"))
-        aggregates += [F.max(F.when(F.col("date") <= F.lit(ref), day)).alias(f"upgrade_{i}")
-                       for i, ref in enumerate(refs)]
+def _latest(fields: tuple[str, ...]):
+    """Largest record up to a date. The record starts with the date and holds every
+    column used later, so rows of one date have one answer."""
+    record = f"struct({', '.join(fields)})"
+    return lambda ref: f"max(CASE WHEN date <= {day(ref)} THEN {record} END)"
+
+
+def _upgrade(ref: dt.date) -> str:
+    return f"max(CASE WHEN date <= {day(ref)} AND event_type = '{UPGRADE_EVENT}' THEN date END)"
+
+
+def _contract_state(tables: Tables, refs: Refs, *aggregates: Column) -> DataFrame:
+    """Per (environment, account): one column per aggregate and reference date."""
     return (tables.get("activity_daily_contracts", until=max(refs))
             .groupBy("environment", "account_code").agg(*aggregates))
 
 
 def latest_contract(tables: Tables, refs: Refs) -> DataFrame:
     """Newest contract row on or before each reference date."""
-    folded = _contract_state(tables, refs)
-    rows = unfold(folded, refs, latest=lambda i: f"latest_{i}").where(F.col("latest").isNotNull())
-    return rows.select(*ACCOUNT, *[F.col(f"latest.{c}").alias(c) for c in CONTRACT_FIELDS])
+    folded = _contract_state(tables, refs, *per_ref(refs, "latest", _latest(CONTRACT_FIELDS)))
+    return (unfold(folded, refs, "latest").where("latest IS NOT NULL")
+            .selectExpr(*ACCOUNT, *[f"latest.{c}" for c in CONTRACT_FIELDS]))
 
 
 def last_upgrade(tables: Tables, refs: Refs) -> DataFrame:
     """Date of the newest upgrade event on or before each reference date."""
-    day = F.when(F.col("event_type") == UPGRADE_EVENT, F.col("date"))
-    folded = (tables.get("activity_daily_contracts", until=max(refs))
-              .groupBy("environment", "account_code")
-              .agg(*[F.max(F.when(F.col("date") <= F.lit(ref), day)).alias(f"upgrade_{i}")
-                     for i, ref in enumerate(refs)]))
-    rows = unfold(folded, refs, last_contract_upgrade_date=lambda i: f"upgrade_{i}")
-    return rows.where(F.col("last_contract_upgrade_date").isNotNull()).select(
-        *ACCOUNT, "last_contract_upgrade_date")
+    folded = _contract_state(tables, refs, *per_ref(refs, "last_contract_upgrade_date", _upgrade))
+    return (unfold(folded, refs, "last_contract_upgrade_date").where("last_contract_upgrade_date IS NOT NULL")
+            .select(*ACCOUNT, "last_contract_upgrade_date"))
 
 
 def packages(tables: Tables, product: str) -> DataFrame:
     """Packages of one product."""
-    return (tables.get("package_classification")
-            .where(F.col("product") == label_text(product)))
+    return tables.get("package_classification").where(f"product = {quoted(label_text(product))}")
 
 
 def cohort(tables: Tables, refs: Refs, countries: str | None, product: str) -> DataFrame:
     """Accounts whose newest contract on the reference date is of the product."""
-    folded = _contract_state(tables, refs, ("date", "package_code", "account_id"))
-    rows = unfold(folded, refs, latest=lambda i: f"latest_{i}")
+    folded = _contract_state(tables, refs,
+                             *per_ref(refs, "latest", _latest(("date", "package_code", "account_id"))))
     if countries is not None:
-        rows = rows.where(in_list("environment", countries))
-    rows = rows.select(*ACCOUNT, F.col("latest.package_code").alias("package_code"),
-                       F.col("latest.account_id").alias("account_id"))
+        folded = folded.where(in_list("environment", countries))
+    rows = unfold(folded, refs, "latest").selectExpr(*ACCOUNT, "latest.package_code", "latest.account_id")
     return rows.join(packages(tables, product).select("environment", "package_code"),
                      ["environment", "package_code"]).select(*ACCOUNT, "account_id", "package_code")
 
 
-def valid_days(first_comm: Column, trial_start: Column, trial_end: Column, ref: Column, days: int) -> Column:
+def valid_days(days: int) -> str:
     """Days of the look-back window covered by the commercial contract, plus those
     of a trial that ended before it."""
-    window_start = F.date_sub(ref, days)
-    commercial = F.datediff(ref, F.greatest(first_comm, window_start)) + 1
-    had_trial = (trial_end <= first_comm) & (trial_end >= window_start)
-    trial = F.datediff(trial_end, F.greatest(trial_start, window_start)) + 1
-    return commercial + F.when(had_trial, trial).otherwise(0)
-
-
-def with_valid_days(df: DataFrame, window_contract: int, window_activities: int) -> DataFrame:
-    def days(window: int) -> Column:
-        return valid_days(F.col("first_comm_start_date"), F.col("first_trial_start_date"),
-                          F.col("latest_trial_final_date"), F.col(REF), window)
-
-    return df.withColumns({"valid_contract_days": days(window_contract),
-                           "valid_activity_days": days(window_activities)})
+    start = f"date_sub({REF}, {days})"
+    return (f"datediff({REF}, greatest(first_comm_start_date, {start})) + 1 + "
+            f"CASE WHEN latest_trial_final_date <= first_comm_start_date AND latest_trial_final_date >= {start} "
+            f"THEN datediff(latest_trial_final_date, greatest(first_trial_start_date, {start})) + 1 ELSE 0 END")
 
 
 def contract_base(tables: Tables, refs: Refs, countries: str, product: str,
@@ -112,42 +100,42 @@ def contract_base(tables: Tables, refs: Refs, countries: str, product: str,
     The three large tables meet on (environment, account) while every reference
     date is still folded into one row; only the surviving accounts are unfolded.
     """
+    classes = ", ".join(quoted(c) for c in account_classes)
     accounts = (tables.get("accounts")
                 .where(in_list("environment", countries))
-                .where(F.col("account_classification_code").isin(*account_classes))
-                .select("environment", "account_code", F.col("name").alias("account_name"),
-                        "is_anonymized", "account_classification_code", "sector_code"))
+                .where(f"account_classification_code IN ({classes})")
+                .selectExpr("environment", "account_code", "name AS account_name", "is_anonymized",
+                            "account_classification_code", "sector_code"))
+    # a cancellation on or before the first reference date, or an end by then, excludes all of them
     summary = (tables.get("accounts_contract_summary")
-               .where((F.col("had_comm_contract") == 1)
-                      & (F.col("first_comm_start_date") < F.lit(max(refs)))
-                      & (F.col("latest_comm_final_date") > F.lit(min(refs)))
-                      & (F.col("full_cancellation_request_date").isNull()
-                         | (F.col("full_cancellation_request_date") > F.lit(min(refs)))))
+               .where(f"had_comm_contract = 1 AND first_comm_start_date < {day(max(refs))} "
+                      f"AND latest_comm_final_date > {day(min(refs))} "
+                      f"AND (full_cancellation_request_date IS NULL "
+                      f"OR full_cancellation_request_date > {day(min(refs))})")
                .drop("had_comm_contract"))
-    state = _contract_state(tables, refs, upgrades=True)
+    state = _contract_state(tables, refs, *per_ref(refs, "latest", _latest(CONTRACT_FIELDS)),
+                            *per_ref(refs, "upgrade", _upgrade))
     folded = (state.join(accounts, ["environment", "account_code"])
               .join(summary, ["environment", "account_code"]))
-    rows = unfold(folded, refs, latest=lambda i: f"latest_{i}",
-                  last_contract_upgrade_date=lambda i: f"upgrade_{i}")
-    live = ((F.col("first_comm_start_date") < F.col(REF))
-            & (F.col("latest_comm_final_date") > F.col(REF))
-            & (F.col("full_cancellation_request_date").isNull()
-               | (F.col("full_cancellation_request_date") > F.col(REF))))
-    rows = rows.where(live & F.col("latest").isNotNull())
-    contract = [F.col(f"latest.{c}").alias(c) for c in CONTRACT_FIELDS if c != "date"]
-    rows = rows.select(*[c for c in rows.columns if c != "latest"], *contract)
+    rows = unfold(folded, refs, "latest", "upgrade").where(
+        f"first_comm_start_date < {REF} AND latest_comm_final_date > {REF} "
+        f"AND (full_cancellation_request_date IS NULL OR full_cancellation_request_date > {REF}) "
+        "AND latest IS NOT NULL")
+    rows = rows.selectExpr(
+        *[c for c in rows.columns if c not in ("latest", "upgrade")],
+        *[f"latest.{c}" for c in CONTRACT_FIELDS if c != "date"],
+        "coalesce(upgrade, first_comm_start_date) AS last_contract_upgrade_date")
     rows = rows.join(packages(tables, product), ["environment", "package_code"])
-    upgrade = F.coalesce("last_contract_upgrade_date", "first_comm_start_date")
     rows = rows.withColumns({
-        "last_contract_upgrade_date": upgrade,
         "tenure_in_months": whole_months(REF, "first_comm_start_date"),
-        "tenure_in_months_upgrade": whole_months(F.col(REF), upgrade),
+        "tenure_in_months_upgrade": whole_months(REF, "last_contract_upgrade_date"),
+        "valid_contract_days": F.expr(valid_days(window_contract)),
+        "valid_activity_days": F.expr(valid_days(window_activities)),
     })
-    rows = rows.withColumns({
+    return rows.withColumns({
         "log_tenure_in_months": guarded_log("tenure_in_months"),
         "log_tenure_in_months_upgrade": guarded_log("tenure_in_months_upgrade"),
     })
-    return with_valid_days(rows, window_contract, window_activities)
 
 
 def downgrade_events(tables: Tables, countries: str, product: str,
@@ -158,22 +146,19 @@ def downgrade_events(tables: Tables, countries: str, product: str,
     The lines of an event are brought together by one aggregate over their common
     key instead of joining the line table with itself.
     """
+    left_product = quoted(label_text(product))
     lines = (tables.get("contracts", since, until)
-             .where(in_list("environment", countries)
-                    & F.col("account_code").isNotNull() & F.col("event_date").isNotNull()
-                    & (F.col("event_type") == DOWNGRADE_EVENT)
-                    & (F.col("item_type") == "package")
-                    & F.col("inflow_outflow").isin("inflow", "outflow")))
+             .where(in_list("environment", countries))
+             .where(f"account_code IS NOT NULL AND event_date IS NOT NULL AND event_type = '{DOWNGRADE_EVENT}' "
+                    "AND item_type = 'package' AND inflow_outflow IN ('inflow', 'outflow')"))
     wanted = (tables.get("package_classification")
-              .where(F.col("product").isin(label_text(product), DOWNGRADE_TARGET))
+              .where(f"product IN ({left_product}, '{DOWNGRADE_TARGET}')")
               .select("environment", "package_code", "product"))
-    flow, package_product = F.col("inflow_outflow"), F.col("product")
-    events = (lines.join(wanted, ["environment", "package_code"])
-              .groupBy("environment", "account_code", "event_date")
-              .agg(F.bool_or((flow == "inflow") & (package_product == DOWNGRADE_TARGET)).alias("_came"),
-                   F.bool_or((flow == "outflow") & (package_product == label_text(product))).alias("_left")))
-    return (events.where(F.col("_came") & F.col("_left"))
-            .select("environment", "account_code", F.col("event_date").alias("downgrade_date")))
+    return (lines.join(wanted, ["environment", "package_code"])
+            .groupBy("environment", "account_code", F.col("event_date").alias("downgrade_date"))
+            .agg(F.expr(f"bool_or(inflow_outflow = 'inflow' AND product = '{DOWNGRADE_TARGET}') AS _came"),
+                 F.expr(f"bool_or(inflow_outflow = 'outflow' AND product = {left_product}) AS _left"))
+            .where("_came AND _left").drop("_came", "_left"))
 
 
 def first_downgrade(tables: Tables, refs: Refs, countries: str, product: str, period: int) -> DataFrame:
@@ -189,24 +174,20 @@ def best_setup(tables: Tables, countries: str) -> DataFrame:
 
     An unlisted setup type has no rank and no category, and precedes the ranked ones.
     """
-    def lookup(position: int, kind: str) -> Column:
-        out = None
-        for name, entry in SETUP_CATEGORIES.items():
-            test = F.col("master_data_setup_type") == name
-            out = F.when(test, entry[position]) if out is None else out.when(test, entry[position])
-        return out.cast(kind)
+    def lookup(position: int) -> str:
+        branches = " ".join(f"WHEN {quoted(name)} THEN {entry[position]!r}"
+                            for name, entry in SETUP_CATEGORIES.items())
+        return f"CASE master_data_setup_type {branches} END"
 
     events = (tables.get("divisions_master_data_setup")
-              .where(F.col("master_data_setup_type").isNotNull()
-                     & (F.col("master_data_setup_type") != TEMPORARY_SETUP))
+              .where(f"master_data_setup_type IS NOT NULL AND master_data_setup_type != '{TEMPORARY_SETUP}'")
               .select("environment", "division_code", "account_id", "master_data_setup_type"))
     created = tables.get("divisions").select("environment", "division_code", "division_created")
+    record = f"struct({lookup(0)} AS rank, division_created, {lookup(1)} AS category, environment)"
     return (events.join(created, ["environment", "division_code"])
-            .withColumns({"_rank": lookup(0, "int"), "_category": lookup(1, "string")})
-            .groupBy("account_id")
-            .agg(F.min(F.struct("_rank", "division_created", "_category", "environment")).alias("best"))
-            .where(in_list(F.col("best.environment"), countries))
-            .select("account_id", F.col("best._category").alias("master_data_setup_type")))
+            .groupBy("account_id").agg(F.expr(f"min({record}) AS best"))
+            .where(in_list("best.environment", countries))
+            .selectExpr("account_id", "best.category AS master_data_setup_type"))
 
 
 def setup_type(tables: Tables, refs: Refs, countries: str, product: str) -> DataFrame:
@@ -215,16 +196,15 @@ def setup_type(tables: Tables, refs: Refs, countries: str, product: str) -> Data
     return accounts.join(best_setup(tables, countries), "account_id").drop("account_id")
 
 
-def churned(ref_end: Column) -> Column:
+def churned(end: str) -> Column:
     """1.0 when the contract was cancelled or ended by the end of the period."""
-    gone = ((F.col("full_cancellation_request_date") <= ref_end)
-            | (F.col("latest_comm_final_date") <= ref_end))
-    return F.when(gone, 1.0).otherwise(0.0)
+    return F.expr(f"CASE WHEN full_cancellation_request_date <= {end} OR latest_comm_final_date <= {end} "
+                  "THEN 1.0D ELSE 0.0D END")
 
 
 def downgraded() -> Column:
-    return F.when(F.col("downgrade_date").isNotNull(), 1.0).otherwise(0.0)
+    return F.expr("CASE WHEN downgrade_date IS NOT NULL THEN 1.0D ELSE 0.0D END")
 
 
 def with_churn_label(df: DataFrame, refs: Refs, period: int) -> DataFrame:
-    return df.withColumn("churned", churned(by_ref(refs, lambda ref: add_period(ref, period))))
+    return df.withColumn("churned", churned(by_ref(refs, lambda ref: day(add_period(ref, period)))))

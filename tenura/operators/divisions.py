@@ -12,16 +12,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.functions import guarded_log, has_value, in_list, not_negative, null_safe_sum
+from tenura.functions import guarded_log, has_value, in_list, not_negative, not_negative_sql
 from tenura.operators.contracts import cohort
-from tenura.operators.grid import ACCOUNT, REF, Refs, as_of_latest, in_look_back, unfold, window_bounds
+from tenura.operators.grid import (
+    ACCOUNT, REF, LatestInt, Refs, day, in_look_back, in_window, per_ref, unfold, window_bounds,
+)
 from tenura.sources.tables import Tables
 
 BLOCKED_FROM = 100  # fixed value: blocking status of a closed division
 DIVISION = ["environment", "division_code"]
 
 BANKS = ("abnamro_bank_accounts", "ing_bank_accounts", "rabo_bank_accounts")
-SNAPSHOT_STATE = (*BANKS, "automatic_bank_link", "currency_count")
+# state of the newest snapshot -> its value; several snapshots of one day count as
+# one with the largest values
+SNAPSHOT_STATE = {
+    "big3_bank_account": "CASE WHEN " + " OR ".join(f"{bank} > 0" for bank in BANKS) + " THEN 1 ELSE 0 END",
+    "bank_link": "automatic_bank_link",
+    "currency_count": "currency_count",
+}
 GROWTH = ("quote_count", "customer_count", "supplier_count", "sales_invoice_count",
           "stock_count_entry_count", "sales_order_entry_count", "purchase_order_entry_count",
           "delivery_entry_count", "item_count", "sales_price_list_count")
@@ -48,22 +56,22 @@ LOGGED_FINANCIAL = ("gl_transactions", "purchase_entry_count", "bank_entry_count
                     "num_activated_divisions")
 
 
-def _snapshots(tables: Tables, refs: Refs, window: int, countries: str,
-               state: Sequence[str], growth: Sequence[str]) -> DataFrame:
-    """Per division, folded: newest snapshot on or before each reference date and
-    first snapshot inside its window. The newest one also is the last of the window
-    when it falls inside it."""
-    rows = (tables.get("division_statistics_daily", None if state else window_bounds(refs, window)[0], max(refs))
+def _snapshots(tables: Tables, refs: Refs, window: int, countries: str, state: bool, growth: bool) -> DataFrame:
+    """Per division, folded: the newest snapshot on or before each reference date
+    and the first and last one inside its window. One pass over the snapshots."""
+    since = None if state else window_bounds(refs, window)[0]
+    rows = (tables.get("division_statistics_daily", since, max(refs))
             .where(in_list("environment", countries)))
+    aggregates = []
+    if state:
+        for name, value in SNAPSHOT_STATE.items():
+            packed = LatestInt.pack(value)
+            aggregates += per_ref(refs, name, lambda ref: f"max(CASE WHEN date <= {day(ref)} THEN {packed} END)")
     if growth:
-        rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in growth})
-    newest = F.struct("date", *state, *growth)
-    aggregates = [as_of_latest(newest, ref).alias(f"newest_{i}") for i, ref in enumerate(refs)]
-    if growth:
-        first = F.struct("date", *growth)
-        aggregates += [
-            F.min(F.when(F.col("date").between(F.lit(ref - dt.timedelta(days=window)), F.lit(ref)), first))
-            .alias(f"first_{i}") for i, ref in enumerate(refs)]
+        record = "struct(date, " + ", ".join(f"coalesce({c}, 0L) AS {c}" for c in GROWTH) + ")"
+        for name, function in (("first", "min"), ("last", "max")):
+            aggregates += per_ref(
+                refs, name, lambda ref: f"{function}(CASE WHEN {in_window(ref, window)} THEN {record} END)")
     return rows.groupBy(*DIVISION).agg(*aggregates)
 
 
@@ -73,14 +81,13 @@ def _changes(tables: Tables, refs: Refs, window: int, countries: str, counters:
     rows = (tables.get("division_statistics_daily_changes", since, until)
             .where(in_list("environment", countries)))
     return (in_look_back(rows, refs, window).groupBy(REF, *DIVISION)
-            .agg(F.count(F.lit(1)).alias("_change_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in counters]))
+            .agg(F.expr("count(1) AS _change_rows"), *[F.expr(f"sum({c}) AS _sum_{c}") for c in counters]))
 
 
 def _open_divisions(tables: Tables, countries: str, refs: Refs) -> DataFrame:
     return (tables.get("divisions")
-            .where(in_list("environment", countries)
-                   & (F.col("blocking_status_code") < BLOCKED_FROM)
-                   & (F.col("deleted").isNull() | (F.col("deleted") >= F.lit(min(refs)))))
+            .where(in_list("environment", countries))
+            .where(f"blocking_status_code < {BLOCKED_FROM} AND (deleted IS NULL OR deleted >= {day(min(refs))})")
             .select(*DIVISION, "account_id", "deleted"))
 
 
@@ -98,57 +105,53 @@ def division_measures(tables: Tables, refs: Refs, window: int, countries: str, f
                                    *(PROJECTS.values() if projects else ())]))
     if financial:
         summary = (tables.get("division_statistics_summary")
-                   .select(*DIVISION, "sales_invoice_first_date", F.lit(True).alias("_has_summary")))
+                   .selectExpr(*DIVISION, "sales_invoice_first_date", "true AS _has_summary"))
         divisions = divisions.join(summary, DIVISION, "left")
     if financial or growth:
-        folded = _snapshots(tables, refs, window, countries,
-                            SNAPSHOT_STATE if financial else (), GROWTH if growth else ())
-        divisions = divisions.join(folded, DIVISION, "left")
-        names = {"newest": lambda i: f"newest_{i}"}
-        if growth:
-            names["first"] = lambda i: f"first_{i}"
-        rows = unfold(divisions, refs, **names)
+        folded = _snapshots(tables, refs, window, countries, financial, growth)
+        names = [*(SNAPSHOT_STATE if financial else ()), *(("first", "last") if growth else ())]
+        rows = unfold(divisions.join(folded, DIVISION, "left"), refs, *names)
         if not projects:
-            rows = rows.where(F.col("newest").isNotNull())
+            # a snapshot in the window implies one on or before its end
+            rows = rows.where("big3_bank_account IS NOT NULL" if financial else "first IS NOT NULL")
     else:
         rows = unfold(divisions, refs)
-    rows = rows.where(F.col("deleted").isNull() | (F.col("deleted") >= F.col(REF)))
+    rows = rows.where(f"deleted IS NULL OR deleted >= {REF}")
     if counters:
         changes = _changes(tables, refs, window, countries, counters)
         how = "left" if financial or growth else "inner"
         rows = rows.join(changes, [REF, *DIVISION], how)
 
-    strictly_open = F.col("deleted").isNull() | (F.col("deleted") > F.col(REF))
+    still_open = f"(deleted IS NULL OR deleted > {REF})"
     aggregates: list[Column] = []
+
+    def measure(function: str, valid: str, value: str, name: str) -> None:
+        aggregates.append(F.expr(f"{function}(CASE WHEN {valid} THEN {value} END) AS {name}"))
+
     if financial:
-        valid = F.col("newest").isNotNull() & F.col("_has_summary")
-        big3 = F.lit(False)
-        for bank in BANKS:
-            big3 = big3 | F.coalesce(F.col(f"newest.{bank}") > 0, F.lit(False))
-        invoiced = F.coalesce(F.col("sales_invoice_first_date") <= F.col(REF), F.lit(False))
-        aggregates += [
-            F.countDistinct(F.when(valid, F.col("division_code"))).alias("num_activated_divisions"),
-            F.max(F.when(valid, big3.cast("int"))).alias("big3_bank_account"),
-            F.max(F.when(valid, F.col("newest.automatic_bank_link"))).alias("bank_link"),
-            F.max(F.when(valid, invoiced.cast("int"))).alias("ever_sent_invoice"),
-            F.max(F.when(valid, F.col("newest.currency_count"))).alias("currency_count"),
-            F.count(F.when(valid, F.lit(1))).alias("_financial"),
-            *[F.sum(F.when(valid, F.col(f"_sum_{c}"))).alias(f"fin_{out}") for out, c in FINANCIAL.items()],
-        ]
+        # every snapshot has a packed flag, so a NULL one means there is no snapshot
+        valid = "big3_bank_account IS NOT NULL AND _has_summary"
+        aggregates.append(F.expr(f"count(DISTINCT CASE WHEN {valid} THEN division_code END) AS num_activated_divisions"))
+        for name in SNAPSHOT_STATE:
+            measure("max", valid, LatestInt.unpack(name), name)
+        measure("max", valid, f"CASE WHEN sales_invoice_first_date <= {REF} THEN 1 ELSE 0 END", "ever_sent_invoice")
+        measure("count", valid, "1", "_financial")
+        for out, c in FINANCIAL.items():
+            measure("sum", valid, f"_sum_{c}", f"fin_{out}")
     if growth:
-        valid = strictly_open & F.col("first").isNotNull()
-        aggregates += [F.sum(F.when(valid, F.col(f"newest.{c}") - F.col(f"first.{c}"))).alias(f"growth_{c}")
-                       for c in GROWTH]
-        aggregates.append(F.count(F.when(valid, F.lit(1))).alias("_growth"))
+        valid = f"{still_open} AND first IS NOT NULL"
+        for c in GROWTH:
+            measure("sum", valid, f"last.{c} - first.{c}", f"growth_{c}")
+        measure("count", valid, "1", "_growth")
     if projects:
-        valid = strictly_open & F.col("_change_rows").isNotNull()
-        aggregates += [F.sum(F.when(valid, F.col(f"_sum_{c}"))).alias(f"project_{out}")
-                       for out, c in PROJECTS.items()]
-        aggregates.append(F.count(F.when(valid, F.lit(1))).alias("_projects"))
+        valid = f"{still_open} AND _change_rows IS NOT NULL"
+        for out, c in PROJECTS.items():
+            measure("sum", valid, f"_sum_{c}", f"project_{out}")
+        measure("count", valid, "1", "_projects")
     measures = rows.groupBy(REF, "account_id").agg(*aggregates)
     if financial:
         measures = measures.withColumn(
-            "num_activated_divisions", F.when(F.col("_financial") > 0, F.col("num_activated_divisions")))
+            "num_activated_divisions", F.expr("CASE WHEN _financial > 0 THEN num_activated_divisions END"))
     return measures
 
 
@@ -165,22 +168,22 @@ def _cohort(tables: Tables, refs: Refs, product: str) -> DataFrame:
 
 def financial_statistics(tables: Tables, refs: Refs, window: int, countries: str, product: str) -> DataFrame:
     measures = division_measures(tables, refs, window, countries, financial=True)
-    rows = _per_account(measures.where(F.col("_financial") > 0), _cohort(tables, refs, product))
-    return rows.select(*ACCOUNT, "num_activated_divisions", *FINANCIAL_FLAGS,
-                       *[F.col(f"fin_{out}").alias(out) for out in FINANCIAL])
+    rows = _per_account(measures.where("_financial > 0"), _cohort(tables, refs, product))
+    return rows.selectExpr(*ACCOUNT, "num_activated_divisions", *FINANCIAL_FLAGS,
+                           *[f"fin_{out} AS {out}" for out in FINANCIAL])
 
 
 def growth_statistics(tables: Tables, refs: Refs, window: int, countries: str, product: str) -> DataFrame:
     """Last minus first snapshot of the window, summed over divisions."""
     measures = division_measures(tables, refs, window, countries, growth=True)
-    rows = _per_account(measures.where(F.col("_growth") > 0), _cohort(tables, refs, product))
-    return rows.select(*ACCOUNT, *[F.col(f"growth_{c}").alias(c) for c in GROWTH])
+    rows = _per_account(measures.where("_growth > 0"), _cohort(tables, refs, product))
+    return rows.selectExpr(*ACCOUNT, *[f"growth_{c} AS {c}" for c in GROWTH])
 
 
 def project_statistics(tables: Tables, refs: Refs, window: int, countries: str, product: str) -> DataFrame:
     measures = division_measures(tables, refs, window, countries, projects=True)
-    rows = _per_account(measures.where(F.col("_projects") > 0), _cohort(tables, refs, product))
-    return rows.select(*ACCOUNT, *[F.col(f"project_{out}").alias(out) for out in PROJECTS])
+    rows = _per_account(measures.where("_projects > 0"), _cohort(tables, refs, product))
+    return rows.selectExpr(*ACCOUNT, *[f"project_{out} AS {out}" for out in PROJECTS])
 
 
 def with_financial_features(df: DataFrame) -> DataFrame:
@@ -195,14 +198,14 @@ def with_growth_logs(df: DataFrame) -> DataFrame:
 
 def with_project_features(df: DataFrame) -> DataFrame:
     clipped = ("project_total_time_entries", "project_total_cost_entries_count", *PROJECT_TYPES)
-    df = df.withColumns({c: not_negative(c) for c in clipped})
-    entries = null_safe_sum("project_total_time_entries", "project_total_cost_entries_count")
-    count = null_safe_sum(*PROJECT_TYPES)
+    entries = " + ".join(not_negative_sql(c) for c in clipped[:2])
+    count = " + ".join(not_negative_sql(c) for c in PROJECT_TYPES)
     return df.withColumns({
-        "project_time_cost_entries_count": entries,
-        "projects_count": count,
-        "log_project_time_cost_entries_count": guarded_log(entries),
-        "log_projects_count": guarded_log(count),
+        **{c: not_negative(c) for c in clipped},
+        "project_time_cost_entries_count": F.expr(entries),
+        "projects_count": F.expr(count),
+        "log_project_time_cost_entries_count": guarded_log(f"({entries})"),
+        "log_projects_count": guarded_log(f"({count})"),
     })
 
 
@@ -221,13 +224,11 @@ def without_default_entries(df: DataFrame) -> DataFrame:
     at least as many of every kind, by the thresholds of their own country."""
     columns = {}
     for name in DEFAULT_ENTRIES["nl"]:
-        adjusted = F.col(name)
+        branches = []
         for country, defaults in DEFAULT_ENTRIES.items():
-            opened = ((F.col("environment") == country)
-                      & (F.col("tenure_in_months") < DEFAULT_ENTRIES_BELOW_MONTHS))
-            for other, threshold in defaults.items():
-                opened = opened & (F.col(other) >= threshold)
-            adjusted = F.when(opened, F.col(name) - defaults[name]).otherwise(adjusted)
-        columns[name] = adjusted
-    out = df.withColumns(columns)
-    return out.withColumns({f"log_{name}": guarded_log(name) for name in columns})
+            reached = " AND ".join(f"{other} >= {threshold}" for other, threshold in defaults.items())
+            branches.append(f"WHEN environment = '{country}' AND tenure_in_months < {DEFAULT_ENTRIES_BELOW_MONTHS} "
+                            f"AND {reached} THEN {name} - {defaults[name]}")
+        columns[name] = F.expr(f"CASE {' '.join(branches)} ELSE {name} END")
+    return (df.withColumns(columns)
+            .withColumns({f"log_{name}": guarded_log(name) for name in columns}))

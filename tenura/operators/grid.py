@@ -11,7 +11,7 @@ for prediction). Facts are scanned once for all of them:
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,59 +21,81 @@ REF = "reference_date"
 ACCOUNT = [REF, "environment", "account_code"]
 
 
+def day(date: dt.date) -> str:
+    return f"DATE '{date}'"
+
+
 def window_bounds(refs: Refs, days: int) -> tuple[dt.date, dt.date]:
     """Earliest and latest day any look-back window needs."""
     return min(refs) - dt.timedelta(days=days), max(refs)
 
 
-def _tagged(df: DataFrame, refs: Refs, inside) -> DataFrame:
-    if len(refs) == 1:
-        return df.where(inside(refs[0])).withColumn(REF, F.lit(refs[0]))
-    hits = F.array(*[F.when(inside(ref), F.lit(ref)) for ref in refs])
-    return df.withColumn(REF, F.explode(hits)).where(F.col(REF).isNotNull())
+def in_window(ref: dt.date, days: int, date: str = "date") -> str:
+    """SQL test for [ref - days, ref], both ends included."""
+    return f"{date} BETWEEN {day(ref - dt.timedelta(days=days))} AND {day(ref)}"
+
+
+def _tagged(df: DataFrame, tests: dict[dt.date, str]) -> DataFrame:
+    if len(tests) == 1:
+        (ref, test), = tests.items()
+        return df.where(test).withColumn(REF, F.lit(ref))
+    hits = ", ".join(f"CASE WHEN {test} THEN {day(ref)} END" for ref, test in tests.items())
+    return df.selectExpr("*", f"explode(array({hits})) AS {REF}").where(f"{REF} IS NOT NULL")
 
 
 def in_look_back(df: DataFrame, refs: Refs, days: int, date: str = "date") -> DataFrame:
-    """Rows dated in [ref - days, ref], once per reference date, both ends included."""
-    return _tagged(df, refs, lambda ref: F.col(date).between(
-        F.lit(ref - dt.timedelta(days=days)), F.lit(ref)))
+    """Rows dated in [ref - days, ref], once per reference date."""
+    return _tagged(df, {ref: in_window(ref, days, date) for ref in refs})
 
 
 def in_horizon(df: DataFrame, ends: dict[dt.date, dt.date], date: str) -> DataFrame:
     """Rows dated in [ref, end of ref], once per reference date, both ends included."""
-    return _tagged(df, list(ends), lambda ref: F.col(date).between(F.lit(ref), F.lit(ends[ref])))
-
+    return _tagged(df, {ref: f"{date} BETWEEN {day(ref)} AND {day(end)}" for ref, end in ends.items()})
 
 
-def as_of_latest(record: Column, ref: dt.date, date: str = "date") -> Column:
-    """Aggregate: largest record dated on or before ref. The record starts with
-    the date and holds every column used later, so equal dates have one answer."""
-    return F.max(F.when(F.col(date) <= F.lit(ref), record))
+def per_ref(refs: Refs, name: str, aggregate: Callable[[dt.date], str]) -> list[Column]:
+    """One aggregate per reference date, named name_0, name_1, ..."""
+    return [F.expr(f"{aggregate(ref)} AS {name}_{i}") for i, ref in enumerate(refs)]
 
 
-def unfold(df: DataFrame, refs: Refs, **per_ref) -> DataFrame:
-    """Turn per-reference-date columns into rows: per_ref maps an output name to
-    a function from the position in refs to the input column name."""
-    entries = F.array(*[
-        F.struct(F.lit(ref).alias(REF), *[F.col(name(i)).alias(out) for out, name in per_ref.items()])
-        for i, ref in enumerate(refs)])
-    used = {name(i) for name in per_ref.values() for i in range(len(refs))}
-    rest = [c for c in df.columns if c not in used]
+def unfold(df: DataFrame, refs: Refs, *names: str) -> DataFrame:
+    """Turn the columns of per_ref into one row per reference date."""
+    folded = {f"{name}_{i}" for name in names for i in range(len(refs))}
+    rest = [c for c in df.columns if c not in folded]
+    entries = ", ".join(
+        "struct(" + ", ".join([f"{day(ref)} AS {REF}", *[f"{name}_{i} AS {name}" for name in names]]) + ")"
+        for i, ref in enumerate(refs))
     if len(refs) == 1:
-        return df.select(*rest, F.lit(refs[0]).alias(REF),
-                         *[F.col(name(0)).alias(out) for out, name in per_ref.items()])
-    return df.select(*rest, F.inline(entries))
+        return df.selectExpr(*rest, f"{day(refs[0])} AS {REF}", *[f"{name}_0 AS {name}" for name in names])
+    return df.selectExpr(*rest, f"inline(array({entries}))")
 
 
-def by_ref(refs: Refs, value) -> Column:
-    """A literal that depends on the row's reference date."""
+def by_ref(refs: Refs, value: Callable[[dt.date], str]) -> str:
+    """SQL literal that depends on the row's reference date."""
     if len(refs) == 1:
-        return F.lit(value(refs[0]))
-    out = None
-    for ref in refs:
-        test = F.col(REF) == F.lit(ref)
-        out = F.when(test, F.lit(value(ref))) if out is None else out.when(test, F.lit(value(ref)))
-    return out
+        return value(refs[0])
+    return "CASE " + " ".join(f"WHEN {REF} = {day(ref)} THEN {value(ref)}" for ref in refs) + " END"
+
+
+class LatestInt:
+    """Value of an integer column on the latest day, as an aggregate on one long.
+
+    Day and value are packed into a long whose order is (day, value), so `max`
+    finds the latest day and, among rows of that day, the largest value. The buffer
+    is a fixed-width number: the aggregate hashes and combines on the map side,
+    where the maximum of a struct would have to sort the whole history first.
+    """
+
+    SPAN = 2 ** 34  # room for every int and for NULL, which is zero
+
+    @classmethod
+    def pack(cls, value: str, date: str = "date") -> str:
+        return f"unix_date({date}) * {cls.SPAN}L + coalesce(CAST({value} AS BIGINT) + {2 ** 31 + 1}L, 0L)"
+
+    @classmethod
+    def unpack(cls, packed: str) -> str:
+        return (f"CAST(CASE WHEN pmod({packed}, {cls.SPAN}L) > 0 "
+                f"THEN pmod({packed}, {cls.SPAN}L) - {2 ** 31 + 1}L END AS INT)")
 
 
 class DistinctDays:
@@ -85,35 +107,20 @@ class DistinctDays:
     """
 
     def __init__(self, name: str, days: int):
-        self.name = name
-        self.words = (days + 64) // 64
-
-    def columns(self) -> list[str]:
-        return [f"_{self.name}_{word}" for word in range(self.words)]
+        self.columns = [f"_{name}_{word}" for word in range((days + 64) // 64)]
 
-    def of_rows(self, condition: Column | None = None) -> list[Column]:
+    def of_rows(self) -> list[Column]:
         """First aggregate, over rows that carry `date` and the reference date."""
-        offset = F.datediff(F.col(REF), F.col("date"))
-        out = []
-        for word, column in enumerate(self.columns()):
-            inside = (offset >= 64 * word) & (offset < 64 * (word + 1))
-            if condition is not None:
-                inside = inside & condition
-            bit = F.expr("shiftleft(1L, datediff(reference_date, date) - {})".format(64 * word))
-            out.append(F.bit_or(F.when(inside, bit)).alias(column))
-        return out
-
-    def merged(self, condition: Column | None = None, source: DistinctDays | None = None) -> list[Column]:
+        offset = f"datediff({REF}, date)"
+        return [F.expr(f"bit_or(CASE WHEN {offset} BETWEEN {64 * word} AND {64 * word + 63} "
+                       f"THEN shiftleft(1L, {offset} - {64 * word}) END) AS {column}")
+                for word, column in enumerate(self.columns)]
+
+    def merged(self, condition: str = "true", source: DistinctDays | None = None) -> list[Column]:
         """Second aggregate, over the bit sets of the first."""
-        out = []
-        for column, stored in zip(self.columns(), (source or self).columns()):
-            c = F.col(stored)
-            out.append(F.bit_or(c if condition is None else F.when(condition, c)).alias(column))
-        return out
+        return [F.expr(f"bit_or(CASE WHEN {condition} THEN {stored} END) AS {column}")
+                for column, stored in zip(self.columns, (source or self).columns)]
 
-    def count(self) -> Column:
+    def count(self) -> str:
         """Number of distinct days, zero when there was none."""
-        total = F.lit(0).cast("bigint")
-        for column in self.columns():
-            total = total + F.coalesce(F.bit_count(F.col(column)), F.lit(0))
-        return total
+        return "(" + " + ".join(f"coalesce(bit_count({c}), 0)" for c in self.columns) + ")"

@@ -63,7 +63,7 @@ def old_churn_scores(tables: Tables, past_date: dt.date, countries: str, product
     return rows.select(
         "account_code", "environment", "health_score", "product", "phase", predicted.alias("predict_date"),
         "full_cancellation_request_date", "latest_comm_final_date",
-        churned(F.add_months(predicted, period)).alias("label"),
+        churned(f"add_months(to_date(predict_date), {period})").alias("label"),
         event_probability("health_score").alias("prob"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions import (
-    guarded_log, has_value, has_wholesale_name, is_holiday_season, null_safe_sum, sector_bucket,
+    guarded_log, has_value, has_wholesale_name, is_holiday_season, null_safe_sum_sql, quoted, sector_bucket,
 )
 from tenura.operators import activity, contracts, divisions
 from tenura.operators.grid import ACCOUNT, REF, Refs
@@ -61,11 +61,11 @@ def base_accounts(tables: Tables, refs: Refs, spec: ProductSpec) -> DataFrame:
     base = contracts.contract_base(tables, refs, spec.countries, spec.product,
                                    spec.window_contract, spec.window_activities)
     if spec.min_tenure is not None:
-        base = base.where(F.col("tenure_in_months") >= spec.min_tenure)
+        base = base.where(f"tenure_in_months >= {spec.min_tenure}")
     if spec.below_tenure is not None:
-        base = base.where(F.col("tenure_in_months") < spec.below_tenure)
+        base = base.where(f"tenure_in_months < {spec.below_tenure}")
     if spec.excluded_edition is not None:
-        base = base.where(~F.col("edition").eqNullSafe(spec.excluded_edition))
+        base = base.where(f"NOT (edition <=> {quoted(spec.excluded_edition)})")
     return base
 
 
@@ -74,8 +74,8 @@ def with_activity(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec,
     if recipe.roles:
         roles = activity.user_roles(tables, refs, window, countries).drop("_known")
         df = df.join(roles, ACCOUNT, "left").withColumns({
-            "accountant_days_active": F.coalesce("accountant_days_active", F.lit(0)),
-            "accountant": activity.accountant_status(F.col("accountant_days_active"), F.col("accountant_or_linked")),
+            "accountant_days_active": F.expr("coalesce(accountant_days_active, 0)"),
+            "accountant": activity.accountant_status(),
             "entrepreneur_active": has_value("entrepreneur_days_active"),
             "log_pageviews": guarded_log("pageviews"),
         })
@@ -84,12 +84,13 @@ def with_activity(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec,
                                               recipe.logins, recipe.actives)
         df = df.join(measures, ACCOUNT, "left")
     if recipe.logins:
-        days = F.coalesce("active_days", F.lit(0))
-        df = df.withColumns({"active_days": days, "login_freq": F.try_divide(days, F.col("valid_activity_days"))})
+        days = "coalesce(active_days, 0)"
+        df = df.withColumns({"active_days": F.expr(days),
+                             "login_freq": F.expr(f"try_divide({days}, valid_activity_days)")})
     if "use_mobile" in recipe.sums:
-        df = df.withColumn("recent_use_mobile", F.col("use_mobile").isNotNull())
+        df = df.withColumn("recent_use_mobile", F.expr("use_mobile IS NOT NULL"))
     if recipe.actives:
-        df = df.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("active_users", "active_divisions")})
+        df = df.withColumns({c: F.expr(f"coalesce({c}, 0)") for c in ("active_users", "active_divisions")})
     if recipe.linked:
         linked = activity.linked_companies(tables, refs, window, countries)
         df = df.join(linked, ACCOUNT, "left").withColumns({
@@ -129,12 +130,12 @@ def features(tables: Tables, refs: Refs, spec: ProductSpec, label: bool = True)
     if recipe.setup:
         setup = contracts.best_setup(tables, spec.countries)
         df = df.join(setup, "account_id", "left").withColumn(
-            "master_data_setup_type", F.coalesce("master_data_setup_type", F.lit("Unknown")))
+            "master_data_setup_type", F.expr("coalesce(master_data_setup_type, 'Unknown')"))
         df = divisions.without_default_entries(df)
     if spec.name == "accountancy":
         df = df.fillna(0, ["sales_invoice", "project_total_time_entries"])
         df = df.withColumn("log_time_sales_invoice_entry", guarded_log(
-            null_safe_sum("sales_invoice", "project_total_time_entries")))
+            null_safe_sum_sql("sales_invoice", "project_total_time_entries")))
     elif spec.name == "manufacturing":
         df = df.withColumn("log_stock_count_entry_count", guarded_log("stock_count_entry"))
     elif spec.name == "professional_services":

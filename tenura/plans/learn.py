@@ -168,9 +168,8 @@ def score(model, data: DataFrame, predictors) -> DataFrame:
     frame = data.withColumns({f"_in_{c}": F.col(c) for c in predictors if c in KEYS})
     scored = model.transform(prepared(frame, predictors))
     restored = [F.col(f"_in_{c}").alias(c) if c in predictors and c in KEYS else F.col(c) for c in keep]
-    probability = vector_to_array("probability")
-    return scored.select(*restored, probability[1].alias("event_probability"),
-                         health_score(probability[0]).alias("health_score"))
+    return (scored.withColumn("_p", vector_to_array("probability"))
+            .select(*restored, F.expr("_p[1] AS event_probability"), health_score("_p[0]").alias("health_score")))
 
 
 def area_under_roc(scored: DataFrame, label: str, probability: str = "event_probability") -> float:

@@ -12,11 +12,11 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tenura.functions.scalars import normalise_key, normalise_label, parse_score_timestamp
+from tenura.functions.scalars import parse_score_timestamp
 
 SCHEMAS: dict[str, str] = {
     "accounts": "environment string, account_code string, account_id string, name string, "
@@ -95,8 +95,8 @@ DATE_COLUMNS = {
     "division_statistics_daily_changes": "date",
 }
 
-# Column the reader filters on for [from, until], both ends included.
-Bounds = Callable[[dt.date | None, dt.date | None], list[Column]]
+# SQL predicates on the stored columns for [since, until], both ends included.
+Bounds = Callable[[dt.date | None, dt.date | None], list[str]]
 
 
 def column_names(table: str) -> list[str]:
@@ -118,25 +118,27 @@ def spellings(name: str) -> list[str]:
 
 def normalised(table: str, df: DataFrame) -> DataFrame:
     """Schema order, declared types, one spelling per key. Absent columns are NULL."""
-    present = {c.lower(): c for c in df.columns}
+    present = {field.name.lower(): field for field in df.schema.fields}
     out = []
     for name in column_names(table):
         kind = column_type(table, name)
-        stored = next((present[s] for s in spellings(name) if s in present), None)
-        if stored is None:
-            c = F.lit(None).cast(kind)
-        elif isinstance(df.schema[stored].dataType, StringType):
-            c = F.col(stored).try_cast(kind)  # bad text is NULL, also under ANSI rules
+        field = next((present[s] for s in spellings(name) if s in present), None)
+        if field is None:
+            text = f"CAST(NULL AS {kind})"
+        elif field.dataType.simpleString() == kind:
+            text = f"`{field.name}`"
         else:
-            c = F.col(stored).cast(kind)
+            # bad text is NULL, also under ANSI rules; a number that does not fit is an error
+            cast = "try_cast" if isinstance(field.dataType, StringType) else "cast"
+            text = f"{cast}(`{field.name}` AS {kind})"
         if name in KEY_COLUMNS:
-            c = normalise_key(c)
+            text = f"lower(trim({text}))"
         elif name in LABEL_COLUMNS:
-            c = normalise_label(c)
+            text = f"lower(regexp_replace({text}, ' ', ''))"
         elif name in TEXT_COLUMNS:
-            c = F.trim(c)
-        out.append(c.alias(name))
-    return df.select(*out)
+            text = f"trim({text})"
+        out.append(f"{text} AS {name}")
+    return df.selectExpr(*out)
 
 
 @dataclass(frozen=True)
@@ -180,16 +182,15 @@ class Tables:
         """Rows of a table dated in [since, until]; both ends included, None is open."""
         stored = self._stored[name]
         raw = stored.read()
-        for predicate in (stored.bounds(since, until) if stored.bounds else []):
-            raw = raw.where(predicate)
+        predicates = stored.bounds(since, until) if stored.bounds else []
+        if predicates:
+            raw = raw.where(" AND ".join(predicates))
         if stored.project:
             raw = stored.project(raw)
         df = normalised(name, raw)
-        if since is not None:
-            df = df.where(F.col(DATE_COLUMNS[name]) >= F.lit(since))
-        if until is not None:
-            df = df.where(F.col(DATE_COLUMNS[name]) <= F.lit(until))
-        return df
+        limits = [f"{DATE_COLUMNS[name]} {sign} DATE '{day}'"
+                  for sign, day in ((">=", since), ("<=", until)) if day is not None]
+        return df.where(" AND ".join(limits)) if limits else df
 
     def register_views(self, prefix: str = "") -> None:
         """Temporary views for parameterised SQL text."""

@@ -13,8 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tenura.sources.tables import Stored, Tables
 
@@ -244,49 +243,57 @@ def classification_sql() -> str:
     return (f"SELECT * FROM (VALUES {rows}) AS v(environment, package_code, product, edition, solution)")
 
 
-def _bounds(mapping: Mapping, df: DataFrame):
+def _bounds(mapping: Mapping):
+    """Translate logical date bounds to the stored column, as pushable comparisons."""
     column = mapping.bound_column
     if column is None:
         return None
-    kind = df.schema[column].dataType.simpleString()
 
-    def instant(day: dt.date, hours: int = 0) -> Column:
+    def instant(day: dt.date, hours: int = 0) -> str:
         moment = dt.datetime.combine(day, dt.time()) + dt.timedelta(hours=hours)
-        return F.lit(moment.isoformat(sep=" ")).cast(kind)
+        return f"TIMESTAMP_NTZ '{moment}'"
 
-    def shift(since, until) -> list[Column]:
+    def shift(since, until) -> list[str]:
         out = []
         if since is not None:
-            out.append(F.col(column) >= instant(since - dt.timedelta(days=SHIFT_DAYS)))
+            out.append(f"{column} >= {instant(since - dt.timedelta(days=SHIFT_DAYS))}")
         if until is not None:
-            out.append(F.col(column) < instant(until - dt.timedelta(days=SHIFT_DAYS - 1)))
+            out.append(f"{column} < {instant(until - dt.timedelta(days=SHIFT_DAYS - 1))}")
         return out
 
-    def spread(since, until) -> list[Column]:
+    def spread(since, until) -> list[str]:
         # one logical day is 24 / SPREAD stored hours; widened by two hours, the date filter is exact
         out = []
         if since is not None:
             hours = (REFERENCE_DATE - since).days * 24 // SPREAD + 24 // SPREAD + 3
-            out.append(F.col(column) >= instant(REFERENCE_DATE, 24 - hours))
+            out.append(f"{column} >= {instant(REFERENCE_DATE, 24 - hours)}")
         if until is not None:
             hours = (REFERENCE_DATE - until).days * 24 // SPREAD - 2
-            out.append(F.col(column) < instant(REFERENCE_DATE, 24 - hours))
+            out.append(f"{column} < {instant(REFERENCE_DATE, 24 - hours)}")
         return out
 
     return shift if mapping.bound_kind == "shift" else spread
 
 
-def _stored(spark: SparkSession, sf_dir: str, mapping: Mapping) -> Stored:
-    source = spark.read.parquet(f"{sf_dir}/{mapping.source}.parquet")
-    if mapping.unnest:
-        source = source.withColumn("line", F.explode(F.array(*[F.lit(v) for v in mapping.unnest])))
-    bounds = _bounds(mapping, source)
-
-    projection = [f"{expression} AS {name}" for name, expression in mapping.columns.items()]
-    return Stored(lambda: source, bounds, lambda df: df.selectExpr(*projection))
-
-
 def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    stored = {name: _stored(spark, sf_dir, mapping) for name, mapping in MAPPINGS.items()}
-    stored["package_classification"] = Stored(lambda: spark.sql(classification_sql()))
-    return Tables(spark, stored)
+    sources: dict[str, DataFrame] = {}
+
+    def source(name: str) -> DataFrame:
+        if name not in sources:
+            sources[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return sources[name]
+
+    def stored(mapping: Mapping) -> Stored:
+        def read() -> DataFrame:
+            df = source(mapping.source)
+            if mapping.unnest:
+                values = ", ".join(f"'{v}'" for v in mapping.unnest)
+                df = df.selectExpr("*", f"explode(array({values})) AS line")
+            return df
+
+        projection = [f"{expression} AS {name}" for name, expression in mapping.columns.items()]
+        return Stored(read, _bounds(mapping), lambda df: df.selectExpr(*projection))
+
+    tables = {name: stored(mapping) for name, mapping in MAPPINGS.items()}
+    tables["package_classification"] = Stored(lambda: spark.sql(classification_sql()))
+    return Tables(spark, tables)
