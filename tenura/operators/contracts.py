@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions import add_period, guarded_log, in_list, label_text, quoted, whole_months
-from tenura.operators.grid import ACCOUNT, REF, Refs, by_ref, day, in_horizon, per_ref, unfold
+from tenura.operators.grid import ACCOUNT, REF, Refs, as_of_latest, as_of_parts, by_ref, day, in_horizon, unfold
 from tenura.sources.tables import Tables
 
 UPGRADE_EVENT = "cup"  # fixed values: contract event types
@@ -35,35 +35,35 @@ CONTRACT_FIELDS = ("date", "package_code", "event_type", "account_id", "number_o
                    "number_of_administrations", "accountant_or_linked", "mrr")
 
 
-def _latest(fields: tuple[str, ...]):
-    """Largest record up to a date. The record starts with the date and holds every
-    column used later, so rows of one date have one answer."""
-    record = f"struct({', '.join(fields)})"
-    return lambda ref: f"max(CASE WHEN date <= {day(ref)} THEN {record} END)"
+def _contract_state(tables: Tables, refs: Refs, fields: tuple[str, ...] = (), upgrades: bool = False) -> DataFrame:
+    """Per (environment, account), for every reference date: the newest contract
+    record and the date of the newest upgrade.
 
-
-def _upgrade(ref: dt.date) -> str:
-    return f"max(CASE WHEN date <= {day(ref)} AND event_type = '{UPGRADE_EVENT}' THEN date END)"
-
-
-def _contract_state(tables: Tables, refs: Refs, *aggregates: Column) -> DataFrame:
-    """Per (environment, account): one column per aggregate and reference date."""
-    return (tables.get("activity_daily_contracts", until=max(refs))
-            .groupBy("environment", "account_code").agg(*aggregates))
+    A record starts with the date and holds every column used later, so rows of one
+    date have one answer.
+    """
+    aggregates, names = [], []
+    if fields:
+        aggregates += as_of_parts(refs, "latest", f"struct({', '.join(fields)})")
+        names.append("latest")
+    if upgrades:
+        aggregates += as_of_parts(refs, "upgrade", "date", f"event_type = '{UPGRADE_EVENT}'")
+        names.append("upgrade")
+    folded = (tables.get("activity_daily_contracts", until=max(refs))
+              .groupBy("environment", "account_code").agg(*aggregates))
+    return as_of_latest(folded, refs, *names)
 
 
 def latest_contract(tables: Tables, refs: Refs) -> DataFrame:
     """Newest contract row on or before each reference date."""
-    folded = _contract_state(tables, refs, *per_ref(refs, "latest", _latest(CONTRACT_FIELDS)))
-    return (unfold(folded, refs, "latest").where("latest IS NOT NULL")
+    return (unfold(_contract_state(tables, refs, CONTRACT_FIELDS), refs, "latest").where("latest IS NOT NULL")
             .selectExpr(*ACCOUNT, *[f"latest.{c}" for c in CONTRACT_FIELDS]))
 
 
 def last_upgrade(tables: Tables, refs: Refs) -> DataFrame:
     """Date of the newest upgrade event on or before each reference date."""
-    folded = _contract_state(tables, refs, *per_ref(refs, "last_contract_upgrade_date", _upgrade))
-    return (unfold(folded, refs, "last_contract_upgrade_date").where("last_contract_upgrade_date IS NOT NULL")
-            .select(*ACCOUNT, "last_contract_upgrade_date"))
+    return (unfold(_contract_state(tables, refs, upgrades=True), refs, "upgrade").where("upgrade IS NOT NULL")
+            .selectExpr(*ACCOUNT, "upgrade AS last_contract_upgrade_date"))
 
 
 def packages(tables: Tables, product: str) -> DataFrame:
@@ -73,8 +73,7 @@ def packages(tables: Tables, product: str) -> DataFrame:
 
 def cohort(tables: Tables, refs: Refs, countries: str | None, product: str) -> DataFrame:
     """Accounts whose newest contract on the reference date is of the product."""
-    folded = _contract_state(tables, refs,
-                             *per_ref(refs, "latest", _latest(("date", "package_code", "account_id"))))
+    folded = _contract_state(tables, refs, ("date", "package_code", "account_id"))
     if countries is not None:
         folded = folded.where(in_list("environment", countries))
     rows = unfold(folded, refs, "latest").selectExpr(*ACCOUNT, "latest.package_code", "latest.account_id")
@@ -113,8 +112,7 @@ def contract_base(tables: Tables, refs: Refs, countries: str, product: str,
                       f"AND (full_cancellation_request_date IS NULL "
                       f"OR full_cancellation_request_date > {day(min(refs))})")
                .drop("had_comm_contract"))
-    state = _contract_state(tables, refs, *per_ref(refs, "latest", _latest(CONTRACT_FIELDS)),
-                            *per_ref(refs, "upgrade", _upgrade))
+    state = _contract_state(tables, refs, CONTRACT_FIELDS, upgrades=True)
     folded = (state.join(accounts, ["environment", "account_code"])
               .join(summary, ["environment", "account_code"]))
     rows = unfold(folded, refs, "latest", "upgrade").where(

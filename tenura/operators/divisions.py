@@ -6,7 +6,6 @@ divisions are summed up per account id, and only those sums meet the contracts.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from tenura.functions import guarded_log, has_value, in_list, not_negative, not_negative_sql
 from tenura.operators.contracts import cohort
 from tenura.operators.grid import (
-    ACCOUNT, REF, LatestInt, Refs, day, in_look_back, in_window, per_ref, unfold, window_bounds,
+    ACCOUNT, REF, LatestInt, Refs, as_of_latest, as_of_parts, day, in_look_back, unfold, window_bounds,
 )
 from tenura.sources.tables import Tables
 
@@ -56,23 +55,27 @@ LOGGED_FINANCIAL = ("gl_transactions", "purchase_entry_count", "bank_entry_count
                     "num_activated_divisions")
 
 
-def _snapshots(tables: Tables, refs: Refs, window: int, countries: str, state: bool, growth: bool) -> DataFrame:
-    """Per division, folded: the newest snapshot on or before each reference date
-    and the first and last one inside its window. One pass over the snapshots."""
-    since = None if state else window_bounds(refs, window)[0]
-    rows = (tables.get("division_statistics_daily", since, max(refs))
+def _states(tables: Tables, refs: Refs, countries: str) -> DataFrame:
+    """Per division: packed state of the newest snapshot on or before each reference date."""
+    rows = tables.get("division_statistics_daily", until=max(refs)).where(in_list("environment", countries))
+    aggregates = [part for name, value in SNAPSHOT_STATE.items()
+                  for part in as_of_parts(refs, name, LatestInt.pack(value))]
+    return as_of_latest(rows.groupBy(*DIVISION).agg(*aggregates), refs, *SNAPSHOT_STATE)
+
+
+def _growth(tables: Tables, refs: Refs, window: int, countries: str) -> DataFrame:
+    """Per division: last minus first snapshot inside each window, as one struct.
+
+    An aggregate of its own: it only reads the windows, where the state needs the
+    whole history."""
+    since, until = window_bounds(refs, window)
+    rows = (tables.get("division_statistics_daily", since, until)
             .where(in_list("environment", countries)))
-    aggregates = []
-    if state:
-        for name, value in SNAPSHOT_STATE.items():
-            packed = LatestInt.pack(value)
-            aggregates += per_ref(refs, name, lambda ref: f"max(CASE WHEN date <= {day(ref)} THEN {packed} END)")
-    if growth:
-        record = "struct(date, " + ", ".join(f"coalesce({c}, 0L) AS {c}" for c in GROWTH) + ")"
-        for name, function in (("first", "min"), ("last", "max")):
-            aggregates += per_ref(
-                refs, name, lambda ref: f"{function}(CASE WHEN {in_window(ref, window)} THEN {record} END)")
-    return rows.groupBy(*DIVISION).agg(*aggregates)
+    record = "struct(date, " + ", ".join(f"coalesce({c}, 0L) AS {c}" for c in GROWTH) + ")"
+    difference = "struct(" + ", ".join(f"last.{c} - first.{c} AS {c}" for c in GROWTH) + ")"
+    return (in_look_back(rows, refs, window).groupBy(REF, *DIVISION)
+            .agg(F.expr(f"min({record}) AS first"), F.expr(f"max({record}) AS last"))
+            .selectExpr(REF, *DIVISION, f"{difference} AS growth"))
 
 
 def _changes(tables: Tables, refs: Refs, window: int, countries: str, counters: Sequence[str]) -> DataFrame:
@@ -107,20 +110,19 @@ def division_measures(tables: Tables, refs: Refs, window: int, countries: str, f
         summary = (tables.get("division_statistics_summary")
                    .selectExpr(*DIVISION, "sales_invoice_first_date", "true AS _has_summary"))
         divisions = divisions.join(summary, DIVISION, "left")
-    if financial or growth:
-        folded = _snapshots(tables, refs, window, countries, financial, growth)
-        names = [*(SNAPSHOT_STATE if financial else ()), *(("first", "last") if growth else ())]
-        rows = unfold(divisions.join(folded, DIVISION, "left"), refs, *names)
-        if not projects:
-            # a snapshot in the window implies one on or before its end
-            rows = rows.where("big3_bank_account IS NOT NULL" if financial else "first IS NOT NULL")
+        divisions = divisions.join(_states(tables, refs, countries), DIVISION, "left")
+        rows = unfold(divisions, refs, *SNAPSHOT_STATE)
+        if not (growth or projects):
+            rows = rows.where("big3_bank_account IS NOT NULL")
     else:
         rows = unfold(divisions, refs)
     rows = rows.where(f"deleted IS NULL OR deleted >= {REF}")
     if counters:
         changes = _changes(tables, refs, window, countries, counters)
-        how = "left" if financial or growth else "inner"
-        rows = rows.join(changes, [REF, *DIVISION], how)
+        rows = rows.join(changes, [REF, *DIVISION], "left" if financial or growth else "inner")
+    if growth:
+        rows = rows.join(_growth(tables, refs, window, countries), [REF, *DIVISION],
+                         "left" if financial or projects else "inner")
 
     still_open = f"(deleted IS NULL OR deleted > {REF})"
     aggregates: list[Column] = []
@@ -139,9 +141,9 @@ def division_measures(tables: Tables, refs: Refs, window: int, countries: str, f
         for out, c in FINANCIAL.items():
             measure("sum", valid, f"_sum_{c}", f"fin_{out}")
     if growth:
-        valid = f"{still_open} AND first IS NOT NULL"
+        valid = f"{still_open} AND growth IS NOT NULL"
         for c in GROWTH:
-            measure("sum", valid, f"last.{c} - first.{c}", f"growth_{c}")
+            measure("sum", valid, f"growth.{c}", f"growth_{c}")
         measure("count", valid, "1", "_growth")
     if projects:
         valid = f"{still_open} AND _change_rows IS NOT NULL"

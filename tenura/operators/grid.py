@@ -53,13 +53,37 @@ def in_horizon(df: DataFrame, ends: dict[dt.date, dt.date], date: str) -> DataFr
     return _tagged(df, {ref: f"{date} BETWEEN {day(ref)} AND {day(end)}" for ref, end in ends.items()})
 
 
-def per_ref(refs: Refs, name: str, aggregate: Callable[[dt.date], str]) -> list[Column]:
-    """One aggregate per reference date, named name_0, name_1, ..."""
-    return [F.expr(f"{aggregate(ref)} AS {name}_{i}") for i, ref in enumerate(refs)]
+def as_of_parts(refs: Refs, name: str, record: str, test: str = "true", date: str = "date") -> list[Column]:
+    """Largest record between one reference date and the next, for as_of_latest.
+
+    The stretches do not overlap, so a row is looked at once, however many
+    reference dates follow it.
+    """
+    out = []
+    ordered = sorted(refs)
+    for i, ref in enumerate(refs):
+        position = ordered.index(ref)
+        after = f"{date} > {day(ordered[position - 1])} AND " if position else ""
+        out.append(F.expr(f"max(CASE WHEN {after}{date} <= {day(ref)} AND {test} THEN {record} END) AS {name}_{i}"))
+    return out
+
+
+def as_of_latest(df: DataFrame, refs: Refs, *names: str) -> DataFrame:
+    """Combine the stretches of as_of_parts: up to a reference date, the largest of
+    all stretches that end by then."""
+    if len(refs) == 1:
+        return df
+    columns = {}
+    for name in names:
+        for i, ref in enumerate(refs):
+            parts = [f"{name}_{j}" for j, other in enumerate(refs) if other <= ref]
+            if len(parts) > 1:
+                columns[f"{name}_{i}"] = F.expr(f"greatest({', '.join(parts)})")
+    return df.withColumns(columns)
 
 
 def unfold(df: DataFrame, refs: Refs, *names: str) -> DataFrame:
-    """Turn the columns of per_ref into one row per reference date."""
+    """Turn columns name_0, name_1, ... into one row per reference date."""
     folded = {f"{name}_{i}" for name in names for i in range(len(refs))}
     rest = [c for c in df.columns if c not in folded]
     entries = ", ".join(
