@@ -13,7 +13,7 @@ import time
 from pyspark.sql import SparkSession
 
 from tenura.checks.registry import all_queries
-from tenura.sources.testdata import testdata_tables
+from tenura.sources.testdata import star_schema_tables
 
 
 def connect(sf_dir: str):
@@ -41,7 +41,7 @@ def compare(spark: SparkSession, sf_dir: str, name: str, connection=None) -> dic
     """Row counts and whether all values agree."""
     query = all_queries(sf_dir)[name]
     started = time.time()
-    df = query.frame(testdata_tables(spark, sf_dir))
+    df = query.frame(star_schema_tables(spark, sf_dir))
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     result = {"query": name, "rows": len(got), "seconds": round(time.time() - started, 2), "same": None}
     if query.sql is not None:

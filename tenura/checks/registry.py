@@ -23,7 +23,7 @@ from tenura.plans.dates import evaluation_date, training_dates
 from tenura.plans.specs import SPECS, ProductSpec
 from tenura.sources.sinks import cut_lineage
 from tenura.sources.tables import Tables, run_sql
-from tenura.sources.testdata import REFERENCE_DATE, testdata_tables
+from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 
 EVERYWHERE = "NL,BE"  # all countries of the data
 WINDOW = 91
@@ -436,4 +436,4 @@ def all_queries(sf_dir: str = "") -> dict[str, Query]:
 
 
 def run_query(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return all_queries(sf_dir)[name].frame(testdata_tables(spark, sf_dir))
+    return all_queries(sf_dir)[name].frame(star_schema_tables(spark, sf_dir))

@@ -148,7 +148,7 @@ def select_model(data: DataFrame, spec: ProductSpec, algorithm=None, grid=None,
                                evaluator=BinaryClassificationEvaluator(numBins=0),
                                numFolds=folds, foldCol="fold", parallelism=parallelism)
     fitted = validator.fit(encoded)
-    metrics = [(_plain(params), metric) for params, metric in zip(grid, fitted.avgMetrics)]
+    metrics = [(_plain(params), float(metric)) for params, metric in zip(grid, fitted.avgMetrics)]
     position = max(range(len(metrics)), key=lambda i: metrics[i][1])
     model = PipelineModel(stages=[*encoders.stages, fitted.bestModel])
     return Selection(metrics[position][1], metrics[position][0], metrics, model)

@@ -222,6 +222,18 @@ MAPPINGS: dict[str, Mapping] = {
     }),
 }
 
+# Stored schemas of the tables used, so that reading needs no footer scan.
+SOURCES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # (priority, product) and (tier, edition, solution) of the package dimension
 PRODUCTS = (
     ("1-URGENT", "Accounting"),
@@ -275,12 +287,12 @@ def _bounds(mapping: Mapping):
     return shift if mapping.bound_kind == "shift" else spread
 
 
-def testdata_tables(spark: SparkSession, sf_dir: str) -> Tables:
+def star_schema_tables(spark: SparkSession, sf_dir: str) -> Tables:
     sources: dict[str, DataFrame] = {}
 
     def source(name: str) -> DataFrame:
         if name not in sources:
-            sources[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            sources[name] = spark.read.schema(SOURCES[name]).parquet(f"{sf_dir}/{name}.parquet")
         return sources[name]
 
     def stored(mapping: Mapping) -> Stored:
