@@ -31,12 +31,6 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-def same(left, right) -> bool:
-    if isinstance(left, float) and isinstance(right, float):
-        return abs(left - right) <= 2e-6 * max(1.0, abs(left))
-    return left == right
-
-
 def compare(spark: SparkSession, sf_dir: str, name: str, connection=None) -> dict:
     """Row counts and whether all values agree."""
     query = all_queries(sf_dir)[name]
@@ -48,8 +42,7 @@ def compare(spark: SparkSession, sf_dir: str, name: str, connection=None) -> dic
         cursor = (connection or connect(sf_dir)).execute(query.oracle())
         expected = rows_of([d[0] for d in cursor.description], cursor.fetchall())
         result["expected"] = len(expected)
-        result["same"] = (len(got) == len(expected)
-                          and all(same(a, b) for x, y in zip(got, expected) for a, b in zip(x, y)))
+        result["same"] = got == expected
         if not result["same"]:
             result["extra"] = [r for r in got if r not in set(expected)][:3]
             result["missing"] = [r for r in expected if r not in set(got)][:3]
