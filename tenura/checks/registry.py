@@ -278,6 +278,71 @@ def _division_queries() -> dict[str, Query]:
     }
 
 
+def _feature(spec: ProductSpec, kinds: dict[str, str], blocks: dict[str, Callable], outputs: str) -> Query:
+    """Columns of a product's feature set: blocks are SQL builders by alias, joined
+    to the accounts b."""
+    window = spec.window_activities
+
+    def body(ref):
+        joins = " ".join(
+            f"LEFT JOIN ({builder(ref)}) {alias} ON {alias}.environment = b.environment "
+            f"AND {alias}.account_code = b.account_code" for alias, builder in blocks.items())
+        base = sql.base(ref, EVERYWHERE, spec.product, spec.window_contract, window)
+        where = f"b.edition IS DISTINCT FROM '{spec.excluded_edition}'" if spec.excluded_edition else "TRUE"
+        if spec.min_tenure is not None:
+            where = f"b.tenure_in_months >= {spec.min_tenure}"
+        return f"SELECT b.environment, b.account_code, {outputs} FROM ({base}) b {joins} WHERE {where}"
+
+    return Query(lambda t: features(t, GRID, spec, label=False), {**_kinds(KEY), **kinds},
+                 sql.union_refs(GRID, body))
+
+
+def _feature_queries() -> dict[str, Query]:
+    established = _spec("churn", "accounting_established")
+    accountancy = _spec("churn", "accountancy")
+    manufacturing = _spec("churn", "manufacturing")
+    clipped = [f"greatest(COALESCE({c}, 0), 0)" for c in activity.ACCOUNTANCY_SUMS]
+    total = "(" + " + ".join(clipped) + ")"
+    made = "(COALESCE(manufacturing_basic, 0) + COALESCE(manufacturing_advanced, 0))"
+    spent = "(COALESCE(f.sales_invoice, 0) + COALESCE(f.project_total_time_entries, 0))"
+
+    def financial(spec):
+        return lambda ref: sql.financial(ref, spec.window_activities, EVERYWHERE, spec.product)
+
+    return {
+        "accountant_status": _feature(
+            established, _kinds("accountant:s entrepreneur_active:i accountant_days_active:i"),
+            {"r": lambda ref: sql.role_days(ref, 91, EVERYWHERE)},
+            "CASE WHEN r.accountant_days_active > 0 THEN 'Active' WHEN b.accountant_or_linked THEN 'Inactive' "
+            "ELSE 'NotLinked' END AS accountant, COALESCE(r.entrepreneur_days_active, 0) > 0 AS entrepreneur_active, "
+            "COALESCE(r.accountant_days_active, 0) AS accountant_days_active"),
+        "accountancy_totals": _feature(
+            accountancy, _kinds("continuous_monitoring:i scanning:i process_management:i "
+                                "other_accountancy_activities:i log_other_accountancy_activities:f"),
+            {"x": lambda ref: sql.activity_mix(ref, 91, EVERYWHERE, "Accountancy", activity.ACCOUNTANCY_SUMS)},
+            ", ".join(f"{c} AS {name}" for c, name in zip(clipped, activity.ACCOUNTANCY_SUMS))
+            + f", {total} AS other_accountancy_activities, {sql.log(total)} AS log_other_accountancy_activities"),
+        "time_sales_invoice_log": _feature(
+            accountancy, _kinds("log_time_sales_invoice_entry:f"), {"f": financial(accountancy)},
+            f"{sql.log(spent)} AS log_time_sales_invoice_entry"),
+        "manufacturing_totals": _feature(
+            manufacturing, _kinds("log_manufacturing_activities:f recent_use_mobile:i"),
+            {"x": lambda ref: sql.activity_mix(ref, 30, EVERYWHERE, "Manufacturing", activity.MANUFACTURING_SUMS),
+             "m": lambda ref: sql.mobile(ref, 30, EVERYWHERE, "Manufacturing")},
+            f"{sql.log(made)} AS log_manufacturing_activities, m.use_mobile IS NOT NULL AS recent_use_mobile"),
+        "stock_count_log": _feature(
+            manufacturing, _kinds("log_stock_count_entry_count:f"), {"f": financial(manufacturing)},
+            f"{sql.log('f.stock_count_entry')} AS log_stock_count_entry_count"),
+        "financial_flags_logs": _feature(
+            established, {**{f"has_{c}": "i" for c in ("big3_bank_account", "bank_link", "sales_invoice", "currency_count")},
+                          **{f"log_{c}": "f" for c in divisions.LOGGED_FINANCIAL}},
+            {"f": financial(established)},
+            ", ".join([*[f"COALESCE(f.{c} > 0, FALSE) AS has_{c}"
+                         for c in ("big3_bank_account", "bank_link", "sales_invoice", "currency_count")],
+                       *[f"{sql.log(f'f.{c}')} AS log_{c}" for c in divisions.LOGGED_FINANCIAL]])),
+    }
+
+
 def _documents(t: Tables, sf_dir: str) -> DataFrame:
     documents = t.spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "n_chars")
     labels = t.spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
@@ -404,11 +469,21 @@ def _learning_queries() -> dict[str, Query]:
         rows, _, selection = _trained(t, tree_spec, algorithm=estimator.setMaxIter(10), grid=grid[:1], folds=5)
         return learn.score(selection.model, rows, tree_spec.predictors)
 
+    def evaluate(t: Tables) -> DataFrame:
+        # trained on the four windows, judged on a window one and a half before them
+        estimator, grid = learn.logistic_regression()
+        _, _, selection = _trained(t, spec, algorithm=estimator, grid=grid[:1])
+        ref = evaluation_date(spec, REFERENCE_DATE)
+        scored_rows = cut_lineage(learn.score(selection.model, dataset(t, [ref], spec), spec.predictors))
+        return t.spark.createDataFrame([(ref, float(learn.area_under_roc(scored_rows, spec.label)))],
+                                       "reference_date date, auc double")
+
     scored = _kinds(KEY + "package_code:s event_probability:f health_score:i")
     return {
         "train_predict_scores": Query(predict, scored),
         "stratified_cv_metrics": Query(cross_validation, _kinds("reg_param:f auc:f")),
         "gbt_scores": Query(trees, scored),
+        "evaluate_model": Query(evaluate, _kinds("reference_date:d auc:f")),
     }
 
 
@@ -429,6 +504,7 @@ def all_queries(sf_dir: str = "") -> dict[str, Query]:
         **_activity_queries(),
         **_contract_queries(),
         **_division_queries(),
+        **_feature_queries(),
         **{name: _dataset(*key) for name, key in DATASETS.items()},
         **_monitoring_queries(sf_dir),
         **_learning_queries(),

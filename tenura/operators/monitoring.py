@@ -16,11 +16,14 @@ from tenura.sources.tables import Tables
 SCORE_TABLES = {"churn": ("health_score", "health_score"), "downgrade": ("is_usage_score", "score")}
 
 
-def freshness_date(tables: Tables) -> DataFrame:
-    """Last day both the activity and (one day later) the division changes cover."""
-    viewed = (tables.get("activity_daily").where(F.col("activity_id") == PAGE_VIEW)
+def freshness_date(tables: Tables, since: dt.date | None = None) -> DataFrame:
+    """Last day both the activity and (one day later) the division changes cover.
+
+    A caller that knows a date the data reached before passes it as `since`; only
+    newer days are read then. NULL when there are none."""
+    viewed = (tables.get("activity_daily", since).where(f"activity_id = {PAGE_VIEW}")
               .agg(F.max("date").alias("latest_date")))
-    changed = (tables.get("division_statistics_daily_changes")
+    changed = (tables.get("division_statistics_daily_changes", since)
                .agg(F.date_sub(F.max("date"), 1).alias("latest_date")))
     return viewed.union(changed).agg(F.min("latest_date").alias("latest_date"))
 

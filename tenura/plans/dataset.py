@@ -59,7 +59,7 @@ PROFESSIONAL_SERVICES_DEFAULTS = {
 
 def base_accounts(tables: Tables, refs: Refs, spec: ProductSpec) -> DataFrame:
     base = contracts.contract_base(tables, refs, spec.countries, spec.product,
-                                   spec.window_contract, spec.window_activities)
+                                   spec.window_contract, spec.window_activities, spec.account_classes)
     if spec.min_tenure is not None:
         base = base.where(f"tenure_in_months >= {spec.min_tenure}")
     if spec.below_tenure is not None:

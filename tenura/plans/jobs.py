@@ -148,10 +148,18 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--config", help="JSON file instead of the built-in specification")
     parser.add_argument("--current-date", type=dt.date.fromisoformat)
     parser.add_argument("--past-date", type=dt.date.fromisoformat)
+    parser.add_argument("--shuffle-partitions", type=int,
+                        help="partitions a shuffle starts with; adaptive execution merges small ones")
     options = parser.parse_args(argv)
     spec = (load_spec(options.config, options.category, options.name) if options.config
             else get_spec(options.category, options.name))
-    spark = SparkSession.builder.appName(f"contract-risk-{spec.model_name}").getOrCreate()
+    builder = (SparkSession.builder.appName(f"contract-risk-{spec.model_name}")
+               .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"))
+    if options.shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", options.shuffle_partitions)
+    spark = builder.getOrCreate()
     tables = Tables.from_parquet(spark, options.lake)
     Run.create(tables, spec, options.out, options.current_date, options.past_date).run(options.mode)
 

@@ -31,6 +31,7 @@ GBT_ROUNDS = 50
 GBT_STEP = 0.05
 GBT_SUBSAMPLE = 0.6
 MISSING_CATEGORY = "missing"
+ROWS_PER_TASK = 100_000
 
 
 def split_columns(df: DataFrame, predictors) -> tuple[list[str], list[str]]:
@@ -55,10 +56,16 @@ def prepared(df: DataFrame, predictors) -> DataFrame:
     return df.withColumns(columns)
 
 
-def weighted(df: DataFrame, label: str) -> DataFrame:
-    """Adds label and class_weight: a row weighs the share of the other class. The
-    shares are one small aggregate, not a pass per class."""
-    share = df.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
+def class_share(df: DataFrame, label: str) -> tuple[float, int]:
+    """(share of positives, number of rows) in one small aggregate."""
+    row = df.agg(F.avg(F.col(label).cast("double")), F.count(F.lit(1))).first()
+    return row[0] or 0.0, row[1]
+
+
+def weighted(df: DataFrame, label: str, share: float | None = None) -> DataFrame:
+    """Adds label and class_weight: a row weighs the share of the other class."""
+    if share is None:
+        share, _ = class_share(df, label)
     return df.withColumns({
         "label": F.col(label).cast("double"),
         "class_weight": F.when(F.col(label) == 1, 1.0 - share).otherwise(share),
@@ -155,11 +162,16 @@ def select_model(data: DataFrame, spec: ProductSpec, algorithm=None, grid=None,
 
 
 def training_frame(dataset: DataFrame, spec: ProductSpec) -> DataFrame:
-    """Prepared predictors, label, class weight and fold."""
+    """Prepared predictors, label, class weight and fold.
+
+    Fitting passes over the data dozens of times, so partitions are merged until a
+    task has rows enough to be worth starting.
+    """
     keys = ["reference_date", *KEYS]
     rows = dataset.select(*dict.fromkeys([*keys, *spec.predictors, spec.label]))
-    rows = stratified_folds(rows, spec.label, keys)
-    return weighted(prepared(rows, spec.predictors), spec.label)
+    share, count = class_share(rows, spec.label)
+    data = weighted(prepared(stratified_folds(rows, spec.label, keys), spec.predictors), spec.label, share)
+    return data.coalesce(max(1, count // ROWS_PER_TASK))
 
 
 def score(model, data: DataFrame, predictors) -> DataFrame:

@@ -6,6 +6,8 @@ import json
 import re
 from dataclasses import dataclass, replace
 
+from tenura.operators.contracts import ACCOUNT_CLASSES
+
 KEYS = ("environment", "account_code", "package_code")
 TRAINING_WINDOWS = 4
 
@@ -26,6 +28,7 @@ class ProductSpec:
     min_tenure: int | None = None  # whole months, included
     below_tenure: int | None = None
     excluded_edition: str | None = None
+    account_classes: tuple[str, ...] = ACCOUNT_CLASSES
 
     def __post_init__(self):
         if self.category not in LABELS:
@@ -150,4 +153,5 @@ def load_spec(path: str, category: str, name: str) -> ProductSpec:
         tuple(snake_case(p) for p in raw["predictors"]),
         accepted_auc=raw.get("accepted_auc", 0.8), window_activities=raw["window_activities"],
         window_contract=raw.get("window_contract", 91), period=raw.get("period", 3),
-        algorithm=raw.get("algorithm", "LogisticRegression"), **COHORTS.get(name, {}))
+        algorithm=raw.get("algorithm", "LogisticRegression"),
+        account_classes=tuple(raw.get("account_classes", ACCOUNT_CLASSES)), **COHORTS.get(name, {}))

@@ -116,13 +116,18 @@ def spellings(name: str) -> list[str]:
     return [name, name.replace("_", ""), *SYNONYMS.get(name, ())]
 
 
+def stored_field(column: str, df: DataFrame):
+    """The stored field of a domain column, under any accepted spelling."""
+    present = {field.name.lower(): field for field in df.schema.fields}
+    return next((present[s] for s in spellings(column) if s in present), None)
+
+
 def normalised(table: str, df: DataFrame) -> DataFrame:
     """Schema order, declared types, one spelling per key. Absent columns are NULL."""
-    present = {field.name.lower(): field for field in df.schema.fields}
     out = []
     for name in column_names(table):
         kind = column_type(table, name)
-        field = next((present[s] for s in spellings(name) if s in present), None)
+        field = stored_field(name, df)
         if field is None:
             text = f"CAST(NULL AS {kind})"
         elif field.dataType.simpleString() == kind:
@@ -141,6 +146,25 @@ def normalised(table: str, df: DataFrame) -> DataFrame:
     return df.selectExpr(*out)
 
 
+def _stored_bounds(table: str, df: DataFrame) -> Bounds:
+    """A date kept as a timestamp: compare the timestamp itself, since a comparison
+    of its cast would not reach the scan. A stored date needs nothing."""
+    field = stored_field(DATE_COLUMNS[table], df) if table in DATE_COLUMNS else None
+    if field is None or not field.dataType.simpleString().startswith("timestamp"):
+        return lambda since, until: []
+    literal = "TIMESTAMP_NTZ" if field.dataType.simpleString() == "timestamp_ntz" else "TIMESTAMP"
+
+    def bounds(since: dt.date | None, until: dt.date | None) -> list[str]:
+        out = []
+        if since is not None:
+            out.append(f"`{field.name}` >= {literal} '{since} 00:00:00'")
+        if until is not None:
+            out.append(f"`{field.name}` < {literal} '{until + dt.timedelta(days=1)} 00:00:00'")
+        return out
+
+    return bounds
+
+
 @dataclass(frozen=True)
 class Stored:
     """A stored frame, how date bounds translate to its own columns, and the
@@ -182,7 +206,7 @@ class Tables:
         """Rows of a table dated in [since, until]; both ends included, None is open."""
         stored = self._stored[name]
         raw = stored.read()
-        predicates = stored.bounds(since, until) if stored.bounds else []
+        predicates = (stored.bounds or _stored_bounds(name, raw))(since, until)
         if predicates:
             raw = raw.where(" AND ".join(predicates))
         if stored.project:

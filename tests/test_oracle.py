@@ -24,5 +24,6 @@ def test_same_as_sql(spark, connection, name):
 def test_entry_point(spark):
     names = set(entry_point.queries())
     assert set(entry_point.oracle_sql()) <= names
-    assert names - set(entry_point.oracle_sql()) == {"train_predict_scores", "stratified_cv_metrics", "gbt_scores"}
+    assert names - set(entry_point.oracle_sql()) == {
+        "train_predict_scores", "stratified_cv_metrics", "gbt_scores", "evaluate_model"}
     assert entry_point.entry(spark).count() > 0

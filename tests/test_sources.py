@@ -35,6 +35,21 @@ def test_lake_layout_with_other_spellings_and_text_codes(spark, tmp_path):
     assert "GreaterThanOrEqual(Date,2024-01-02)" in plan
 
 
+def test_timestamps_and_date_partitions_are_filtered_at_the_scan(spark, tmp_path):
+    stamped = spark.createDataFrame([("D1", dt.datetime(2024, 1, 1, 23, 59)), ("D2", dt.datetime(2024, 1, 2, 0, 0)),
+                                     ("D3", dt.datetime(2024, 1, 2, 23, 59)), ("D4", dt.datetime(2024, 1, 3))],
+                                    "divisioncode string, date timestamp")
+    stamped.write.parquet(str(tmp_path / "DivisionStatistics_Daily"))
+    by_day = stamped.selectExpr("divisioncode", "to_date(date) AS date")
+    by_day.write.partitionBy("date").parquet(str(tmp_path / "DivisionStatistics_DailyChanges"))
+    t = Tables.from_parquet(spark, str(tmp_path))
+    for name, sign in (("division_statistics_daily", "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date"),
+                       ("division_statistics_daily_changes", "PartitionFilters: [isnotnull(date#")):
+        df = t.get(name, d("2024-01-02"), d("2024-01-02"))
+        assert rows(df, "division_code") == [("d2",), ("d3",)]
+        assert sign in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_glob_and_schema_merge(spark, tmp_path):
     base = "environment string, divisioncode string, date date"
     spark.createDataFrame([("NL", "D1", d("2024-01-01"))], base).write.parquet(str(tmp_path / "daily/2024/01/01"))
