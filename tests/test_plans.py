@@ -10,10 +10,11 @@ from tenura.operators.monitoring import auc_by_rank
 from tenura.plans import learn
 from tenura.plans.dataset import dataset, features, model_columns
 from tenura.plans.dates import evaluation_date, refine_dates, training_dates
-from tenura.plans.jobs import Run
+from tenura.plans.jobs import Run, main
 from tenura.plans.named_queries import NAMED, run_named
 from tenura.plans.specs import SPECS, get_spec, load_spec, snake_case
 from tenura.sources.sinks import ModelStore
+from tenura.sources.tables import DIRECTORIES
 from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 from tests.conftest import d, rows
 from tests.fixtures import REF, tables
@@ -196,6 +197,20 @@ def test_run_modes(spark, tmp_path, monkeypatch):
         run.run("dance")
 
 
+def test_command_line_on_a_lake(spark, tmp_path, capsys):
+    t = tables(spark)
+    for name, directory in DIRECTORIES.items():
+        t.get(name).write.parquet(str(tmp_path / "lake" / directory))
+    arguments = ["--category", "churn", "--name", "accounting_established", "--lake", str(tmp_path / "lake"),
+                 "--out", str(tmp_path / "out")]
+    main([*arguments, "--mode", "validate"])  # the current date comes from the data
+    assert "validate churn_accounting_established 2024-01-30: None" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="no trained model"):
+        main([*arguments, "--mode", "predict", "--current-date", "2024-01-31"])
+    with pytest.raises(SystemExit):
+        main([*arguments, "--mode", "unknown"])
+
+
 def test_named_queries(spark):
     t = tables(spark)
     day, env = "2024-01-31", "NL,BE"
