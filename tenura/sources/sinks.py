@@ -34,8 +34,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def write_by_reference_date(df: DataFrame, path: str) -> None:
     """Replace the reference dates present in df and keep the others, so that
-    running a date again does not add rows twice."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    running a date again does not add rows twice. Rows are brought together by date
+    and cut by size first: a date is a few full files, not one per task."""
+    (df.hint("rebalance", "reference_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("reference_date").parquet(path))
 
 
