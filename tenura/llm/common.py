@@ -52,3 +52,15 @@ def hot_keys(counts: DataFrame, total: int, least: int = 256, share: int = HOT_S
 def spread(*columns: str) -> Column:
     """A non-negative hash to deal rows out by."""
     return F.abs(F.hash(*columns).cast("long"))
+
+
+def key_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], counts: DataFrame, total: int, least: int = 256) -> DataFrame:
+    """Inner join of many rows with a table of one row a key. `counts` (keys, n) says how many rows a key has; the table's
+    rows of hot keys, at most HOT_SHARE of them, are broadcast, so that no task gets all rows of one key."""
+    hot = hot_keys(counts, total, least).select(*keys)
+    usual = rows.join(hot, keys, "left_anti").join(table, keys)
+    return usual.unionByName(rows.join(F.broadcast(table.join(hot, keys)), keys))

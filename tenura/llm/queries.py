@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm.exact_dedup import LOWER, UPPER, exact_dedup
+from tenura.llm.line_chunks import line_dedup
+from tenura.llm.near_join import near_join
 from tenura.llm.packing import pack
 from tenura.llm.token_files import digest, read_tokens, write_tokens
 
@@ -27,14 +29,24 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(read_tokens(write_tokens(table(spark, sf_dir, "documents"))))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_chunks", "removed_lines")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_token_files": op4_token_files,
+    "op6_line_dedup": op6_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
