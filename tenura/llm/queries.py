@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tenura.llm.exact_dedup import LOWER, UPPER, exact_dedup
 from tenura.llm.line_chunks import line_dedup
 from tenura.llm.near_join import near_join
+from tenura.llm import toxicity
 from tenura.llm.packing import pack
+from tenura.llm.secret_scan import scan
 from tenura.llm.token_files import digest, read_tokens, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,16 +39,28 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(read_tokens(write_tokens(table(spark, sf_dir, "documents"))))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text_mark")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_chunks", "removed_lines")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).drop("text_mark")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_token_files": op4_token_files,
+    "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
+    "op7_secret_scan": op7_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
