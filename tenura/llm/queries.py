@@ -11,7 +11,10 @@ from tenura.llm.exact_dedup import LOWER, UPPER, exact_dedup
 from tenura.llm.line_chunks import line_dedup
 from tenura.llm.near_join import near_join
 from tenura.llm import toxicity
+from tenura.llm.merge_dropout import decode, encode
+from tenura.llm.neighbours import nearest
 from tenura.llm.packing import pack
+from tenura.llm.page_text import extract
 from tenura.llm.secret_scan import scan
 from tenura.llm.token_files import digest, read_tokens, write_tokens
 
@@ -53,6 +56,20 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).drop("text_mark")
 
 
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = decode(encode(table(spark, sf_dir, "documents")))
+    return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text"))
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -61,6 +78,9 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_secret_scan": op7_secret_scan,
+    "op8_merge_dropout": op8_merge_dropout,
+    "op9_page_text": op9_page_text,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {
