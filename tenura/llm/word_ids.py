@@ -3,38 +3,55 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-#: White space at which a text may be cut before encoding: the tokenizer drops it and no token crosses it.
-GAPS = str.maketrans({"\n": " ", "\t": " ", "\r": " "})
+#: Words of these characters (printable, up to Latin Extended-A, without the dotted capital I) are not changed by
+#: composition and are split and lower-cased here; any other word goes through the library whole.
+PLAIN = re.compile("[!-~¡-¬®-įı-ſ]+")
+LETTERS, NUMBERS = "a-zªµºß-öø-ÿĀ-ſ", "0-9²³¹¼-¾"
+#: How the tokenizer splits a lower-cased word of those characters.
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in the vocabulary: printable ones for themselves, the others from 256 on in order."""
+    printable = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
 class WordEncoder:
     """Encodes texts with a word-wise vocabulary (white space dropped before merging).
 
-    The ids of a word do not depend on its neighbours, so each distinct word goes through the library once and is kept
-    as bytes; at `most` kept words the store is emptied, which bounds memory and changes no result.
+    The ids of a word do not depend on its neighbours, nor those of a part on the rest of its word, so each distinct
+    word is put together once, each distinct part goes through the library once, and both are kept as bytes. At `most`
+    kept words or parts the store is emptied, which bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.kept = Tokenizer.from_file(path), most, {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.most, self.kept, self.parts, self.letters = most, {"": b""}, {}, byte_letters()
+
+    def _part(self, part: str) -> bytes:
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        ids = np.array([token.id for token in self.tokenizer.model.tokenize(spelled)], dtype="<u4").tobytes()
+        self.parts[part] = ids
+        return ids
 
-    def _learn(self, words: list[str]) -> None:
-        encoded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.asarray(encoded.ids, dtype="<u4").tobytes()
-        ends = 4 * np.bincount(np.asarray(encoded.word_ids, dtype=np.int64), minlength=len(words)).cumsum()
-        start = 0
-        for word, end in zip(words, ends.tolist()):
-            self.kept[word] = ids[start:end]
-            start = end
+    def _word(self, word: str) -> bytes:
+        if "<|" in word or not PLAIN.fullmatch(word):
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        known = self.parts
+        return b"".join([known.get(part) or self._part(part) for part in PARTS.findall(word.lower())])
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        words = text.translate(GAPS).split(" ") if len(text) < 64 else text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         kept = self.kept
         try:
             return b"".join(map(kept.__getitem__, words))
@@ -43,9 +60,10 @@ class WordEncoder:
         if len(kept) > self.most:
             kept.clear()
             kept[""] = b""
-        new = list(set(words).difference(kept))
-        for start in range(0, len(new), 4096):
-            self._learn(new[start:start + 4096])
+        if len(self.parts) > self.most:
+            self.parts.clear()
+        for word in set(words).difference(kept):
+            kept[word] = self._word(word)
         return b"".join(map(kept.__getitem__, words))
 
 
