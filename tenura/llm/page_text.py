@@ -241,6 +241,8 @@ def render(root: Node) -> str:
         writer = writers[-1]
         if step == "enter":
             if isinstance(node, str):
+                if parent.name == "details" and "open" not in parent.attributes:
+                    continue
                 if tables and parent.name in ("table", "tr", *SECTIONS):
                     if node.strip():
                         writer.text(node, False)
