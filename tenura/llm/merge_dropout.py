@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tenura.llm.common import text_of, vocabulary
 
 SPACE = "▁"
+SHORT, NONE = 48, float("inf")
 ENCODED = "doc_id long, text string, ids binary"
 
 
@@ -46,10 +47,12 @@ class Pieces:
         joined = {c for piece in self.ids if len(piece) > 1 for c in piece}
         self.lone_newline = "\n" not in joined
         self.inner_space = any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
+        #: Neighbouring characters within pieces: no merge crosses any other two.
+        self.pairs = {piece[k:k + 2] for piece in self.ids for k in range(len(piece) - 1)}
 
 
 class Encoder:
-    def __init__(self, path: str, rate: float, seed: int, variants: int, most: int = 150_000):
+    def __init__(self, path: str, rate: float, seed: int, variants: int, most: int = 800_000):
         self.pieces, self.limit, self.seed, self.variants, self.most = Pieces(path), int(rate * 2 ** 32), seed, variants, most
         if self.pieces.inner_space or not self.pieces.lone_newline:
             raise ValueError("the vocabulary has pieces across words")
@@ -59,7 +62,39 @@ class Encoder:
         self.mark = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], dtype="<u4").tobytes()
 
     def cut(self, chunk: str, variant: int) -> list[str]:
-        """The chunk's segments after merging from an agenda of (score, place) candidates."""
+        """The chunk's segments after merging the best candidate, the left one of equals, until none is left. A candidate
+        that its hash drops is out until a neighbour's merge makes a new one there."""
+        if len(chunk) > SHORT:
+            return self.cut_long(chunk, variant)
+        scores, limit = self.pieces.scores, self.limit
+        key = xxhash.xxh32_intdigest(chunk, self.seed * 1_000_003 + variant)
+        parts, places = list(chunk), list(range(len(chunk)))
+        agenda = [scores.get(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while agenda:
+            score = min(agenda)
+            if score == NONE:
+                break
+            k = agenda.index(score)
+            if limit and self.dropped(key, score, places[k], limit):
+                agenda[k] = NONE
+                continue
+            pair = parts[k] = parts[k] + parts[k + 1]
+            del parts[k + 1], places[k + 1], agenda[k]
+            if k:
+                agenda[k - 1] = scores.get(parts[k - 1] + pair, NONE)
+            if k < len(agenda):
+                agenda[k] = scores.get(pair + parts[k + 1], NONE)
+        return parts
+
+    @staticmethod
+    def dropped(key: int, score: float, place: int, limit: int) -> bool:
+        mixed = (key ^ (int(score) * 0x9E3779B1 + place * 0x85EBCA77)) & 0xFFFFFFFF
+        mixed = ((mixed ^ (mixed >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
+        mixed = ((mixed ^ (mixed >> 12)) * 0x297A2D39) & 0xFFFFFFFF
+        return mixed ^ (mixed >> 15) < limit
+
+    def cut_long(self, chunk: str, variant: int) -> list[str]:
+        """The same for long chunks, from a heap of (score, place) candidates."""
         scores, limit = self.pieces.scores, self.limit
         key = xxhash.xxh32_intdigest(chunk, self.seed * 1_000_003 + variant)
         parts = list(chunk)
@@ -81,12 +116,8 @@ class Encoder:
             pair = left + parts[right_at]
             if len(pair) != length or scores.get(pair) != score:
                 continue  # an end was merged meanwhile
-            if limit:
-                mixed = (key ^ (int(score) * 0x9E3779B1 + k * 0x85EBCA77)) & 0xFFFFFFFF
-                mixed = ((mixed ^ (mixed >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-                mixed = ((mixed ^ (mixed >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-                if mixed ^ (mixed >> 15) < limit:
-                    continue
+            if limit and self.dropped(key, score, k, limit):
+                continue
             parts[k], parts[right_at] = pair, ""
             following = after[k] = after[right_at]
             if following < size:
@@ -103,13 +134,31 @@ class Encoder:
                     heapq.heappush(agenda, (score, previous, len(new)))
         return [part for part in parts if part]
 
-    def _chunk(self, chunk: str, variant: int) -> bytes:
+    def _part(self, part: str, variant: int) -> bytes:
         ids, out = self.pieces.ids, []
-        for part in self.cut(chunk, variant):
-            n = ids.get(part)
-            out += [n] if n is not None else [self.pieces.byte_ids[b] for b in part.encode()]
+        for piece in self.cut(part, variant):
+            n = ids.get(piece)
+            out += [n] if n is not None else [self.pieces.byte_ids[b] for b in piece.encode()]
         return np.array(out, dtype="<u4").tobytes()
 
+    def _chunk(self, chunk: str, variant: int) -> bytes:
+        """Ids of a chunk: of its parts, between which no merge is possible."""
+        pairs, kept = self.pieces.pairs, self.kept[variant]
+        breaks = [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in pairs]
+        found, start = [], 0
+        for end in [*breaks, len(chunk)]:
+            part = chunk[start:end]
+            ids = kept.get(part)
+            if ids is None:
+                ids = kept[part] = self._part(part, variant)
+                self.held += 1
+            found.append(ids)
+            start = end
+        if breaks:
+            kept[chunk] = ids = b"".join(found)
+            self.held += 1
+        return ids
+
     def encode(self, text: str, doc_id: int) -> bytes:
         """Ids as little-endian unsigned 32-bit integers. A mark that stands for a space elsewhere is spelled in bytes."""
         if not text:
@@ -130,8 +179,7 @@ class Encoder:
             for variant, chunk in zip(variants, chunks):
                 ids = kept[variant].get(chunk)
                 if ids is None:
-                    ids = kept[variant][chunk] = self._chunk(chunk, variant)
-                    self.held += 1
+                    ids = self._chunk(chunk, variant)
                 found.append(ids)
             if n:
                 out.append(self.mark)
@@ -143,7 +191,7 @@ _MADE: dict[tuple, Encoder] = {}
 _PIECES: dict[str, Pieces] = {}
 
 
-def encode(docs: DataFrame, rate: float = 0.1, seed: int = 17, variants: int = 4, vocabulary_path: str | None = None,
+def encode(docs: DataFrame, rate: float = 0.1, seed: int = 17, variants: int = 2, vocabulary_path: str | None = None,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, ids): little-endian unsigned 32-bit ids of every text, with merges dropped at `rate`.
 
