@@ -167,7 +167,7 @@ def _contract_queries() -> dict[str, Query]:
             lambda t: contracts.downgrade_events(t, EVERYWHERE, "Wholesale distribution",
                                                  dt.date(2018, 1, 1), dt.date(2024, 12, 31)),
             _kinds("environment:s account_code:s downgrade_date:d"),
-            sql.downgrades("DATE '2018-01-01'", "DATE '2024-12-31'", EVERYWHERE, "Wholesale distribution")),
+            sql.downgrades(EVERYWHERE, "Wholesale distribution", "DATE '2018-01-01'", "DATE '2024-12-31'")),
         "churn_label": Query(lambda t: contracts.with_churn_label(base(t), GRID, 3), _keyed(["churned"], "f"),
                              sql.union_refs(GRID, churn_sql)),
         "downgrade_label": Query(downgrade_label, _keyed(["downgraded"], "f"), sql.union_refs(GRID, label_sql)),
