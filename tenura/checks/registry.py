@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,8 @@ from tenura.plans import learn
 from tenura.plans.dataset import base_accounts, dataset, features, model_columns
 from tenura.plans.dates import evaluation_date, training_dates
 from tenura.plans.specs import SPECS, ProductSpec
-from tenura.sources.sinks import cut_lineage
-from tenura.sources.tables import Tables, run_sql
+from tenura.sources.sinks import append_rows, cut_lineage, shared_path, statistics_row, write_by_reference_date
+from tenura.sources.tables import Tables, read_health_score_csv, run_sql
 from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 
 EVERYWHERE = "NL,BE"  # all countries of the data
@@ -409,16 +411,16 @@ def _monitoring_queries(sf_dir: str) -> dict[str, Query]:
                 monitoring.old_churn_scores(t, PAST, EVERYWHERE, "Accountancy", "All"), "prob", "label", ["product"]),
             _kinds("product:s positives:i negatives:i auc:f"),
             _auc_sql(churn_scores, "prob", "label", "product")),
+        "validate_auc_downgrade": Query(
+            lambda t: monitoring.auc_by_rank(
+                monitoring.old_downgrade_scores(t, PAST, EVERYWHERE, "Wholesale distribution"), "prob", "label", ["product"]),
+            _kinds("product:s positives:i negatives:i auc:f"),
+            _auc_sql(sql.old_downgrade_scores(PAST, EVERYWHERE, "Wholesale distribution"), "prob", "label", "product")),
         "auc_by_rank": Query(
             lambda t: monitoring.auc_by_rank(_documents(t, sf_dir), "score", "quality", ["lang"]),
             _kinds("lang:s positives:i negatives:i auc:f"),
             _auc_sql("SELECT d.lang, d.n_chars % 101 AS score, l.quality FROM documents d JOIN labels l "
                      "ON d.doc_id = l.doc_id", "score", "quality", "lang")),
-        "class_weights": Query(
-            lambda t: monitoring.class_weights(dataset(t, _refs(established), established), "churned", [REF]),
-            _kinds("reference_date:d n:i positive_weight:f negative_weight:f"),
-            "SELECT reference_date, COUNT(*) AS n, SUM(1 - churned) / COUNT(*) AS positive_weight, "
-            f"1 - SUM(1 - churned) / COUNT(*) AS negative_weight FROM ({established_sql}) GROUP BY reference_date"),
         "fold_sizes": Query(
             lambda t: learn.stratified_folds(dataset(t, _refs(established), established), "churned",
                                              [REF, "environment", "account_code", "package_code"])
@@ -443,36 +445,36 @@ def _monitoring_queries(sf_dir: str) -> dict[str, Query]:
     }
 
 
-def _trained(t: Tables, spec: ProductSpec, **options):
+def _trained(t: Tables, spec: ProductSpec):
+    """Rows of the training windows and the model selected over the whole grid."""
     rows = cut_lineage(dataset(t, _refs(spec), spec))
     data = learn.training_frame(rows, spec).persist()
-    return rows, data, learn.select_model(data, spec, **options)
+    try:
+        return rows, learn.select_model(data, spec, parallelism=4)
+    finally:
+        data.unpersist()
 
 
 def _learning_queries() -> dict[str, Query]:
     spec = _spec("churn", "accounting_established")
-    tree_spec = _spec("churn", "wholesale_distribution")
+    tree_spec = replace(_spec("churn", "wholesale_distribution"), algorithm="GradientBoostedTrees")
+
+    def scores(of: ProductSpec):
+        def predict(t: Tables) -> DataFrame:
+            rows, selection = _trained(t, of)
+            return learn.score(selection.model, rows, of.predictors)
 
-    def predict(t: Tables) -> DataFrame:
-        rows, _, selection = _trained(t, spec)
-        return learn.score(selection.model, rows, spec.predictors)
+        return predict
 
     def cross_validation(t: Tables) -> DataFrame:
-        _, _, selection = _trained(t, spec)
+        _, selection = _trained(t, spec)
         return t.spark.createDataFrame(
             [(params["regParam"], float(metric)) for params, metric in selection.metrics],
             "reg_param double, auc double")
 
-    def trees(t: Tables) -> DataFrame:
-        estimator, grid = learn.boosted_trees()
-        # the whole grid is the job's business; one setting shows the operator
-        rows, _, selection = _trained(t, tree_spec, algorithm=estimator.setMaxIter(10), grid=grid[:1], folds=5)
-        return learn.score(selection.model, rows, tree_spec.predictors)
-
     def evaluate(t: Tables) -> DataFrame:
         # trained on the four windows, judged on a window one and a half before them
-        estimator, grid = learn.logistic_regression()
-        _, _, selection = _trained(t, spec, algorithm=estimator, grid=grid[:1])
+        _, selection = _trained(t, spec)
         ref = evaluation_date(spec, REFERENCE_DATE)
         scored_rows = cut_lineage(learn.score(selection.model, dataset(t, [ref], spec), spec.predictors))
         return t.spark.createDataFrame([(ref, float(learn.area_under_roc(scored_rows, spec.label)))],
@@ -480,13 +482,134 @@ def _learning_queries() -> dict[str, Query]:
 
     scored = _kinds(KEY + "package_code:s event_probability:f health_score:i")
     return {
-        "train_predict_scores": Query(predict, scored),
+        "train_predict_scores": Query(scores(spec), scored),
         "stratified_cv_metrics": Query(cross_validation, _kinds("reg_param:f auc:f")),
-        "gbt_scores": Query(trees, scored),
+        "gbt_scores": Query(scores(tree_spec), scored),
         "evaluate_model": Query(evaluate, _kinds("reference_date:d auc:f")),
     }
 
 
+def _preparation_queries() -> dict[str, Query]:
+    """What training does to the rows before a model is fitted, step by step."""
+    spec = _spec("churn", "accounting_onboarding")
+    keys = "reference_date, environment, account_code, package_code"
+    rows_sql = sql.union_refs(_refs(spec), lambda ref: sql.dataset(ref, spec))
+    kind = {p: _predictor_kind(p) for p in spec.predictors}
+    categorical = [p for p in spec.predictors if kind[p] == "s"]
+    numeric = [p for p in spec.predictors if kind[p] != "s"]
+    prepared_sql = f"SELECT {keys}, {spec.label}, " + ", ".join(
+        [*[f"coalesce({c}, 'missing') AS _{c}" for c in categorical],
+         *[f"coalesce(CAST({c} AS DOUBLE), 0) AS _{c}" for c in numeric]]) + f" FROM ({rows_sql})"
+    key_kinds = _kinds(KEY + "package_code:s")
+
+    def rows(t: Tables) -> DataFrame:
+        return dataset(t, _refs(spec), spec)
+
+    def under(df: DataFrame) -> DataFrame:
+        """Keys as they were, predictors with an underscore in front."""
+        ready = learn.prepared(df, spec.predictors)
+        return ready.select(*key_kinds, spec.label, *[F.col(p).alias(f"_{p}") for p in spec.predictors])
+
+    def indexed(t: Tables) -> DataFrame:
+        ready = cut_lineage(learn.prepared(rows(t), spec.predictors))
+        encoders = Pipeline(stages=learn.encoding_stages(ready, spec.predictors)).fit(ready)
+        return encoders.transform(ready)
+
+    def assembled(t: Tables) -> DataFrame:
+        found = indexed(t).withColumn("_values", vector_to_array("features"))
+        rest = F.aggregate(F.slice("_values", len(numeric) + 1, F.size("_values")), F.lit(0.0), lambda a, x: a + x)
+        positions = F.slice("_values", 1, len(numeric))
+        return (found.select(*key_kinds, rest.alias("hot"), F.posexplode(positions).alias("position", "value")))
+
+    index_sql = ", ".join(f"(SELECT COUNT(*) FROM ranks r WHERE r.name = '{c}' AND (r.n > own_{c}.n OR r.n = own_{c}.n AND r.value < own_{c}.value)) "
+                          f"AS {c}_index" for c in categorical)
+    joins = " ".join(f"JOIN ranks own_{c} ON own_{c}.name = '{c}' AND own_{c}.value = p._{c}" for c in categorical)
+    ranks = " UNION ALL ".join(f"SELECT '{c}' AS name, _{c} AS value, COUNT(*) AS n FROM ready GROUP BY ALL" for c in categorical)
+    order = "CAST(conv(substr(md5(concat_ws('/', account_code, environment, reference_date)), 1, 12), 16, 10) AS BIGINT)"
+    order_sql = "CAST('0x' || substr(md5(concat_ws('/', account_code, environment, reference_date)), 1, 12) AS BIGINT)"
+    odds = "(0.3 * log_bank_entry_count - 0.2 * log_purchase_entry_count + 0.1)"
+    # of numeric predictors in their order, one row a value; each category has one 1 among the rest
+    values_sql = " UNION ALL ".join(f"SELECT {keys}, {i} AS position, _{c} AS value FROM ready" for i, c in enumerate(numeric))
+    return {
+        "prepared_predictors": Query(
+            lambda t: under(rows(t)), {**key_kinds, **{f"_{p}": "s" if p in categorical else "f" for p in spec.predictors}}, prepared_sql),
+        "encoded_categories": Query(
+            indexed, {**key_kinds, **{f"{c}_index": "i" for c in categorical}},
+            f"WITH ready AS ({prepared_sql}), ranks AS ({ranks}) SELECT {keys}, {index_sql} FROM ready p {joins}"),
+        "assembled_features": Query(
+            assembled, {**key_kinds, "hot": "i", "position": "i", "value": "f"},
+            f"WITH ready AS ({prepared_sql}) SELECT *, {len(categorical)} AS hot FROM ({values_sql})"),
+        "training_weights": Query(
+            lambda t: learn.weighted(rows(t), spec.label), {**key_kinds, "label": "f", "class_weight": "f"},
+            f"SELECT *, {spec.label} AS label, CASE WHEN {spec.label} = 1 THEN 1 - share ELSE share END AS class_weight "
+            f"FROM (SELECT *, AVG({spec.label}) OVER () AS share FROM ({rows_sql}))"),
+        "fold_numbers": Query(
+            lambda t: learn.stratified_folds(rows(t), spec.label, [REF, "environment", "account_code", "package_code"], order=order),
+            {**key_kinds, "fold": "i"},
+            f"SELECT *, ROW_NUMBER() OVER (PARTITION BY {spec.label} ORDER BY {order_sql} % 1024, {order_sql}, {keys}) % 5 AS fold FROM ({rows_sql})"),
+        "score_formula": Query(
+            lambda t: rows(t).withColumn("no_event", F.expr(f"1 / (1 + exp{odds})")).withColumn("health_score", fn.health_score("no_event")),
+            {**key_kinds, "no_event": "f", "health_score": "i"},
+            f"SELECT *, round_even(no_event * 100, 0) AS health_score FROM (SELECT *, 1 / (1 + exp{odds}) AS no_event FROM ({rows_sql}))"),
+    }
+
+
+def _storage_queries() -> dict[str, Query]:
+    """Sources and sinks: given tables written to the shared folder and read back."""
+    spec = _spec("churn", "accountancy")
+    dataset_sql = sql.union_refs(_refs(spec), lambda ref: sql.dataset(ref, spec))
+
+    def written_twice(t: Tables) -> DataFrame:
+        path = shared_path(t.spark, "training")
+        rows = cut_lineage(dataset(t, _refs(spec), spec))
+        write_by_reference_date(rows, path)
+        write_by_reference_date(rows.where(F.col(REF) == F.lit(_refs(spec)[0])), path)  # a date again replaces itself
+        return t.spark.read.parquet(path).groupBy(REF, "environment").agg(F.count(F.lit(1)).alias("n"), F.sum("churned").alias("churned"))
+
+    def from_csv(t: Tables) -> DataFrame:
+        path = shared_path(t.spark, "scores")
+        text = lambda c: F.date_format(F.col(c).cast("timestamp"), fn.SCORE_TIMESTAMP_FORMAT)
+        stored = t.get("health_score").select(
+            F.col("phase"), text("predict_date").alias("predictdate"), text("reference_date").alias("referencedate"),
+            "environment", F.col("account_code").alias("accountcode"), F.col("package_code").alias("packagecode"), F.col("health_score").alias("healthscore"))
+        append_rows(stored, path, "csv")
+        read = t.with_table("health_score", read_health_score_csv(t.spark, path))
+        return read.get("health_score").withColumn("predict_date", F.to_date("predict_date"))
+
+    def merged(t: Tables) -> DataFrame:
+        root = shared_path(t.spark, "lake")
+        accounts = t.get("accounts")
+        accounts.where("sector_code IS NULL").drop("sector_code").write.parquet(f"{root}/Accounts/part=1")
+        accounts.where("sector_code IS NOT NULL").write.parquet(f"{root}/Accounts/part=2")
+        lake = Tables.from_parquet(t.spark, root, merge_schema={"accounts"}, paths={"accounts": f"{root}/Acc*"}, clean={"accounts"})
+        return lake.get("accounts")
+
+    def statistics(t: Tables) -> DataFrame:
+        path = shared_path(t.spark, "statistics")
+        for auc in (0.5, 0.75):  # a run again replaces the row of its date
+            for ref in GRID:
+                write_by_reference_date(statistics_row(t.spark, run="train", reference_date=ref, auc=auc), path)
+        found = t.spark.read.parquet(path).select(REF, "run", "auc")
+        days = t.get("activity_daily").groupBy("date").agg(F.count(F.lit(1)).alias("events"))
+        return found.join(days, found[REF] == days["date"], "left").withColumn("events", F.coalesce("events", F.lit(0)))
+
+    grid = ", ".join(f"(DATE '{ref}')" for ref in GRID)
+    return {
+        "training_set_written": Query(
+            written_twice, _kinds("reference_date:d environment:s n:i churned:i"),
+            f"SELECT reference_date, environment, COUNT(*) AS n, SUM(churned) AS churned FROM ({dataset_sql}) GROUP BY ALL"),
+        "scores_from_csv": Query(
+            from_csv, _kinds("environment:s account_code:s package_code:s health_score:i reference_date:d predict_date:d phase:s"),
+            "SELECT * REPLACE (CAST(predict_date AS DATE) AS predict_date) FROM t_health_score"),
+        "merged_schema": Query(
+            merged, _kinds("environment:s account_code:s account_id:s sector_code:s is_accountant:s"), "SELECT * FROM t_accounts"),
+        "statistics_written": Query(
+            statistics, _kinds("reference_date:d run:s auc:f events:i"),
+            "SELECT reference_date, 'train' AS run, 0.75 AS auc, (SELECT COUNT(*) FROM t_activity_daily a WHERE a.date = g.reference_date) AS events "
+            f"FROM (VALUES {grid}) AS g(reference_date)"),
+    }
+
+
 DATASETS = {
     "established_dataset": ("churn", "accounting_established"),
     "onboarding_dataset": ("churn", "accounting_onboarding"),
@@ -507,6 +630,8 @@ def all_queries(sf_dir: str = "") -> dict[str, Query]:
         **_feature_queries(),
         **{name: _dataset(*key) for name, key in DATASETS.items()},
         **_monitoring_queries(sf_dir),
+        **_preparation_queries(),
+        **_storage_queries(),
         **_learning_queries(),
     }
 

@@ -19,18 +19,8 @@ WHOLESALE_NAME_PATTERN = "handel|trad|internation|product|materieel|wholesale"
 SCORE_TIMESTAMP_FORMAT = "MM-dd-yy hh:mm a"  # 10-24-19 09:30 AM
 
 
-def normalise_key(c: str) -> Column:
-    """Lower-cased and trimmed key, the one spelling used for every join."""
-    return F.expr(f"lower(trim({c}))")
-
-
-def normalise_label(c: str) -> Column:
-    """Lower-cased without any blank: ' Professional services' -> 'professionalservices'."""
-    return F.expr(f"lower(regexp_replace({c}, ' ', ''))")
-
-
 def label_text(text: str) -> str:
-    """Python twin of normalise_label for parameters."""
+    """A label as the tables have it: lower-cased without any blank."""
     return text.replace(" ", "").lower()
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tenura.functions import guarded_log, in_list, not_negative, not_negative_sql, null_safe_sum_sql
 from tenura.operators.contracts import cohort
-from tenura.operators.grid import ACCOUNT, REF, DistinctDays, Refs, in_look_back, window_bounds
+from tenura.operators.grid import ACCOUNT, REF, DistinctDays, Refs, in_look_back, look_back_windows
 from tenura.sources.tables import Tables
 
 # fixed values: activity codes
@@ -39,8 +39,7 @@ MANUFACTURING_SUMS = ("manufacturing_basic", "manufacturing_advanced")
 
 def _facts(tables: Tables, refs: Refs, window: int, countries: str | None, ids=None) -> DataFrame:
     """Activity rows of the look-back windows, tagged with their reference date."""
-    since, until = window_bounds(refs, window)
-    rows = tables.get("activity_daily", since, until)
+    rows = tables.get("activity_daily", windows=look_back_windows(refs, window))
     if countries is not None:
         rows = rows.where(in_list("environment", countries))
     if ids is not None:

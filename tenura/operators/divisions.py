@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tenura.functions import guarded_log, has_value, in_list, not_negative, not_negative_sql
 from tenura.operators.contracts import cohort
 from tenura.operators.grid import (
-    ACCOUNT, REF, LatestInt, Refs, as_of_latest, as_of_parts, day, in_look_back, unfold, window_bounds,
+    ACCOUNT, REF, LatestInt, Refs, as_of_latest, as_of_parts, day, in_look_back, look_back_windows,
+    unfold,
 )
 from tenura.sources.tables import Tables
 
@@ -68,8 +69,7 @@ def _growth(tables: Tables, refs: Refs, window: int, countries: str) -> DataFram
 
     An aggregate of its own: it only reads the windows, where the state needs the
     whole history."""
-    since, until = window_bounds(refs, window)
-    rows = (tables.get("division_statistics_daily", since, until)
+    rows = (tables.get("division_statistics_daily", windows=look_back_windows(refs, window))
             .where(in_list("environment", countries)))
     record = "struct(date, " + ", ".join(f"coalesce({c}, 0L) AS {c}" for c in GROWTH) + ")"
     difference = "struct(" + ", ".join(f"last.{c} - first.{c} AS {c}" for c in GROWTH) + ")"
@@ -80,8 +80,7 @@ def _growth(tables: Tables, refs: Refs, window: int, countries: str) -> DataFram
 
 def _changes(tables: Tables, refs: Refs, window: int, countries: str, counters: Sequence[str]) -> DataFrame:
     """Sum of each counter per division and look-back window."""
-    since, until = window_bounds(refs, window)
-    rows = (tables.get("division_statistics_daily_changes", since, until)
+    rows = (tables.get("division_statistics_daily_changes", windows=look_back_windows(refs, window))
             .where(in_list("environment", countries)))
     return (in_look_back(rows, refs, window).groupBy(REF, *DIVISION)
             .agg(F.expr("count(1) AS _change_rows"), *[F.expr(f"sum({c}) AS _sum_{c}") for c in counters]))

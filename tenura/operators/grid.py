@@ -25,9 +25,16 @@ def day(date: dt.date) -> str:
     return f"DATE '{date}'"
 
 
-def window_bounds(refs: Refs, days: int) -> tuple[dt.date, dt.date]:
-    """Earliest and latest day any look-back window needs."""
-    return min(refs) - dt.timedelta(days=days), max(refs)
+def look_back_windows(refs: Refs, days: int) -> list[tuple[dt.date, dt.date]]:
+    """The days that the look-back windows need, as ranges in order; those that meet are one."""
+    out: list[tuple[dt.date, dt.date]] = []
+    for ref in sorted(refs):
+        since = ref - dt.timedelta(days=days)
+        if out and since <= out[-1][1] + dt.timedelta(days=1):
+            out[-1] = (out[-1][0], ref)
+        else:
+            out.append((since, ref))
+    return out
 
 
 def in_window(ref: dt.date, days: int, date: str = "date") -> str:
@@ -35,17 +42,23 @@ def in_window(ref: dt.date, days: int, date: str = "date") -> str:
     return f"{date} BETWEEN {day(ref - dt.timedelta(days=days))} AND {day(ref)}"
 
 
-def _tagged(df: DataFrame, tests: dict[dt.date, str]) -> DataFrame:
+def _tagged(df: DataFrame, tests: dict[dt.date, str], disjoint: bool = False) -> DataFrame:
+    """Rows once for each reference date whose test holds; where at most one can, without an array."""
     if len(tests) == 1:
         (ref, test), = tests.items()
         return df.where(test).withColumn(REF, F.lit(ref))
+    if disjoint:
+        branches = " ".join(f"WHEN {test} THEN {day(ref)}" for ref, test in tests.items())
+        return df.selectExpr("*", f"CASE {branches} END AS {REF}").where(f"{REF} IS NOT NULL")
     hits = ", ".join(f"CASE WHEN {test} THEN {day(ref)} END" for ref, test in tests.items())
     return df.selectExpr("*", f"explode(array({hits})) AS {REF}").where(f"{REF} IS NOT NULL")
 
 
 def in_look_back(df: DataFrame, refs: Refs, days: int, date: str = "date") -> DataFrame:
     """Rows dated in [ref - days, ref], once per reference date."""
-    return _tagged(df, {ref: in_window(ref, days, date) for ref in refs})
+    ordered = sorted(refs)
+    apart = all((b - a).days > days for a, b in zip(ordered, ordered[1:]))
+    return _tagged(df, {ref: in_window(ref, days, date) for ref in refs}, apart)
 
 
 def in_horizon(df: DataFrame, ends: dict[dt.date, dt.date], date: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenura.functions import event_probability, in_list, label_text
+from tenura.functions import add_period, event_probability, in_list, label_text
 from tenura.operators.activity import PAGE_VIEW
 from tenura.operators.contracts import churned, downgrade_events, downgraded
 from tenura.sources.tables import Tables
@@ -28,10 +28,13 @@ def freshness_date(tables: Tables, since: dt.date | None = None) -> DataFrame:
     return viewed.union(changed).agg(F.min("latest_date").alias("latest_date"))
 
 
-def _published(tables: Tables, category: str, product: str, phase: str | None) -> DataFrame:
+def _published(tables: Tables, category: str, product: str, phase: str | None, until: dt.date | None = None) -> DataFrame:
+    """Scores of a product (and phase), predicted by the end of a day."""
     name, _ = SCORE_TABLES[category]
     packages = tables.get("package_classification").where(F.col("product") == label_text(product))
     scores = tables.get(name)
+    if until is not None:
+        scores = scores.where(F.col("predict_date") < F.lit(until + dt.timedelta(days=1)).cast("timestamp"))
     if phase is not None:
         scores = scores.where(F.col("phase") == phase.strip().lower())
     return scores.join(packages, ["environment", "package_code"])
@@ -57,7 +60,7 @@ def _latest_run(scores: DataFrame, past_date: dt.date, countries: str) -> Column
 def old_churn_scores(tables: Tables, past_date: dt.date, countries: str, product: str, phase: str,
                      period: int = 3) -> DataFrame:
     """Scores of the newest run on or before a date, with what happened since."""
-    scores = _published(tables, "churn", product, phase)
+    scores = _published(tables, "churn", product, phase, past_date)
     outcome = tables.get("accounts_contract_summary").select(
         "environment", "account_code", "full_cancellation_request_date", "latest_comm_final_date")
     predicted = F.to_date("predict_date")
@@ -74,9 +77,10 @@ def old_downgrade_scores(tables: Tables, past_date: dt.date, countries: str, pro
                          period: int = 3) -> DataFrame:
     """As old_churn_scores; an account appears once per downgrade strictly between
     the run and the end of its period, and once when there was none."""
-    scores = _published(tables, "downgrade", product, None)
+    scores = _published(tables, "downgrade", product, None, past_date)
     run = _latest_run(scores, past_date, countries)
-    events = (downgrade_events(tables, countries, product, None, None)
+    # the run is by past_date, so nothing after its period counts
+    events = (downgrade_events(tables, countries, product, None, add_period(past_date, period))
               .where((F.col("downgrade_date") > run) & (F.col("downgrade_date") < F.add_months(run, period))))
     predicted = F.to_date("predict_date")
     rows = (scores.where(predicted == run)
@@ -105,9 +109,3 @@ def auc_by_rank(df: DataFrame, score: str, label: str, by: list[str]) -> DataFra
                     F.try_divide(F.col("_pairs") / F.lit(2.0), F.col("positives") * F.col("negatives"))
                     .alias("auc")))
 
-
-def class_weights(df: DataFrame, label: str, by: list[str]) -> DataFrame:
-    """Weight of either class: the share of the other one."""
-    share = F.avg((F.lit(1.0) - F.col(label)).cast("double"))
-    return (df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), share.alias("positive_weight"))
-            .withColumn("negative_weight", F.lit(1.0) - F.col("positive_weight")))

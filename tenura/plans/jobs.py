@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +20,22 @@ from tenura.plans import learn
 from tenura.plans.dataset import dataset
 from tenura.plans.dates import evaluation_date, refine_dates, training_dates
 from tenura.plans.specs import KEYS, ProductSpec, get_spec, load_spec
-from tenura.sources.sinks import ModelStore, append_rows, statistics_row, write_by_reference_date
-from tenura.sources.tables import Tables
+from tenura.sources.sinks import ModelStore, append_jdbc, append_rows, statistics_row, write_by_reference_date
+from tenura.sources.tables import Tables, read_downgrade_score_csv, read_health_score_csv
 
 MODES = ("train", "predict", "evaluate", "validate", "all")
 
 
+def rows_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """What earlier runs wrote, None before the first one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 @dataclass
 class Run:
     """One product on one data set; results go below `out`."""
@@ -34,11 +45,24 @@ class Run:
     out: str
     current: dt.date
     past: dt.date
+    #: Further places of published scores: csv, table or jdbc -> path, table name or address.
+    sinks: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def create(cls, tables: Tables, spec: ProductSpec, out: str, current: dt.date | None = None,
                past: dt.date | None = None) -> Run:
-        current, past = refine_dates(spec, lambda: monitoring.freshness_date(tables).first()[0], current, past)
+        """Dates that are not given come from the data; days up to the last known one are not read again."""
+        freshness = f"{out}/freshness"
+
+        def newest() -> dt.date | None:
+            known = rows_or_none(tables.spark, freshness)
+            known = known and known.agg(F.max("latest_date")).first()[0]
+            found = monitoring.freshness_date(tables, known).first()[0] or known
+            if found is not None and found != known:
+                append_rows(tables.spark.createDataFrame([(found,)], "latest_date date"), freshness)
+            return found
+
+        current, past = refine_dates(spec, newest, current, past)
         return cls(tables, spec, out, current, past)
 
     @property
@@ -49,10 +73,11 @@ class Run:
     def models(self) -> ModelStore:
         return ModelStore(f"{self.out}/models")
 
-    def _statistics(self, kind: str, **values) -> None:
+    def _statistics(self, kind: str, reference_date: dt.date, **values) -> None:
+        """One row for a model and reference date: a run again replaces it."""
         row = statistics_row(self.spark, run=kind, environment=self.spec.countries, product=self.spec.product,
-                             phase=self.spec.phase, category=self.spec.category, **values)
-        append_rows(row, f"{self.out}/statistics/{kind}")
+                             phase=self.spec.phase, category=self.spec.category, reference_date=reference_date, **values)
+        write_by_reference_date(row, f"{self.out}/statistics/{kind}/model={self.spec.model_name}")
 
     def training_path(self) -> str:
         return f"{self.out}/training/{self.spec.model_name}"
@@ -80,26 +105,39 @@ class Run:
         model = self.models.load(self.spec.model_name, self.spark)
         return learn.score(model, dataset(self.tables, [ref], self.spec, label), self.spec.predictors)
 
+    @property
+    def score_table(self) -> str:
+        return monitoring.SCORE_TABLES[self.spec.category][0]
+
     def scores_path(self) -> str:
-        table = "health_score" if self.spec.category == "churn" else "is_usage_score"
-        return f"{self.out}/publish/{table}/model={self.spec.model_name}"
+        return f"{self.out}/publish/{self.score_table}/model={self.spec.model_name}"
 
     def predict(self) -> str:
-        """Publish the scores of the current date. Running it again replaces them."""
+        """Publish the scores of the current date. Running it again replaces them; the further sinks, which only
+        append, get them too."""
         name = monitoring.SCORE_TABLES[self.spec.category][1]
         scored = self._scored(self.current, label=False).select(
             *KEYS, F.col("health_score").alias(name), "reference_date",
             F.current_timestamp().alias("predict_date"), F.lit(self.spec.phase).alias("phase"))
         write_by_reference_date(scored, self.scores_path())
+        for kind, target in self.sinks.items():
+            written = self.spark.read.parquet(self.scores_path()).where(F.col("reference_date") == F.lit(self.current))
+            if kind == "jdbc":
+                append_jdbc(written, target, self.score_table)
+            else:
+                append_rows(written, target, kind)
         return self.scores_path()
 
     def published(self) -> Tables:
-        """The tables with this run's own published scores in place of the stored ones."""
-        table = "health_score" if self.spec.category == "churn" else "is_usage_score"
-        return self.tables.with_table(table, self.spark.read.parquet(self.scores_path()))
+        """The tables with the scores that were published: those of the lake and those of earlier runs below `out`."""
+        own = rows_or_none(self.spark, f"{self.out}/publish/{self.score_table}")
+        if own is None:
+            return self.tables
+        stored = self.tables.get(self.score_table)
+        return self.tables.with_table(self.score_table, stored.unionByName(own.select(stored.columns)))
 
     def output_exists(self) -> bool:
-        rows = monitoring.score_exists(self.tables, self.spec.category, self.current, self.spec.countries,
+        rows = monitoring.score_exists(self.published(), self.spec.category, self.current, self.spec.countries,
                                        self.spec.product, self.spec.phase)
         return not rows.isEmpty()
 
@@ -115,7 +153,7 @@ class Run:
     def validate(self) -> float | None:
         """AUC of scores published a period ago against what happened since."""
         old_date = add_period(self.current, -self.spec.period)
-        spec, tables = self.spec, self.tables
+        spec, tables = self.spec, self.published()
         if spec.category == "churn":
             rows = monitoring.old_churn_scores(tables, old_date, spec.countries, spec.product, spec.phase, spec.period)
         else:
@@ -124,7 +162,7 @@ class Run:
                                          "_event", "label", ["product", "predict_date"]).first())
         if result is None:
             return None
-        self._statistics("validate", predict_date=result["predict_date"], validate_date=dt.datetime.now(),
+        self._statistics("validate", reference_date=old_date, predict_date=result["predict_date"], validate_date=dt.datetime.now(),
                          auc=result["auc"])
         return result["auc"]
 
@@ -146,6 +184,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lake", required=True, help="root folder of the domain tables")
     parser.add_argument("--out", required=True, help="root folder of models, scores and statistics")
     parser.add_argument("--config", help="JSON file instead of the built-in specification")
+    parser.add_argument("--score-csv", help="published scores in CSV instead of the lake's table")
+    parser.add_argument("--clean", action="store_true", help="the lake's tables were written with normalised keys")
+    for kind in ("csv", "table", "jdbc"):
+        parser.add_argument(f"--publish-{kind}", help=f"append published scores to this {kind} sink as well")
     parser.add_argument("--current-date", type=dt.date.fromisoformat)
     parser.add_argument("--past-date", type=dt.date.fromisoformat)
     parser.add_argument("--shuffle-partitions", type=int,
@@ -160,8 +202,13 @@ def main(argv: list[str] | None = None) -> None:
     if options.shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", options.shuffle_partitions)
     spark = builder.getOrCreate()
-    tables = Tables.from_parquet(spark, options.lake)
-    Run.create(tables, spec, options.out, options.current_date, options.past_date).run(options.mode)
+    tables = Tables.from_parquet(spark, options.lake, clean=options.clean)
+    if options.score_csv:
+        read = read_health_score_csv if spec.category == "churn" else read_downgrade_score_csv
+        tables = tables.with_table(monitoring.SCORE_TABLES[spec.category][0], read(spark, options.score_csv))
+    run = Run.create(tables, spec, options.out, options.current_date, options.past_date)
+    run.sinks = {kind: target for kind in ("csv", "table", "jdbc") if (target := getattr(options, f"publish_{kind}"))}
+    run.run(options.mode)
 
 
 if __name__ == "__main__":

@@ -30,8 +30,12 @@ GBT_MIN_INSTANCES = (5, 10, 20)
 GBT_ROUNDS = 50
 GBT_STEP = 0.05
 GBT_SUBSAMPLE = 0.6
+GBT_COLUMNS = "0.6"
+#: Gain of a split per row; the usual bound of 0.1 is on sums over the rows of a node.
+GBT_MIN_GAIN = 1e-4
+#: One row in so many is held back to stop boosting when its error no longer falls.
+STOP_SHARE = 10
 MISSING_CATEGORY = "missing"
-ROWS_PER_TASK = 100_000
 
 
 def split_columns(df: DataFrame, predictors) -> tuple[list[str], list[str]]:
@@ -56,16 +60,15 @@ def prepared(df: DataFrame, predictors) -> DataFrame:
     return df.withColumns(columns)
 
 
-def class_share(df: DataFrame, label: str) -> tuple[float, int]:
-    """(share of positives, number of rows) in one small aggregate."""
-    row = df.agg(F.avg(F.col(label).cast("double")), F.count(F.lit(1))).first()
-    return row[0] or 0.0, row[1]
+def class_share(df: DataFrame, label: str) -> float:
+    """Share of positives, by one small aggregate."""
+    return df.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0
 
 
 def weighted(df: DataFrame, label: str, share: float | None = None) -> DataFrame:
     """Adds label and class_weight: a row weighs the share of the other class."""
     if share is None:
-        share, _ = class_share(df, label)
+        share = class_share(df, label)
     return df.withColumns({
         "label": F.col(label).cast("double"),
         "class_weight": F.when(F.col(label) == 1, 1.0 - share).otherwise(share),
@@ -73,14 +76,14 @@ def weighted(df: DataFrame, label: str, share: float | None = None) -> DataFrame
 
 
 def stratified_folds(df: DataFrame, label: str, keys, folds: int = FOLDS, seed: int = 0,
-                     buckets: int = 1024) -> DataFrame:
+                     buckets: int = 1024, order: str | None = None) -> DataFrame:
     """Adds a fold number such that every fold holds the same number of rows of
     each class, give or take one.
 
-    Rows are put in hash order. The order is built per (class, bucket of the hash)
+    Rows are put in hash order (or that of another number, the SQL of `order`). The order is built per (class, bucket of the hash)
     and continued over the buckets by their counts, so no task sees a whole class.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys))
+    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), *keys) if order is None else F.expr(order))
     hashed = hashed.withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
     group = [label, "_bucket"]
     sizes = hashed.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
@@ -115,7 +118,8 @@ def logistic_regression():
 
 def boosted_trees():
     model = GBTClassifier(weightCol="class_weight", maxIter=GBT_ROUNDS, stepSize=GBT_STEP,
-                          subsamplingRate=GBT_SUBSAMPLE, seed=0)
+                          subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=GBT_COLUMNS,
+                          minInfoGain=GBT_MIN_GAIN, validationIndicatorCol="stopping", seed=0)
     grid = (ParamGridBuilder().addGrid(model.maxDepth, list(GBT_MAX_DEPTH))
             .addGrid(model.minInstancesPerNode, list(GBT_MIN_INSTANCES)).build())
     return model, grid
@@ -150,7 +154,7 @@ def select_model(data: DataFrame, spec: ProductSpec, algorithm=None, grid=None,
             raise ValueError(f"unknown algorithm {spec.algorithm!r}") from None
         grid = grid or default_grid
     encoders = Pipeline(stages=encoding_stages(data, spec.predictors)).fit(data)
-    encoded = encoders.transform(data).select("features", "label", "class_weight", "fold")
+    encoded = encoders.transform(data).select("features", "label", "class_weight", "fold", "stopping")
     validator = CrossValidator(estimator=algorithm, estimatorParamMaps=grid,
                                evaluator=BinaryClassificationEvaluator(numBins=0),
                                numFolds=folds, foldCol="fold", parallelism=parallelism)
@@ -162,16 +166,12 @@ def select_model(data: DataFrame, spec: ProductSpec, algorithm=None, grid=None,
 
 
 def training_frame(dataset: DataFrame, spec: ProductSpec) -> DataFrame:
-    """Prepared predictors, label, class weight and fold.
-
-    Fitting passes over the data dozens of times, so partitions are merged until a
-    task has rows enough to be worth starting.
-    """
+    """Prepared predictors, label, class weight, fold, and which rows stop the boosting."""
     keys = ["reference_date", *KEYS]
     rows = dataset.select(*dict.fromkeys([*keys, *spec.predictors, spec.label]))
-    share, count = class_share(rows, spec.label)
-    data = weighted(prepared(stratified_folds(rows, spec.label, keys), spec.predictors), spec.label, share)
-    return data.coalesce(max(1, count // ROWS_PER_TASK))
+    folded = stratified_folds(rows, spec.label, keys)
+    stopping = F.pmod(F.xxhash64(F.lit("stopping"), *keys), F.lit(STOP_SHARE)) == 0
+    return weighted(prepared(folded, spec.predictors), spec.label, class_share(rows, spec.label)).withColumn("stopping", stopping)
 
 
 def score(model, data: DataFrame, predictors) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -17,19 +17,18 @@ STATISTICS_SCHEMA = (
 REGISTRY_SCHEMA = "model string, train_date timestamp, auc double, path string"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the cluster shares (spark.checkpoint.dir). A local
-    session without one gets a folder of its own."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-            folder = tempfile.mkdtemp(prefix="tenura-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the folder that driver and executors share: spark.checkpoint.dir, or one beside the warehouse
+    where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame, label: str = "rows") -> DataFrame:
+    """Written to the shared folder and read back: nothing before is computed again, lost executors lose nothing."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_by_reference_date(df: DataFrame, path: str) -> None:
@@ -76,8 +75,9 @@ class ModelStore:
 
     def save(self, model, name: str, auc: float, spark: SparkSession, now: dt.datetime | None = None) -> str:
         now = now or dt.datetime.now()
-        path = f"{self.root}/{name}/train_date={now:%Y%m%d}"
-        model.write().overwrite().save(path)
+        # a folder of its own: a scoring run never reads a model that is being written
+        path = f"{self.root}/{name}/train_date={now:%Y%m%d}/{uuid.uuid4().hex}"
+        model.write().save(path)
         spark.createDataFrame([(name, now, auc, path)], REGISTRY_SCHEMA) \
             .write.mode("append").parquet(self._registry())
         return path
@@ -85,7 +85,9 @@ class ModelStore:
     def latest(self, name: str, spark: SparkSession) -> tuple[dt.datetime, str] | None:
         try:
             models = spark.read.schema(REGISTRY_SCHEMA).parquet(self._registry())
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # unreadable is not absent
+                raise
             return None
         row = (models.where(F.col("model") == name)
                .orderBy(F.col("train_date").desc()).select("train_date", "path").first())

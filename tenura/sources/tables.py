@@ -9,9 +9,11 @@ date partitions) whatever the logical date is derived from.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -87,6 +89,9 @@ DIRECTORIES = {
     "is_usage_score": "ISUsageScore",
 }
 
+#: Tables of published scores: none before the first run.
+SCORES = ("health_score", "is_usage_score")
+
 DATE_COLUMNS = {
     "activity_daily": "date",
     "activity_daily_contracts": "date",
@@ -122,8 +127,8 @@ def stored_field(column: str, df: DataFrame):
     return next((present[s] for s in spellings(column) if s in present), None)
 
 
-def normalised(table: str, df: DataFrame) -> DataFrame:
-    """Schema order, declared types, one spelling per key. Absent columns are NULL."""
+def normalised(table: str, df: DataFrame, clean: bool = False) -> DataFrame:
+    """Schema order, declared types, one spelling per key (in a clean table they are as stored). Absent columns are NULL."""
     out = []
     for name in column_names(table):
         kind = column_type(table, name)
@@ -136,7 +141,9 @@ def normalised(table: str, df: DataFrame) -> DataFrame:
             # bad text is NULL, also under ANSI rules; a number that does not fit is an error
             cast = "try_cast" if isinstance(field.dataType, StringType) else "cast"
             text = f"{cast}(`{field.name}` AS {kind})"
-        if name in KEY_COLUMNS:
+        if clean and field is not None and isinstance(field.dataType, StringType):
+            pass
+        elif name in KEY_COLUMNS:
             text = f"lower(trim({text}))"
         elif name in LABEL_COLUMNS:
             text = f"lower(regexp_replace({text}, ' ', ''))"
@@ -173,6 +180,15 @@ class Stored:
     read: Callable[[], DataFrame]
     bounds: Bounds | None = None
     project: Callable[[DataFrame], DataFrame] | None = None
+    #: Keys and labels were normalised when the table was written: filters on them reach the scan.
+    clean: bool = False
+
+
+def _either(ranges: list[list[str]]) -> str:
+    """SQL test that all predicates of one of the ranges hold; empty when a range is open at both ends."""
+    if not all(ranges):
+        return ""
+    return " OR ".join(f"({' AND '.join(predicates)})" for predicates in ranges)
 
 
 class Tables:
@@ -190,31 +206,47 @@ class Tables:
         return cls(spark, {name: Stored(lambda df=df: df) for name, df in frames.items()})
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, merge_schema: bool = False,
-                     paths: Mapping[str, str] | None = None) -> Tables:
-        """One directory (or glob, through `paths`) per table below `root`."""
+    def from_parquet(cls, spark: SparkSession, root: str, merge_schema: bool | Collection[str] = False,
+                     paths: Mapping[str, str] | None = None, clean: bool | Collection[str] = False) -> Tables:
+        """One directory (or glob, through `paths`) per table below `root`, opened once. Schemas are merged for all
+        tables or the named ones; `clean` says which tables were written with normalised keys. A lake without
+        published scores has an empty table of them."""
+        def among(name: str, chosen: bool | Collection[str]) -> bool:
+            return chosen if isinstance(chosen, bool) else name in chosen
+
         def reader(name: str) -> Stored:
             path = (paths or {}).get(name, f"{root}/{DIRECTORIES[name]}")
-            return Stored(lambda: spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path))
+            merge = str(among(name, merge_schema)).lower()
+
+            @cache
+            def read() -> DataFrame:
+                return read_or_empty(spark, path, name) if name in SCORES else \
+                    spark.read.option("mergeSchema", merge).parquet(path)
+
+            return Stored(read, clean=among(name, clean))
 
         return cls(spark, {name: reader(name) for name in SCHEMAS})
 
     def with_table(self, name: str, df: DataFrame) -> Tables:
         return Tables(self.spark, {**self._stored, name: Stored(lambda: df)})
 
-    def get(self, name: str, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
-        """Rows of a table dated in [since, until]; both ends included, None is open."""
+    def get(self, name: str, since: dt.date | None = None, until: dt.date | None = None,
+            windows: Sequence[tuple[dt.date, dt.date]] | None = None) -> DataFrame:
+        """Rows of a table dated in [since, until], or in one of several such ranges; both ends
+        included, None is open."""
         stored = self._stored[name]
         raw = stored.read()
-        predicates = (stored.bounds or _stored_bounds(name, raw))(since, until)
-        if predicates:
-            raw = raw.where(" AND ".join(predicates))
+        ranges = [(since, until)] if windows is None else list(windows)
+        bounds = stored.bounds or _stored_bounds(name, raw)
+        limits = _either([bounds(a, b) for a, b in ranges])
+        if limits:
+            raw = raw.where(limits)
         if stored.project:
             raw = stored.project(raw)
-        df = normalised(name, raw)
-        limits = [f"{DATE_COLUMNS[name]} {sign} DATE '{day}'"
-                  for sign, day in ((">=", since), ("<=", until)) if day is not None]
-        return df.where(" AND ".join(limits)) if limits else df
+        df = normalised(name, raw, stored.clean)
+        limits = _either([[f"{DATE_COLUMNS[name]} {sign} DATE '{day}'"
+                           for sign, day in ((">=", a), ("<=", b)) if day is not None] for a, b in ranges])
+        return df.where(limits) if limits else df
 
     def register_views(self, prefix: str = "") -> None:
         """Temporary views for parameterised SQL text."""
@@ -222,6 +254,25 @@ class Tables:
             self.get(name).createOrReplaceTempView(prefix + name)
 
 
+def read_or_empty(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The stored table, or one without rows where nothing was written yet. Any other failure is an error."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SCHEMAS[name])
+
+
+def read_downgrade_score_csv(spark: SparkSession, path: str) -> DataFrame:
+    """As read_health_score_csv, for the downgrade score."""
+    raw = spark.read.csv(path, header=True)
+    return raw.select(
+        "environment", F.col("accountcode").alias("account_code"), F.col("packagecode").alias("package_code"),
+        F.expr("try_cast(score AS int)").alias("score"), F.to_date(parse_score_timestamp("referencedate")).alias("reference_date"),
+        parse_score_timestamp("predictdate").alias("predict_date"), "phase")
+
+
 def read_health_score_csv(spark: SparkSession, path: str) -> DataFrame:
     """Published scores in CSV: header, all text, dates such as '10-24-19 09:30 AM'."""
     raw = spark.read.csv(path, header=True)  # by header name, every column text, no inference scan

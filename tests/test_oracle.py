@@ -22,8 +22,9 @@ def test_same_as_sql(spark, connection, name):
 
 
 def test_entry_point(spark):
-    names = set(entry_point.queries())
-    assert set(entry_point.oracle_sql()) <= names
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+    names = set(all_queries(SF))
+    assert names <= set(entry_point.queries())
     assert names - set(entry_point.oracle_sql()) == {
         "train_predict_scores", "stratified_cv_metrics", "gbt_scores", "evaluate_model"}
     assert entry_point.entry(spark).count() > 0

@@ -6,15 +6,25 @@ import re
 import pytest
 
 from tenura.checks.registry import all_queries
-from tenura.sources.testdata import star_schema_tables
+from tenura.operators.activity import activity_measures
+from tenura.sources.tables import DIRECTORIES, Tables
+from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 
 SF = "/root/testdata/sf0.001"
 CHECKED = [name for name, query in all_queries(SF).items() if query.sql is not None]
 
 
+def plan_text(spark, df):
+    """The physical plan with whole filters."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def plan_of(spark, name):
-    df = all_queries(SF)[name].frame(star_schema_tables(spark, SF))
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(spark, all_queries(SF)[name].frame(star_schema_tables(spark, SF)))
 
 
 @pytest.mark.parametrize("name", CHECKED)
@@ -42,6 +52,36 @@ def test_page_views_read_four_columns_of_the_window(spark):
         assert "GreaterThanOrEqual(ts" in filters and "LessThan(ts" in filters
 
 
+def test_only_the_windows_are_read(spark):
+    """Four windows with gaps between them: four ranges at the scan, and no array for each row."""
+    plan = plan_of(spark, "active_days_login_freq")
+    found = [filters for columns, filters in scans(plan) if columns.startswith("ts#")]
+    assert found and all(filters.count("GreaterThanOrEqual(ts") == 4 for filters in found)
+    assert "Generate explode(array(CASE" not in plan
+
+
+def test_clean_lake_pushes_the_country(spark, tmp_path):
+    stored = star_schema_tables(spark, SF)
+    for name, directory in DIRECTORIES.items():
+        stored.get(name).write.parquet(str(tmp_path / directory))
+    for clean in (True, False):
+        lake = Tables.from_parquet(spark, str(tmp_path), clean=clean)
+        df = activity_measures(lake, [REFERENCE_DATE], 30, "NL", ("pageviews",))
+        filters = [f for c, f in scans(plan_text(spark, df)) if "quantity" in c]
+        assert filters and all(("EqualTo(environment,nl)" in f or "In(environment" in f) == clean for f in filters)
+        lake_rows = sorted(map(repr, df.collect()))
+        assert lake_rows == sorted(map(repr, activity_measures(stored, [REFERENCE_DATE], 30, "NL", ("pageviews",)).collect()))
+
+
+def test_lake_tables_are_opened_once(spark, tmp_path):
+    star_schema_tables(spark, SF).get("users").write.parquet(str(tmp_path / "Users"))
+    lake = Tables.from_parquet(spark, str(tmp_path))
+    assert lake._stored["users"].read() is lake._stored["users"].read()
+    assert lake.get("health_score").isEmpty()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lake.get("accounts")
+
+
 def test_dataset_prunes_counters_it_does_not_use(spark):
     plan = plan_of(spark, "established_dataset")
     assert "project_total" not in plan and "gl_transactions" not in plan

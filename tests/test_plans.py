@@ -14,7 +14,7 @@ from tenura.plans.jobs import Run, main
 from tenura.plans.named_queries import NAMED, run_named
 from tenura.plans.specs import SPECS, get_spec, load_spec, snake_case
 from tenura.sources.sinks import ModelStore
-from tenura.sources.tables import DIRECTORIES
+from tenura.sources.tables import DIRECTORIES, SCORES, Tables
 from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 from tests.conftest import d, rows
 from tests.fixtures import REF, tables
@@ -186,12 +186,12 @@ def test_run_modes(spark, tmp_path, monkeypatch):
     scores = spark.read.parquet(run.scores_path())
     live = dataset(run.tables, [REFERENCE_DATE], spec, label=False).count()
     assert scores.count() == live > 0
-    published = Run(run.published(), spec, str(tmp_path), run.current, run.past)
-    assert published.output_exists()
+    assert run.output_exists()
     run.evaluate()
     run.validate()
     statistics = {kind: spark.read.parquet(f"{tmp_path}/statistics/{kind}") for kind in ("train", "evaluate", "validate")}
-    assert {kind: df.count() for kind, df in statistics.items()} == {"train": 2, "evaluate": 1, "validate": 1}
+    # a run again replaces the row of its reference date
+    assert {kind: df.count() for kind, df in statistics.items()} == {"train": 1, "evaluate": 1, "validate": 1}
     assert statistics["train"].where("auc IS NULL OR reg_param IS NULL").isEmpty()
     with pytest.raises(ValueError):
         run.run("dance")
@@ -211,6 +211,41 @@ def test_command_line_on_a_lake(spark, tmp_path, capsys):
         main([*arguments, "--mode", "unknown"])
 
 
+def test_publish_loop_on_a_lake_without_scores(spark, tmp_path, monkeypatch, capsys):
+    """A first run of all modes on a lake without score tables; the second one finds the scores of the first."""
+    monkeypatch.setattr(learn, "LR_REG_PARAM", (0.1,))
+    t, lake, out = star_schema_tables(spark, SF), tmp_path / "lake", tmp_path / "out"
+    for name, directory in DIRECTORIES.items():
+        if name not in SCORES:
+            t.get(name).write.parquet(str(lake / directory))
+    arguments = ["--category", "churn", "--name", "accountancy", "--lake", str(lake), "--out", str(out), "--clean",
+                 "--publish-csv", str(tmp_path / "csv")]
+    main([*arguments, "--mode", "all"])
+    first = capsys.readouterr().out
+    assert "already exist" not in first and "validate churn_accountancy" in first
+    published = spark.read.parquet(str(out / "publish" / "health_score"))
+    assert published.count() == spark.read.csv(str(tmp_path / "csv"), header=True).count() > 0
+    main([*arguments, "--mode", "all"])
+    assert "already exist" in capsys.readouterr().out
+    assert spark.read.parquet(str(out / "publish" / "health_score")).count() == published.count()
+    assert spark.read.parquet(str(out / "freshness")).count() == 1
+    # scores of a period ago are judged by what happened since
+    spec = replace(get_spec("churn", "accountancy"))
+    old = Run.create(Tables.from_parquet(spark, str(lake), clean=True), spec, str(out), current=REFERENCE_DATE - dt.timedelta(days=182))
+    old.predict()
+    later = Run.create(Tables.from_parquet(spark, str(lake), clean=True), spec, str(out), current=REFERENCE_DATE)
+    old_scores = later.published().get("health_score").where(F.col("reference_date") == F.lit(old.current))
+    assert old_scores.count() > 0
+
+
+def test_unreadable_is_not_absent(spark, tmp_path):
+    (tmp_path / "registry").mkdir()
+    (tmp_path / "registry" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        ModelStore(str(tmp_path)).latest("m", spark)
+    assert ModelStore(str(tmp_path / "nowhere")).latest("m", spark) is None
+
+
 def test_named_queries(spark):
     t = tables(spark)
     day, env = "2024-01-31", "NL,BE"
