@@ -132,6 +132,9 @@ def user_roles(tables: Tables, refs: Refs, window: int, countries: str) -> DataF
              .agg(F.expr("bool_or(is_accountant = 'Accountant') AS _accountant")))
     users = (tables.get("users").join(homes, "account_id")
              .selectExpr("user_id", "account_id AS _home", "_accountant"))
+    # rows without a user would all meet in one task: each account's go their own way, and match nobody
+    nobody = F.concat(F.lit("\0"), "environment", "account_code")
+    by_user = by_user.withColumn("user_id", F.coalesce("user_id", nobody))
     merged = (by_user.join(users, "user_id", "left").groupBy(*ACCOUNT)
               .agg(F.sum("_views").alias("pageviews"), F.count("_home").alias("_known"),
                    *own.merged("account_id = _home", days),
