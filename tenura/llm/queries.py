@@ -35,7 +35,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_join(table(spark, sf_dir, "documents"))
+    return near_join(table(spark, sf_dir, "documents")).drop("text_mark")
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,4 +89,24 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM lowered WINDOW same AS (PARTITION BY body)""",
+    # all pairs that share a 5-gram, and everything reachable by links
+    "op3_ngram_jaccard_join": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+') AS words FROM documents),
+        grams AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [''] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS gram FROM split),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM grams a JOIN grams b USING (gram)
+            WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT x, y, shared.n = one.n AND shared.n = two.n AS same FROM shared JOIN sizes one ON one.doc_id = x
+            JOIN sizes two ON two.doc_id = y WHERE shared.n >= 0.8 * (one.n + two.n - shared.n) - 1e-9),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT reached.doc_id, y FROM reached JOIN links ON x = other),
+        classes AS (SELECT doc_id, min(other) AS class_id FROM reached GROUP BY doc_id),
+        degrees AS (SELECT x AS doc_id, count(*) AS n_links, count(*) FILTER (WHERE same) AS copies FROM links GROUP BY x)
+        SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(copies, 0) + 1 AS class_size, doc_id = class_id AS kept
+        FROM classes LEFT JOIN degrees USING (doc_id)""",
 }
