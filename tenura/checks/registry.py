@@ -266,6 +266,22 @@ def _division_queries() -> dict[str, Query]:
                   "AND b.account_code = f.account_code WHERE b.tenure_in_months < 6")
         return sql.without_defaults(joined)
 
+    # changes with counters at the threshold of the country or above, or with one of them just below it
+    counted = list(divisions.DEFAULT_ENTRIES["nl"])
+    offset = "(abs(account_count) + {i}) % 7 - 1"
+    near = {c: "CASE environment " + " ".join(f"WHEN '{country}' THEN {limits[c]}" for country, limits in divisions.DEFAULT_ENTRIES.items())
+            + f" END + {offset.format(i=i)}" for i, c in enumerate(counted)}
+    around = ["environment", "abs(project_type_time_and_material) AS tenure_in_months", "abs(account_count) % 7 AS step",
+              *[f"{expression} AS {c}" for c, expression in near.items()]]
+    sums = ", ".join(f"SUM({c}) AS {c}" for c in counted)
+
+    def around_thresholds(t: Tables) -> DataFrame:
+        rows = t.get("division_statistics_daily_changes").selectExpr(*around)
+        return (divisions.without_default_entries(rows).groupBy("environment", "tenure_in_months", "step")
+                .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in counted]))
+
+    around_sql = (f"SELECT environment, tenure_in_months, step, COUNT(*) AS n, {sums} FROM ("
+                  + sql.without_defaults(f"SELECT {', '.join(around)} FROM t_division_statistics_daily_changes") + ") GROUP BY ALL")
     return {
         "division_financials": _block(divisions.financial_statistics, sql.financial, financial,
                                       WINDOW, EVERYWHERE, "Accounting"),
@@ -275,6 +291,8 @@ def _division_queries() -> dict[str, Query]:
                                WINDOW, EVERYWHERE, "Professional services"),
         "remove_default_entries": Query(lambda t: features(t, GRID, onboarding, label=False),
                                         _keyed(entries), sql.union_refs(GRID, defaults_sql)),
+        "default_entry_thresholds": Query(around_thresholds, _kinds("environment:s tenure_in_months:i step:i n:i " + " ".join(f"{c}:i" for c in counted)),
+                                          around_sql),
         "default_fills": Query(lambda t: features(t, GRID, ps, label=False),
                                {**_keyed(fills), "sector_code": "s"}, sql.union_refs(GRID, fills_sql)),
     }
