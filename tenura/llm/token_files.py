@@ -29,7 +29,7 @@ HASH_BITS = 18
 
 
 def grammar(ids: np.ndarray, ends: np.ndarray, base: int, most_rules: int, rounds: int = 12,
-            least: int = 4, each_round: int = 2048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            least: int = 4, each_round: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, last flags, rules): frequent pairs replaced by nonterminals from `base` on, round by round.
 
     `ends` flags the last id of each document; no pair crosses it. A round replaces its most frequent pairs together,
@@ -42,14 +42,20 @@ def grammar(ids: np.ndarray, ends: np.ndarray, base: int, most_rules: int, round
     for _ in range(rounds):
         if len(x) < 2 * least or rules >= most_rules:
             break
-        hashed = (x[:-1] * np.uint32(2654435761) + x[1:] * np.uint32(2246822519)) >> np.uint32(32 - HASH_BITS)
-        often = np.bincount(hashed, minlength=1 << HASH_BITS) >= least
-        at = np.flatnonzero(often[hashed] & ~last[:-1])
-        pair = x[at].astype(np.uint64) << np.uint64(32) | x[at + 1]
-        ordered = np.sort(pair)
-        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
-        count = np.diff(np.append(first, len(ordered)))
-        chosen = np.flatnonzero(count >= least)
+        hashed = ((x[:-1] * np.uint32(2654435761) + x[1:] * np.uint32(2246822519)) >> np.uint32(32 - HASH_BITS)).astype(np.intp)
+        held = np.bincount(hashed, minlength=1 << HASH_BITS)
+        # a pair is at most as frequent as its hash: the most frequent pairs are behind the most frequent hashes
+        floor = max(least, int(np.partition(held, -2 * each_round)[-2 * each_round]))
+        while True:
+            at = np.flatnonzero((held >= floor)[hashed] & ~last[:-1])
+            pair = x[at].astype(np.uint64) << np.uint64(32) | x[at + 1]
+            ordered = np.sort(pair)
+            first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+            count = np.diff(np.append(first, len(ordered)))
+            chosen = np.flatnonzero(count >= least)
+            if len(chosen) or floor == least:
+                break
+            floor = least
         room = min(each_round, most_rules - rules)
         if len(chosen) > room:
             chosen = np.sort(chosen[np.argsort(-count[chosen], kind="stable")[:room]])
