@@ -351,11 +351,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 1600, most_chars: int
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).dropDuplicates(["doc_id"]).where(~held_out())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("body")).where(F.length("body") <= most_chars)
+    usable = marked.join(rows.select("doc_id").distinct(), "doc_id")  # ids only: texts are read once the sample is known
     order = F.xxhash64("doc_id", F.lit(seed))
-    found = []
-    for label in (1, 0):
-        found += marked.where(F.col("toxic") == label).join(rows, "doc_id").orderBy(order, "doc_id", "body").limit(sample).collect()
-    return train([r["body"] for r in found], [r["toxic"] for r in found], seed)
+    chosen = [usable.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(sample) for label in (1, 0)]
+    # at most twice `sample` rows
+    texts = rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("body").alias("body"))
+    found = sorted(((r["doc_id"], r["body"], r["toxic"]) for r in texts.collect()))
+    return train([body for _, body, _ in found], [toxic for _, _, toxic in found], seed)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
