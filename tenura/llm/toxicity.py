@@ -252,8 +252,8 @@ class Model:
 
 
 def train(texts: list[str], labels: list[int], seed: int = 3, epochs: int = 5, rounds: int = 3, batch: int = 128,
-          most_known: int = 8_000) -> Model:
-    """Trains on a sample of labelled texts. Without texts of both labels every score is the share of toxic ones."""
+          most_known: int = 8_000, least_steps: int = 120) -> Model:
+    """Trains on a sample of labelled texts, each round for `epochs` passes and at least `least_steps` steps. Without texts of both labels every score is the share of toxic ones."""
     toxic = np.array(labels, dtype=bool)
     share = (toxic.sum() + 1) / (len(toxic) + 2)
     random = np.random.default_rng(seed)
@@ -285,7 +285,8 @@ def train(texts: list[str], labels: list[int], seed: int = 3, epochs: int = 5, r
             chosen = [int(np.clip(peak - WINDOW // 2, 0, max(0, len(own) - WINDOW))) for peak, own in zip(peaks, words)]
         else:
             chosen = strongest
-        for _ in range(epochs):
+        windows_each = len(texts) + 2 * int((~toxic).sum())
+        for _ in range(max(epochs, -(-least_steps * batch // windows_each))):
             picked = [(n, chosen[n]) for n in range(len(texts))]
             # jitter keeps the network from learning a place in the window
             jitter = random.integers(-WINDOW // 2, WINDOW // 2 + 1, len(picked))
