@@ -1,8 +1,11 @@
-"""Line dedup by content-defined chunks, with DataFrame functions only.
+"""Line dedup by chunks that their content defines, with DataFrame functions only.
 
-A chunk ends after a line where a rolling hash over the last two line hashes falls on a boundary value, so an inserted
-line moves only the boundaries near it. Chunks of several lines that occur again anywhere in the corpus are candidates
-by hash; their bytes are compared with the first occurrence before they are removed.
+`passage_dedup` hashes every two lines that follow one another, and every long line alone. What occurs again anywhere in
+the corpus is a candidate by hash; its bytes are compared with the first occurrence. Repeated pairs that touch make up
+the repeated passage, whatever stands before and after it.
+
+`line_dedup` compares whole chunks only: a chunk ends after a line where a rolling hash over the last two line hashes
+falls on a boundary value. Passages that don't fill a chunk stay there.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from pyspark.sql import functions as F
 from tenura.llm.common import HOT_SHARE, hot_keys, saved, spread
 
 NO_ID = -(2 ** 63)
+#: A line of this many words and more is a passage by itself.
+LONG_LINE = 50
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -51,6 +56,31 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
     return F.array_join(F.slice(lines, chunk["start"] + 1, chunk["lines"]), "\n")
 
 
+def pairs_of(lines: Column, long_line: int = LONG_LINE) -> Column:
+    """Array of (start, lines, filled, hash): every line that isn't blank with the next such line, and every long line alone."""
+
+    def pairs(places: Column) -> Column:
+        def one(at: Column, k: Column) -> Column:
+            after = F.get(places, k + 1)
+            return F.when(after.isNotNull(), F.struct(
+                at.alias("start"), (after - at + 1).alias("lines"), F.lit(2).alias("filled"), F.xxhash64(F.get(lines, at), F.get(lines, after)).alias("hash")))
+
+        def alone(at: Column) -> Column:
+            line = F.get(lines, at)
+            long = (F.length(line) >= 2 * long_line - 1) & (F.size(F.split(F.trim(line), r"\s+")) >= long_line)
+            return F.when(long, F.struct(at.alias("start"), F.lit(1).alias("lines"), F.lit(1).alias("filled"), F.xxhash64(line).alias("hash")))
+
+        return F.filter(F.concat(F.transform(places, one), F.transform(places, alone)), lambda c: c.isNotNull())
+
+    return let(F.filter(F.transform(lines, lambda line, i: F.when(F.trim(line) != "", i)), lambda i: i.isNotNull()), pairs)
+
+
+def pair_text(lines: Column, pair: Column) -> Column:
+    """The lines of a pair without the blank ones between."""
+    first, last = F.get(lines, pair["start"]), F.get(lines, pair["start"] + pair["lines"] - 1)
+    return F.when(pair["lines"] == 1, first).otherwise(F.concat_ws("\n", first, last))
+
+
 def line_dedup(docs: DataFrame, one_in: int = 3, least_lines: int = 2, id_col: str = "doc_id", text_col: str = "text",
                hot_least: int = 256) -> DataFrame:
     """`docs` with repeated chunks taken out of the text, and `removed_chunks` and `removed_lines`.
@@ -60,47 +90,72 @@ def line_dedup(docs: DataFrame, one_in: int = 3, least_lines: int = 2, id_col: s
     document and keep equal texts; a null id is the smallest. Two different chunks with the same 64-bit hash both stay.
     Other columns pass through; names that begin with `_ld_` are taken.
     """
+    return _without_repeated(docs, lambda lines: F.filter(chunks_of(lines, one_in), lambda c: c["filled"] >= least_lines), chunk_text,
+                             lambda gone, _: F.size(gone), id_col, text_col, hot_least)
+
+
+def passage_dedup(docs: DataFrame, long_line: int = LONG_LINE, id_col: str = "doc_id", text_col: str = "text", hot_least: int = 256) -> DataFrame:
+    """`docs` with repeated passages taken out of the text, and `removed_chunks` (stretches of lines) and `removed_lines`.
+
+    A passage is a run of two lines and more that aren't blank, or one line of `long_line` words and more. Blank lines
+    inside a run don't count and go with it. Of every two lines the occurrence in the smallest id stays (there the first),
+    all others go, but for those that share a line with the first; so every line stays somewhere. The rest is as in
+    `line_dedup`.
+    """
+    def stretches(_: Column, lines: Column) -> Column:
+        return F.size(F.array_except(lines, F.transform(lines, lambda i: i + 1)))
+
+    return _without_repeated(docs, lambda lines: pairs_of(lines, long_line), pair_text, stretches, id_col, text_col, hot_least)
+
+
+def _without_repeated(docs: DataFrame, units_of: Callable[[Column], Column], body_of: Callable[[Column, Column], Column],
+                      count_of: Callable[[Column, Column], Column], id_col: str, text_col: str, hot_least: int) -> DataFrame:
+    """`docs` without the units of lines that occur at an earlier place; `count_of` (units, numbers of the lines) gone is `removed_chunks`."""
     keyed = docs.withColumns({"_ld_doc": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_ld_mark": F.xxhash64(F.col(text_col))})
     text = F.col(text_col)
-    found = keyed.where(text.isNotNull()).select(
-        "_ld_doc", "_ld_mark", F.explode(let(lines_of(text), lambda lines: chunks_of(lines, one_in))).alias("chunk"))
-    seen = saved(found.where(F.col("chunk.filled") >= least_lines)
-                 .select("_ld_doc", "_ld_mark", F.col("chunk.start").alias("start"), F.col("chunk.lines").alias("lines"),
-                         F.col("chunk.hash").alias("hash")).distinct(), "lines-seen")
+    found = keyed.where(text.isNotNull()).select("_ld_doc", "_ld_mark", F.explode(let(lines_of(text), units_of)).alias("unit"))
+    seen = saved(found.select("_ld_doc", "_ld_mark", F.col("unit.start").alias("start"), F.col("unit.lines").alias("lines"),
+                              F.col("unit.hash").alias("hash")), "lines-seen")
     total = seen.count()
-    place = F.struct("_ld_doc", "_ld_mark", "start")
+    place = F.struct("_ld_doc", "_ld_mark", "start", "lines")
     repeated = saved(seen.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1"), "lines-repeated")
     limit = max(hot_least, total // HOT_SHARE)
     hot = hot_keys(repeated, total, hot_least).drop("salts")
     plain = seen.join(hot.select("hash"), "hash", "left_anti").join(repeated.where(F.col("n") <= limit), "hash")
     marked = plain.unionByName(seen.join(hot, "hash"))
+    same_doc = (F.col("_ld_doc") == F.col("first._ld_doc")) & (F.col("_ld_mark") == F.col("first._ld_mark"))
+    inside = same_doc & (F.col("start") > F.col("first.start")) & (F.col("start") < F.col("first.start") + F.col("first.lines"))
     salts = F.ceil(F.col("n") / limit).cast("int")
-    flags = marked.select("_ld_doc", "_ld_mark", F.struct("start", "lines", "hash", salts.alias("salts"), (place == F.col("first")).alias("first")).alias("flag"))
-    flags = flags.groupBy("_ld_doc", "_ld_mark").agg(F.collect_set("flag").alias("_ld_flags"))  # as many as a document has chunks
+    flags = marked.where(~inside).select(
+        "_ld_doc", "_ld_mark", F.struct("start", "lines", "hash", salts.alias("salts"), (place == F.col("first")).alias("first")).alias("flag"))
+    flags = flags.groupBy("_ld_doc", "_ld_mark").agg(F.collect_set("flag").alias("_ld_flags"))  # as many as a document has units
     joined = saved(keyed.join(flags, ["_ld_doc", "_ld_mark"], "left"), "lines-flagged")
     touched = joined.where(F.col("_ld_flags").isNotNull())
 
     def with_text(lines: Column) -> Column:
         return F.transform(F.col("_ld_flags"), lambda f: F.struct(
-            f["start"].alias("start"), f["hash"].alias("hash"), f["salts"].alias("salts"), f["first"].alias("first"), chunk_text(lines, f).alias("body")))
+            f["start"].alias("start"), f["lines"].alias("lines"), f["hash"].alias("hash"), f["salts"].alias("salts"), f["first"].alias("first"),
+            body_of(lines, f).alias("body")))
 
     texts = touched.select("_ld_doc", "_ld_mark", F.inline(let(lines_of(text), with_text)))
     firsts = (texts.where("first").select("hash", "salts", F.col("body").alias("first_body")).dropDuplicates(["hash"])
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts"))
     others = texts.where("NOT first").withColumn("salt", F.pmod(spread("_ld_doc", "start"), F.col("salts")).cast("int"))
     equal = others.join(firsts, ["hash", "salt"]).where(F.col("body") == F.col("first_body"))
-    gone = equal.groupBy("_ld_doc", "_ld_mark").agg(F.collect_set("start").alias("_ld_gone"))
+    gone = equal.groupBy("_ld_doc", "_ld_mark").agg(F.collect_set(F.struct("start", "lines")).alias("_ld_gone"))
+    numbers = F.array_distinct(F.flatten(F.transform("_ld_gone", lambda g: F.sequence(g["start"], g["start"] + g["lines"] - 1))))
 
     def rest(lines: Column) -> Column:
-        chunks = F.filter(chunks_of(lines, one_in), lambda c: ~F.array_contains(F.col("_ld_gone"), c["start"]))
-        return F.flatten(F.transform(chunks, lambda c: F.slice(lines, c["start"] + 1, c["lines"])))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_ld_lines"))
+        return F.transform(kept, lambda i: F.get(lines, i))
 
     order = docs.columns
-    changed = touched.join(gone, ["_ld_doc", "_ld_mark"], "left").withColumn("_ld_rest", F.when(F.col("_ld_gone").isNotNull(), let(lines_of(text), rest)))
+    changed = touched.join(gone, ["_ld_doc", "_ld_mark"], "left").withColumn("_ld_lines", numbers)
+    changed = changed.withColumn("_ld_rest", F.when(F.col("_ld_gone").isNotNull(), let(lines_of(text), rest)))
     cleaned = changed.withColumns({
         text_col: F.when(F.col("_ld_gone").isNull(), text).otherwise(F.array_join("_ld_rest", "\n")),
-        "removed_chunks": F.coalesce(F.size("_ld_gone"), F.lit(0)),
-        "removed_lines": F.when(F.col("_ld_gone").isNull(), 0).otherwise(F.size(lines_of(text)) - F.size("_ld_rest"))})
+        "removed_chunks": F.when(F.col("_ld_gone").isNull(), 0).otherwise(count_of(F.col("_ld_gone"), F.col("_ld_lines"))),
+        "removed_lines": F.when(F.col("_ld_gone").isNull(), 0).otherwise(F.size("_ld_lines"))})
     same = joined.where(F.col("_ld_flags").isNull()).withColumns({"removed_chunks": F.lit(0), "removed_lines": F.lit(0)})
     columns = [*(c for c in order if c not in ("removed_chunks", "removed_lines")), "removed_chunks", "removed_lines"]
     return same.select(columns).unionByName(cleaned.select(columns))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenura.llm.exact_dedup import LOWER, UPPER, exact_dedup
-from tenura.llm.line_chunks import line_dedup
+from tenura.llm.line_chunks import passage_dedup
 from tenura.llm.near_join import near_join
 from tenura.llm import toxicity
 from tenura.llm.merge_dropout import decode, encode
@@ -49,7 +49,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_chunks", "removed_lines")
+    return passage_dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_chunks", "removed_lines")
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

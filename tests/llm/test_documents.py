@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from tenura.llm import near_join as near
 from tenura.llm.common import vocabulary
 from tenura.llm.exact_dedup import directory, exact_dedup
-from tenura.llm.line_chunks import chunks_of, let, line_dedup, lines_of
+from tenura.llm.line_chunks import chunks_of, let, line_dedup, lines_of, passage_dedup
 from tenura.llm.packing import best_fit, bin_completion, lower_bound, pack, sequences
 from tenura.llm.token_files import Shard, digest, read_tokens, to_payload, write_tokens
 from tenura.llm.word_ids import WordEncoder
-from tests.llm.helpers import frame, odd_documents
+from tests.llm.helpers import frame, odd_documents, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -211,6 +211,48 @@ def test_line_dedup(spark):
     assert sum(n for _, _, n in got) > 10
 
 
+def passages_by_hand(rows, long_line=50):
+    """Texts without what occurs at an earlier place: two lines that follow one another, or a long line."""
+    places = sorted({(-2 ** 63 if i is None else i, t) for i, t in rows if t is not None})
+    first, gone = {}, collections.defaultdict(set)
+    for doc in places:
+        lines = doc[1].split("\n")
+        filled = [k for k, line in enumerate(lines) if line.strip(" ")]
+        units = [(a, b) for a, b in zip(filled, filled[1:])] + [(k, k) for k in filled if len(lines[k].split()) >= long_line]
+        for a, b in sorted(units):
+            key = lines[a] if a == b else (lines[a], lines[b])
+            earlier = first.setdefault(key, (doc, a, b))
+            if earlier[0] != doc or a > earlier[2] or a == b != earlier[1]:
+                gone[doc] |= set(range(a, b + 1))
+    return {doc: ("\n".join(line for k, line in enumerate(doc[1].split("\n")) if k not in gone[doc]), len(gone[doc])) for doc in places}
+
+
+def passage_rows():
+    """Passages of 2 to 5 lines and one long line, each in several documents with lines of their own around."""
+    rows = []
+    for size in range(2, 6):
+        passage = [" ".join(words(7000 + 10 * size + k, 14)) for k in range(size)]
+        for copy in range(4):
+            own = [" ".join(words(8000 + 100 * size + 10 * copy + k, 7)) for k in range(2 + copy)]
+            inner = [passage[0], "", *passage[1:]] if copy == 3 else passage
+            rows.append((1000 + 10 * size + copy, "\n".join([*own[:1 + copy], *inner, *own[1 + copy:]])))
+    long = " ".join(words(9000, 60))
+    rows += [(2000 + copy, "\n".join([f"before {copy}", long, f"after {copy}"])) for copy in range(3)]
+    return rows + [(2100, "\n".join(["again"] * 5)), (2101, "again\nonly one shared line\nagain")]
+
+
+@pytest.mark.parametrize("hot", [2, 256])
+def test_passages_of_any_place_go(spark, hot):
+    rows = passage_rows() + odd_documents()
+    expected = passages_by_hand(rows)
+    got = [(r["doc_id"], r["text"], r["removed_lines"]) for r in passage_dedup(frame(spark, rows), hot_least=hot).collect()]
+    assert sorted(got, key=repr) == sorted(((i, *(expected[(-2 ** 63 if i is None else i, t)] if t is not None else (None, 0))) for i, t in rows), key=repr)
+    lines = {i: n for i, _, n in got}
+    assert [lines[1000 + 10 * size + copy] for size in range(2, 6) for copy in range(3)] == [n for size in range(2, 6) for n in (0, size, size)]
+    assert [lines[1000 + 10 * size + 3] for size in range(2, 6)] == [3, 4, 5, 6]
+    assert [lines[2000 + copy] for copy in range(3)] == [0, 1, 1]
+
+
 # near join
 
 def near_by_hand(rows):
