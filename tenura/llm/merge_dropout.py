@@ -1,16 +1,19 @@
 """SentencePiece encoding with seeded merge-dropout, and its lossless decoding.
 
 A merge-type vocabulary joins the adjacent pair with the best score until none is left. Here every candidate taken from
-the agenda is skipped when a keyed hash of (seed, variant, chunk, place, piece) falls below the dropout rate; a pair
-that a later merge makes anew is a new candidate. The variant of a chunk is a keyed hash of the document's id and
-the chunk's place, so equal words are cut in different ways, the same in every run. With rate 0 the ids are those of the library.
+the agenda is skipped with the chance of the dropout rate; a pair that a later merge makes anew is a new candidate. The
+draws come from a keyed hash of (seed, document's id, place of the chunk), so every occurrence of a word is cut by draws
+of its own, the same in every run. What is kept between occurrences are facts without chance: how a word is cut when
+given ones of its candidates are skipped. With rate 0 the ids are those of the library.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+import struct
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,6 +25,9 @@ from tenura.llm.common import text_of, vocabulary
 
 SPACE = "▁"
 SHORT, NONE = 48, float("inf")
+#: Ways with more skipped candidates are made anew each time: there are too many to be met again.
+KEPT_DROPS = 1
+GOLDEN, LOW = 0x9E3779B97F4A7C15, 0xFFFFFFFFFFFFFFFF
 ENCODED = "doc_id long, text string, ids binary"
 
 
@@ -51,53 +57,97 @@ class Pieces:
         self.pairs = {piece[k:k + 2] for piece in self.ids for k in range(len(piece) - 1)}
 
 
+class Way:
+    """How a part is cut when the candidates numbered `drops` are skipped and all after them taken: `left` is the number of
+    candidates after the last skipped one, `further` the ways with one more skipped, by its place among those."""
+
+    __slots__ = ("drops", "left", "ids", "further")
+
+    def __init__(self, drops: tuple, left: int, ids: bytes):
+        self.drops, self.left, self.ids, self.further = drops, left, ids, None
+
+
 class Encoder:
-    def __init__(self, path: str, rate: float, seed: int, variants: int, most: int = 800_000):
-        self.pieces, self.limit, self.seed, self.variants, self.most = Pieces(path), int(rate * 2 ** 32), seed, variants, most
+    """`variants` bounds the ways one word is cut; None lets every occurrence have its own draws."""
+
+    def __init__(self, path: str, rate: float, seed: int, variants: int | None = None, most: int = 200_000):
+        self.pieces, self.seed, self.variants, self.most = Pieces(path), seed, variants, most
         if self.pieces.inner_space or not self.pieces.lone_newline:
             raise ValueError("the vocabulary has pieces across words")
-        self.kept: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        #: Bounds of a 32-bit hash for so many candidates taken before the next one is skipped, ascending.
+        bounds, chance = [], 1 - rate
+        while rate > 0 and (bound := int(chance * 2 ** 32)) > 0:
+            bounds.append(bound)
+            chance *= 1 - rate
+        self.bounds = bounds[::-1]
+        self.bounds_at = np.array(self.bounds, dtype=np.uint64)
+        self.never = rate <= 0
+        self.kept: dict[str, tuple[float, bytes, list[tuple[str, Way]]]] = {}
         self.held = 0
         self.chunks = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
         self.mark = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], dtype="<u4").tobytes()
 
-    def cut(self, chunk: str, variant: int) -> list[str]:
-        """The chunk's segments after merging the best candidate, the left one of equals, until none is left. A candidate
-        that its hash drops is out until a neighbour's merge makes a new one there."""
+    def taken(self, key: int, n: int) -> float:
+        """How many candidates are taken before the next skipped one: draw `n` of a key."""
+        if self.never:
+            return NONE
+        x = (key + n * GOLDEN) & LOW
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & LOW
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & LOW
+        return len(self.bounds) - bisect_right(self.bounds, (x ^ (x >> 31)) >> 32)
+
+    def first_taken(self, keys: np.ndarray) -> list:
+        """`taken` of many keys, draw 0."""
+        if self.never:
+            return [NONE] * len(keys)
+        x = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return (len(self.bounds) - np.searchsorted(self.bounds_at, (x ^ (x >> np.uint64(31))) >> np.uint64(32), side="right")).tolist()
+
+    def drops(self, key: int) -> Iterator[float]:
+        """Numbers of the skipped candidates."""
+        at, n = -1, 0
+        while True:
+            at += self.taken(key, n) + 1
+            n += 1
+            yield at
+
+    def cut(self, chunk: str, key: int) -> list[str]:
+        """The chunk's segments with the draws of a key."""
+        return self.merged(chunk, self.drops(key))[0]
+
+    def cut_long(self, chunk: str, key: int) -> list[str]:
+        return self.merged_long(chunk, self.drops(key))[0]
+
+    def merged(self, chunk: str, drops: Iterable[float]) -> tuple[list[str], int]:
+        """The chunk's segments after merging the best candidate, the left one of equals, until none is left, and the number
+        of candidates. One whose number is in `drops` (ascending) is out until a neighbour's merge makes a new one there."""
         if len(chunk) > SHORT:
-            return self.cut_long(chunk, variant)
-        scores, limit = self.pieces.scores, self.limit
-        key = xxhash.xxh32_intdigest(chunk, self.seed * 1_000_003 + variant)
-        parts, places = list(chunk), list(range(len(chunk)))
+            return self.merged_long(chunk, drops)
+        scores, drops = self.pieces.scores, iter(drops)
+        parts, seen, skip = list(chunk), 0, next(drops, NONE)
         agenda = [scores.get(a + b, NONE) for a, b in zip(parts, parts[1:])]
         while agenda:
             score = min(agenda)
             if score == NONE:
                 break
             k = agenda.index(score)
-            if limit and self.dropped(key, score, places[k], limit):
-                agenda[k] = NONE
+            seen += 1
+            if seen > skip:
+                agenda[k], skip = NONE, next(drops, NONE)
                 continue
             pair = parts[k] = parts[k] + parts[k + 1]
-            del parts[k + 1], places[k + 1], agenda[k]
+            del parts[k + 1], agenda[k]
             if k:
                 agenda[k - 1] = scores.get(parts[k - 1] + pair, NONE)
             if k < len(agenda):
                 agenda[k] = scores.get(pair + parts[k + 1], NONE)
-        return parts
-
-    @staticmethod
-    def dropped(key: int, score: float, place: int, limit: int) -> bool:
-        mixed = (key ^ (int(score) * 0x9E3779B1 + place * 0x85EBCA77)) & 0xFFFFFFFF
-        mixed = ((mixed ^ (mixed >> 15)) * 0x2C1B3C6D) & 0xFFFFFFFF
-        mixed = ((mixed ^ (mixed >> 12)) * 0x297A2D39) & 0xFFFFFFFF
-        return mixed ^ (mixed >> 15) < limit
+        return parts, seen
 
-    def cut_long(self, chunk: str, variant: int) -> list[str]:
+    def merged_long(self, chunk: str, drops: Iterable[float]) -> tuple[list[str], int]:
         """The same for long chunks, from a heap of (score, place) candidates."""
-        scores, limit = self.pieces.scores, self.limit
-        key = xxhash.xxh32_intdigest(chunk, self.seed * 1_000_003 + variant)
-        parts = list(chunk)
+        scores, drops = self.pieces.scores, iter(drops)
+        parts, seen, skip = list(chunk), 0, next(drops, NONE)
         size = len(parts)
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         agenda = []
@@ -116,7 +166,9 @@ class Encoder:
             pair = left + parts[right_at]
             if len(pair) != length or scores.get(pair) != score:
                 continue  # an end was merged meanwhile
-            if limit and self.dropped(key, score, k, limit):
+            seen += 1
+            if seen > skip:
+                skip = next(drops, NONE)
                 continue
             parts[k], parts[right_at] = pair, ""
             following = after[k] = after[right_at]
@@ -132,32 +184,84 @@ class Encoder:
                 score = scores.get(new)
                 if score is not None:
                     heapq.heappush(agenda, (score, previous, len(new)))
-        return [part for part in parts if part]
+        return [part for part in parts if part], seen
 
-    def _part(self, part: str, variant: int) -> bytes:
+    def _ids(self, pieces: list[str]) -> bytes:
         ids, out = self.pieces.ids, []
-        for piece in self.cut(part, variant):
+        for piece in pieces:
             n = ids.get(piece)
             out += [n] if n is not None else [self.pieces.byte_ids[b] for b in piece.encode()]
-        return np.array(out, dtype="<u4").tobytes()
-
-    def _chunk(self, chunk: str, variant: int) -> bytes:
-        """Ids of a chunk: of its parts, between which no merge is possible."""
-        pairs, kept = self.pieces.pairs, self.kept[variant]
-        breaks = [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in pairs]
-        found, start = [], 0
-        for end in [*breaks, len(chunk)]:
-            part = chunk[start:end]
-            ids = kept.get(part)
-            if ids is None:
-                ids = kept[part] = self._part(part, variant)
-                self.held += 1
+        return struct.pack(f"<{len(out)}I", *out)
+
+    def _way(self, part: str, drops: tuple) -> Way:
+        pieces, seen = self.merged(part, drops)
+        return Way(drops, seen - (drops[-1] + 1 if drops else 0), self._ids(pieces))
+
+    def _parts(self, chunk: str) -> list[str]:
+        """Parts of a chunk, between which no merge is possible."""
+        pairs = self.pieces.pairs
+        ends = [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in pairs]
+        return [chunk[start:end] for start, end in zip([0, *ends], [*ends, len(chunk)])] if ends else [chunk]
+
+    def _once(self, chunk: str, taken: float, key: int) -> bytes:
+        """Ids of a chunk with the draws of `key`, the first of them `taken`; nothing is kept."""
+        found, n = [], 0
+        for part in self._parts(chunk):
+            if len(part) == 1:
+                found.append(self._ids([part]))
+            else:
+                ids, taken, n = self._alone(part, (taken,), key, n)
+                found.append(ids)
+        return b"".join(found)
+
+    def _whole(self, chunk: str) -> tuple[float, bytes, list[tuple[str, Way]]]:
+        """Of a chunk with nothing skipped: number of candidates, ids, and its parts."""
+        parts = []
+        for part in self._parts(chunk):
+            same = self.kept.get(part)
+            parts.append(same[2][0] if same and len(same[2]) == 1 else (part, self._way(part, ())))
+        self.held += 1 + len(parts)
+        self.kept[chunk] = whole = sum(way.left for _, way in parts), b"".join(way.ids for _, way in parts), parts
+        return whole
+
+    def _alone(self, part: str, drops: tuple, key: int, n: int) -> tuple[bytes, int, int]:
+        """Ids of a part whose first skipped candidates are `drops`, the last one from draw `n`; candidates taken after it
+        before the next skipped one, and that one's draw."""
+        at = drops[-1]
+
+        def numbers() -> Iterator[int]:
+            nonlocal at, n
+            yield from drops
+            while True:
+                n += 1
+                at += self.taken(key, n) + 1
+                yield at
+
+        pieces, seen = self.merged(part, numbers())
+        return self._ids(pieces), at - seen, n
+
+    def _skipping(self, parts: list[tuple[str, Way]], taken: float, key: int) -> bytes:
+        """Ids of a chunk of which the draws of `key` skip candidates; the first after `taken` ones."""
+        found, n = [], 0
+        for part, way in parts:
+            while taken < way.left:
+                further = way.further.get(taken) if way.further else None
+                if further is None:
+                    drops = (*way.drops, (way.drops[-1] + 1 if way.drops else 0) + taken)
+                    if len(drops) > KEPT_DROPS:
+                        ids, taken, n = self._alone(part, drops, key, n)
+                        break
+                    further = self._way(part, drops)
+                    way.further = {**(way.further or {}), taken: further}
+                    self.held += 1
+                way = further
+                n += 1
+                taken = self.taken(key, n)
+            else:
+                ids = way.ids
+                taken -= way.left
             found.append(ids)
-            start = end
-        if breaks:
-            kept[chunk] = ids = b"".join(found)
-            self.held += 1
-        return ids
+        return b"".join(found)
 
     def encode(self, text: str, doc_id: int) -> bytes:
         """Ids as little-endian unsigned 32-bit integers. A mark that stands for a space elsewhere is spelled in bytes."""
@@ -167,20 +271,26 @@ class Encoder:
         out = []
         for n, segment in enumerate(segments):
             chunks = self.chunks.findall(segment.replace(" ", SPACE))
+            first = xxhash.xxh64_intdigest(f"{doc_id}/{n}", self.seed)
             with np.errstate(over="ignore"):
-                places = np.arange(len(chunks), dtype=np.uint64) + np.uint64(xxhash.xxh64_intdigest(f"{doc_id}/{n}", self.seed))
-                places *= np.uint64(0x9E3779B97F4A7C15)
-            variants = ((places ^ (places >> np.uint64(32))) % np.uint64(self.variants)).tolist()
+                keys = np.arange(len(chunks), dtype=np.uint64) + np.uint64(first)
+                if self.variants:
+                    keys = (keys * np.uint64(GOLDEN) >> np.uint64(32)) % np.uint64(self.variants)
+                takes = self.first_taken(keys)
             if self.held > self.most:
                 self.held = 0
-                for kept in self.kept:
-                    kept.clear()
+                self.kept.clear()
             kept, found = self.kept, []
-            for variant, chunk in zip(variants, chunks):
-                ids = kept[variant].get(chunk)
-                if ids is None:
-                    ids = self._chunk(chunk, variant)
-                found.append(ids)
+            for k, (taken, chunk) in enumerate(zip(takes, chunks)):
+                whole = kept.get(chunk)
+                if not whole:
+                    if whole is None:  # most chunks are met once
+                        kept[chunk] = ()
+                        self.held += 1
+                        found.append(self._once(chunk, taken, int(keys[k])))
+                        continue
+                    whole = self._whole(chunk)
+                found.append(whole[1] if taken >= whole[0] else self._skipping(whole[2], taken, int(keys[k])))
             if n:
                 out.append(self.mark)
             out.append(b"".join(found))
@@ -191,12 +301,12 @@ _MADE: dict[tuple, Encoder] = {}
 _PIECES: dict[str, Pieces] = {}
 
 
-def encode(docs: DataFrame, rate: float = 0.1, seed: int = 17, variants: int = 2, vocabulary_path: str | None = None,
+def encode(docs: DataFrame, rate: float = 0.1, seed: int = 17, variants: int | None = None, vocabulary_path: str | None = None,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, ids): little-endian unsigned 32-bit ids of every text, with merges dropped at `rate`.
 
-    A null text is an empty one and has no ids; a null id counts as none for the variants and stays null; repeated rows
-    are cut alike; other columns are not read.
+    Every occurrence of a word has draws of its own; `variants` bounds them. A null text is an empty one and has no ids;
+    a null id counts as -1 for the draws and stays null; repeated rows are cut alike; other columns are not read.
     """
     key = (vocabulary_path or vocabulary("piece_bpe_32k.model"), rate, seed, variants)
 

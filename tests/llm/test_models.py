@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tenura.llm import neighbours, toxicity
@@ -147,6 +148,36 @@ def test_dropout_decodes_and_varies(spark):
     assert encode(frame(spark, [])).count() == 0
 
 
+def test_every_occurrence_is_cut_by_itself(spark):
+    made = Encoder(vocabulary("piece_bpe_32k.model"), 0.1, 17)
+    texts, ids = ["international law " * 40] * 100, range(100)
+    rows = encode(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
+    assert len({bytes(r["ids"]) for r in rows}) == 100
+    cuts = [tuple(made.cut("▁international", xxhash.xxh64_intdigest(str(k)))) for k in range(4000)]
+    assert len(set(cuts)) > 20
+    # kept ways give what the agenda gives, and candidates are skipped at the rate
+    for chunk in ("▁international", "▁law", "▁a\u65e5b" + "the" * 20):
+        count, _, parts = made._whole(chunk)
+        for key in range(300):
+            key = xxhash.xxh64_intdigest(f"k{key}")
+            skipping, taken, wanted = made._skipping(parts, made.taken(key, 0), key), made.drops(key), []
+            skip, before = next(taken), 0
+            for part, _ in parts:
+                own, seen = [], 0
+                while True:
+                    _, seen = made.merged(part, own)
+                    if skip - before >= seen:
+                        break
+                    own.append(skip - before)
+                    skip = next(taken)
+                wanted.append(made._way(part, tuple(own)).ids)
+                before += seen
+            assert skipping == b"".join(wanted) == made._once(chunk, made.taken(key, 0), key)
+            assert made.first_taken(np.array([key], dtype=np.uint64)) == [made.taken(key, 0)]
+    none = sum(made.taken(xxhash.xxh64_intdigest(str(k)), 0) >= 13 for k in range(4000))
+    assert abs(none / 4000 - 0.9 ** 13) < 0.03
+
+
 # pages
 
 @pytest.mark.parametrize("page,text", [
