@@ -25,10 +25,15 @@ WORD = re.compile(r"\w+")
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 16, 12, 8
 TRIGRAMS = 1 << 12
+#: A longer run of letters, as texts without spaces have, becomes overlapping words of this length.
+LONGEST = 40
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    words = WORD.findall(text.lower())
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [word[k:k + LONGEST] for word in words for k in range(0, max(1, len(word) - LONGEST // 2), LONGEST // 2)]
 
 
 class Grams(dict):
@@ -43,7 +48,7 @@ GRAMS = Grams()
 
 
 def trigrams(word: str) -> list[int]:
-    padded = f"^{word[:40]}$"
+    padded = f"^{word}$"
     return [GRAMS[padded[k:k + 3]] for k in range(len(padded) - 2)]
 
 

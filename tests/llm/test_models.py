@@ -45,6 +45,18 @@ def test_gradients():
     assert slope(inputs, (2, 20)) == pytest.approx(d_inputs[2, 20], abs=2e-5)
 
 
+@pytest.mark.parametrize("size", [39, 40, 41, 60, 61, 2000])
+def test_long_runs_are_read_to_the_end(size):
+    run = "".join(chr(0x4e00 + 7 * k % 3001) for k in range(size))
+    pieces = toxicity.words_of(f"short {run}\nend")
+    assert pieces[0] == "short" and pieces[-1] == "end" and max(map(len, pieces)) <= 40
+    inner = {run[k:k + 3] for k in range(size - 2)}
+    assert inner <= {piece[k:k + 3] for piece in pieces for k in range(len(piece) - 2)}
+    # the end of the run enters the network
+    seen = [sum(map(toxicity.trigrams, toxicity.words_of(text)), []) for text in (run, run[:-5] + "idiot")]
+    assert seen[0] != seen[1]
+
+
 def test_windows_cover_the_text():
     for n in (0, 1, 31, 32, 33, 47, 48, 49, 1000):
         starts = toxicity.window_starts(n)
