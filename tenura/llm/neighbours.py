@@ -155,8 +155,16 @@ def _stacked(column: pd.Series, size: int) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64) if len(column) else np.zeros((0, size))
 
 
+def in_blocks(sent: DataFrame, ask_rows: int) -> tuple[DataFrame, DataFrame]:
+    """What is sent to each (cell, part), dealt over blocks of about `ask_rows` rows, and (cell, part, block) of all blocks."""
+    blocks = key_counts(sent, "cell", "part").select("cell", "part", F.ceil(F.col("n") / ask_rows).cast("int").alias("blocks"))
+    asking = sent.join(F.broadcast(blocks), ["cell", "part"])  # at most one row for every part
+    asking = asking.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.col("blocks")).cast("int")).drop("blocks")
+    return asking, blocks.select("cell", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+
+
 def _one_length(rows: DataFrame, size: int, queries: Column, k: int, dims: int, chance: float, cell_rows: int, part_rows: int,
-                sample: int, seed: int) -> DataFrame:
+                ask_rows: int, sample: int, seed: int) -> DataFrame:
     facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("longest")).first()
     projection, stop = Projection(size, math.sqrt(facts["longest"]), dims, seed), chi_square_point(dims, chance)
     levels = min(12, max(0, math.ceil(math.log2(max(1, facts["n"] / cell_rows)))))
@@ -223,18 +231,21 @@ def _one_length(rows: DataFrame, size: int, queries: Column, k: int, dims: int,
                                    _stacked(asking["vector"], size), query_ids, asking["bound"].to_numpy(np.float64), k, stop)
         return _rows(query_ids, found_ids, scores)
 
-    away = dealt.groupBy("cell", "part").cogroup(sent.groupBy("cell", "part")).applyInPandas(elsewhere, FOUND)
+    asking, blocks = in_blocks(sent, ask_rows)
+    asked_parts = dealt.select("cell", "part", "vec_id", "vector").join(F.broadcast(blocks), ["cell", "part"])  # a part for every block of its queries
+    keys = ("cell", "part", "block")
+    away = asked_parts.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(elsewhere, FOUND)
     return home.unionByName(away)
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, dims: int = 8, chance: float = 0.98, cell_rows: int = 8192,
-            part_rows: int = 32768, sample: int = 32768, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 7) -> DataFrame:
+            part_rows: int = 32768, ask_rows: int = 32768, sample: int = 32768, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` vectors with the largest inner product found for each query, nearest
     first, ties to the smaller id. `queries` is a condition on `vec_id` and picks the queries among the vectors.
 
     Rows without id, and vectors that are null, zero, or hold null or non-finite components, take no part. Vectors are
     compared with those of their own length. Rows with the query's id are never its neighbours; a repeated id is a
-    neighbour once for each distinct vector. The tree is cut on a sample of `sample` vectors; every vector is indexed.
+    neighbour once for each distinct vector. A task gets about `part_rows` vectors and `ask_rows` queries. The tree is cut on a sample of `sample` vectors; every vector is indexed.
     """
     vector = F.col(vector_col)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(vector, lambda x: x.cast("double")).alias("vector")) \
@@ -243,7 +254,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, dims: int = 8, cha
     sizes = [r["size"] for r in rows.select(F.size("vector").alias("size")).distinct().collect()]  # lengths, not vectors
     found = None
     for size in sorted(sizes):
-        one = _one_length(rows.where(F.size("vector") == size), size, queries, k, dims, chance, cell_rows, part_rows, sample, seed)
+        one = _one_length(rows.where(F.size("vector") == size), size, queries, k, dims, chance, cell_rows, part_rows, ask_rows, sample, seed)
         found = one if found is None else found.unionByName(one)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], FOUND)

@@ -255,5 +255,20 @@ def test_nearest_recall(spark):
     assert len(got) == total and hit / total >= 0.9
 
 
+def test_queries_of_a_part_come_in_blocks(spark):
+    sent = spark.range(5000).select(F.lit(3).alias("cell"), (F.col("id") % 50 == 0).cast("int").alias("part"), F.col("id").alias("vec_id"),
+                                    F.lit(0.5).alias("bound"), F.array(F.col("id").cast("double")).alias("vector"))
+    asking, blocks = neighbours.in_blocks(sent, 100)
+    sizes = {(r["part"], r["block"]): r["count"] for r in asking.groupBy("part", "block").count().collect()}
+    assert sum(sizes.values()) == 5000 and max(sizes.values()) < 170
+    assert set(sizes) == {(r["part"], r["block"]) for r in blocks.collect()} and len(sizes) == 50
+    # a crowd of vectors near one another, in several parts of one cell
+    random = np.random.default_rng(4)
+    rows = [(n, x.tolist()) for n, x in enumerate(np.ones(6) + 0.01 * random.standard_normal((600, 6)))]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5, dims=6,
+                             chance=0.999999, part_rows=100, ask_rows=4).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == sorted(x[:3] for x in by_hand(rows, 5))
+
+
 def test_chi_square_point():
     assert neighbours.chi_square_point(2, 0.95) == pytest.approx(5.991, abs=1e-3) and neighbours.chi_square_point(8, 0.99) == pytest.approx(20.090, abs=1e-3)
