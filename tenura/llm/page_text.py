@@ -22,7 +22,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 ESCAPED_RAW = frozenset("textarea title".split())
 UNSEEN = frozenset("head script style template noscript title meta link base iframe object audio video canvas noembed noframes "
-                   "datalist param source track area map svg math".split())
+                   "datalist param source track area".split())
+#: Inside drawings and formulas.
+FOREIGN = frozenset(("svg", "math"))
+FOREIGN_UNSEEN = frozenset("annotation annotation-xml clippath defs desc marker mask metadata pattern symbol".split())
+#: Elements that end a drawing or formula they stand in.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+                     "pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Elements of drawings and formulas that hold ordinary content again.
+INTEGRATION = frozenset("annotation-xml desc foreignobject mi mn mo ms mtext title".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset menu".split())
 BLOCK = SPACED | frozenset("address article aside body center dd details dialog dir div dt figcaption footer form header hgroup "
                            "html legend li main nav optgroup option search section summary tr tbody thead tfoot caption".split())
@@ -43,6 +51,8 @@ BARRIER = frozenset(("table", "td", "th", "caption", "template", "html"))
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: Mark of a drawing's label, no name of an attribute.
+LABEL = " label"
 HIDING_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 
@@ -58,6 +68,27 @@ def tree(page: str) -> Node:
     """The page as nodes and strings. Character references are resolved; unclosed elements end with their parents."""
     root = Node("html", {})
     stack = [root]
+    any_foreign = False
+
+    def foreign() -> str:
+        """The drawing or formula whose own element comes next, or nothing."""
+        if any_foreign:
+            for node in reversed(stack):
+                if node.name in FOREIGN:
+                    return node.name
+                if node.name in INTEGRATION:
+                    return ""
+        return ""
+
+    def drawn() -> bool:
+        """Text of a drawing is shown in its labels only."""
+        if any_foreign:
+            for node in reversed(stack):
+                if node.name in ("text", "foreignobject", "math"):
+                    return True
+                if node.name == "svg":
+                    return False
+        return True
 
     def close(names: tuple, scope: tuple) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -103,7 +134,7 @@ def tree(page: str) -> Node:
             stack.pop()
 
     def text(data: str, resolve: bool = True) -> None:
-        if not data:
+        if not data or not drawn():
             return
         if len(stack) == 2 and stack[1].name == "head" and data.strip():
             stack.pop()
@@ -128,7 +159,19 @@ def tree(page: str) -> Node:
         attributes = {}
         for key, *values in ATTRIBUTE.findall(found[3]) if found[3].strip(" /") else ():
             attributes.setdefault(key.lower(), html.unescape("".join(values)))
+        inside = foreign()
+        while inside and name in BREAKOUT:
+            stack.pop()
+            inside = foreign()
+        if inside and name in FOREIGN_UNSEEN:
+            attributes["hidden"] = ""
+        elif inside == "svg" and name == "text":
+            attributes[LABEL] = ""
         start(name, attributes)
+        any_foreign = any_foreign or name in FOREIGN
+        if (inside or name in FOREIGN) and found[3].endswith("/") and stack[-1].name == name:
+            stack.pop()
+            continue
         if name in RAW or name in ESCAPED_RAW:
             stop = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             until = stop.start() if stop else len(page)
@@ -252,6 +295,8 @@ def render(root: Node) -> str:
             if not shown(node, parent):
                 continue
             name = node.name
+            if LABEL in node.attributes:
+                writer.gap = True
             if name == "br":
                 writer.flush(True)
                 continue
@@ -294,6 +339,8 @@ def render(root: Node) -> str:
             steps += [("enter", child, node) for child in reversed(node.children)]
             continue
         name = node.name
+        if LABEL in node.attributes:
+            writer.gap = True
         if name in CELLS:
             lines = writers.pop().rest()
             if tables:

@@ -209,6 +209,19 @@ def test_page_text(page, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", "so x=2 holds"),
+    ("<math><semantics><mrow><mi>a</mi><mspace/><mo>+</mo><mi>b</mi></mrow><annotation encoding='tex'>a+b</annotation></semantics></math> end", "a+b end"),
+    ("a <svg><title>t</title><desc>d</desc><defs><text>no</text></defs><metadata>m</metadata><rect/><g><text x=1>north</text><text>so<tspan>uth</tspan></text></g></svg> z",
+     "a north south z"),
+    ("<svg><desc/><style>s{}</style>loose<text>one &amp; two</text></svg>", "one & two"), ("x<svg viewBox='0 0 1 1'/>y", "xy"),
+    ("<svg><foreignObject><p>in</p><div/>side</foreignObject></svg>", "in\n\nside"),
+    ("<map name=m>way <a href=1>in</a><area shape=rect alt=no></map> <desc>shown</desc>", "way in shown"), ("<svg><g>no<p>out", "out"),
+])
+def test_formulas_drawings_and_maps(page, text):
+    assert page_text(page).replace("\n\n", "\n") == text.replace("\n\n", "\n")
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (None, "u", None), (1, "u", "<p>x"), (2, "u", "")], "page_id long, text string, html string")
     assert sorted(map(tuple, extract(pages).collect()), key=repr) == sorted([(1, "x"), (None, ""), (1, "x"), (2, "")], key=repr)
