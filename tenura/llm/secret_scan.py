@@ -1,4 +1,5 @@
-"""Secret scan: candidates by shape, false positives removed by a random forest; DataFrame functions and Spark ML only.
+"""Secret scan: candidates by shape and by context, false positives removed by a random forest; DataFrame functions and
+Spark ML only. A candidate is a long token anywhere, and a value of any length in an assignment or a URL.
 
 The forest is trained on labelled findings made by rule from `spark.range` (kinds of credentials and of look-alikes,
 with the words that stand beside them), since the tables hold no labels for secrets. Features of a candidate: length,
@@ -16,11 +17,34 @@ from pyspark.sql import functions as F
 
 from tenura.llm.line_chunks import let
 
-#: What separates tokens; a candidate is a token of CANDIDATE_LEAST characters and more.
+#: What separates tokens beside a candidate.
 SEPARATOR = r"[^A-Za-z0-9_+/.@\-]+"
-EDGES = r"^[.@/+\-]+|[.@/+\-]+$"
+EDGES = r"^[.@/+\-]+|([!?#$%&*~^])\1+$|[.@/+\-]+$"
+TRAILING = r"[,;.)\]}>]+$"
+_PARAMETER = r"[?&][\w.%\-]+="
+_SECRET_NAME = r"(?i:passwords?|passwd|passcode|passphrase|pwd|secret|token|key|credentials?)"
+#: (context, value): the first that fits at a place; a value holds any characters but those that end it there.
+CONTEXTS = (
+    (r"://[^\s/:@]*:(?=[^\s/]+@)", r"[^\s/]+(?=@)"),                              # password of a URL
+    (_PARAMETER, r"[^\s&#\"'<>]+"),                                              # parameter of a URL
+    (r"(?i:pass[ _-]?phrase)[\"']?[ \t]*(?::=|=>|[:=])[ \t]*(?![\"'\s])", r"[^\n\"']+"),
+    (r"(?<=[\w\"'\])])[ \t]*(?::=|=>|=|:(?!//))[ \t]*\"", r"[^\"\n]+(?=\")"),
+    (r"(?<=[\w\"'\])])[ \t]*(?::=|=>|=|:(?!//))[ \t]*'", r"[^'\n]+(?=')"),
+    (r"(?<=[\w\"'\])])[ \t]*(?::=|=>|=|:(?!//))[ \t]*", r"[^\s\"'=][^\s\"']*+"),
+    (rf"(?<![A-Za-z]){_SECRET_NAME}[ \t]+is[ \t]+[\"']?", r"[^\s\"']+"),
+    (r"(?<![A-Za-z0-9_+/.@\-!#$%&*~^?])", rf"(?:(?!{_PARAMETER})[A-Za-z0-9_+/.@\-!#$%&*~^?]){{16,}}+"),
+)
+#: Noncharacters that stand around values (and before those without a context) while a text is taken apart.
+MARKS = "\ufdd0\ufdd1"
+FOUND = r"(?s)\G(.*?)(?:" + "|".join(f"(?:({context})({value}))" for context, value in CONTEXTS) + ")"
+_GROUPS = [f"${k}" for k in range(1, 2 * len(CONTEXTS) + 2)]
+MARKED = f"$1{''.join(_GROUPS[1::2])}{MARKS[0]}{''.join(_GROUPS[2:-1:2])}{MARKS[1]}{_GROUPS[-1]}{MARKS[0]}"
+SHAPE = r"[A-Za-z0-9_+/.@\-!#$%&*~^?]{16,}|[:=]|(?i:\bis\b)"
+#: Characters beside a candidate in which its neighbouring words are looked for.
+BESIDE = 200
+#: A found value of this length is hidden wherever it stands in its text; a shorter one, which may be a common word, where it was found.
+UNIQUE_LEAST = 16
 CANDIDATE_LEAST = 16
-SHAPE = r"[A-Za-z0-9_+/.@\-]{16,}"
 NEIGHBOURS = 4
 
 # Words whose letters in a candidate speak for text or an identifier.
@@ -60,21 +84,43 @@ def _any(words: list[str]) -> str:
 
 
 def candidates(text: Column) -> Column:
-    """Array of (token_no, value, before, after): candidate tokens and the words around them."""
+    """Array of (token_no, start, value, before, after): candidates, their places and the words around them."""
 
-    def of(tokens: Column) -> Column:
-        def one(token: Column, i: Column) -> Column:
-            first = F.greatest(i - NEIGHBOURS, F.lit(0))
-            value = F.regexp_replace(token, EDGES, "")
-            fits = (F.length(token) >= CANDIDATE_LEAST) & (F.length(value) >= CANDIDATE_LEAST) & value.rlike("[0-9]|[a-z][A-Z]|_")
-            return F.when(fits, F.struct(
-                i.cast("int").alias("token_no"), value.alias("value"),
-                F.lower(F.array_join(F.slice(tokens, first + 1, i - first), " ")).alias("before"),
-                F.lower(F.array_join(F.slice(tokens, i + 2, 2), " ")).alias("after")))
+    def pieces_of(pieces: Column) -> Column:
+        return F.filter(F.transform(pieces, lambda p, i: F.when(i % 2 == 1, F.struct(
+            F.get(pieces, i - 1).alias("ahead"), F.translate(p, MARKS[1], "").alias("raw"), p.startswith(MARKS[1]).alias("token")))), lambda f: f.isNotNull())
 
-        return F.filter(F.transform(tokens, one), lambda c: c.isNotNull())
+    def words(part: Column) -> Column:
+        return F.filter(F.split(F.lower(part), SEPARATOR, -1), lambda w: w != "")
 
-    return let(F.split(text, SEPARATOR, -1), of)
+    def tally(counts: Column, k: Column) -> Column:
+        return F.aggregate(F.slice(counts, 1, k), F.lit(0), lambda a, x: a + x)
+
+    def of(found: Column) -> Column:
+        lengths = F.transform(found, lambda f: F.length(f["ahead"]) + F.length(f["raw"]))
+        separators = F.transform(found, lambda f: F.size(F.regexp_extract_all(F.concat(f["ahead"], f["raw"]), F.lit(SEPARATOR), F.lit(0))))
+
+        def numbered(sizes: Column) -> Column:
+            def one(f: Column, k: Column) -> Column:
+                cut_front = F.when(f["token"], F.regexp_replace(f["raw"], r"^[.@/+\-]+", "")).otherwise(f["raw"])
+                value = F.when(f["token"], F.regexp_replace(f["raw"], EDGES, "")).otherwise(F.regexp_replace(f["raw"], TRAILING, ""))
+                start = tally(sizes["lengths"], k) + F.length(f["ahead"]) + F.length(f["raw"]) - F.length(cut_front)
+                number = tally(sizes["separators"], k) + F.size(F.regexp_extract_all(f["ahead"], F.lit(SEPARATOR), F.lit(0)))
+                return F.struct(number.cast("int").alias("token_no"), start.cast("int").alias("start"), value.alias("value"),
+                                ((value != "") & (~f["token"] | (F.length(value) >= CANDIDATE_LEAST))).alias("fits"))
+
+            def beside(c: Column) -> Column:
+                first = F.greatest(c["start"] - BESIDE, F.lit(0))
+                before = F.reverse(F.slice(F.reverse(words(F.substring(text, first + 1, c["start"] - first))), 1, NEIGHBOURS))
+                after = F.slice(words(F.substring(text, c["start"] + F.length(c["value"]) + 1, F.lit(BESIDE))), 1, 2)
+                return F.struct(c["token_no"], c["start"], c["value"], F.array_join(before, " ").alias("before"), F.array_join(after, " ").alias("after"))
+
+            return F.transform(F.filter(F.transform(found, one), lambda c: c["fits"]), beside)
+
+        return let(F.struct(lengths.alias("lengths"), separators.alias("separators")), numbered)
+
+    marked = F.regexp_replace(F.translate(text, MARKS, "\ufffd\ufffd"), FOUND, MARKED)
+    return let(let(F.split(marked, MARKS[0], -1), pieces_of), of)
 
 
 def with_features(findings: DataFrame) -> DataFrame:
@@ -103,7 +149,7 @@ def with_features(findings: DataFrame) -> DataFrame:
         "hex_only": flag(lowered.rlike("^[0-9a-f]+$") & value.rlike("[0-9]") & lowered.rlike("[a-f]")),
         "class_changes": changes("(?<=[a-z])[A-Z0-9]|(?<=[A-Z])[0-9]|(?<=[0-9])[A-Za-z]"),
         "vowel_changes": changes("(?<=[aeiou])[b-df-hj-np-tv-z]", lowered),
-        "distinct": F.size(F.array_distinct(F.split(F.substring(value, 1, 64), ""))) / F.least(length, F.lit(64.0)),
+        "distinct": F.size(F.array_distinct(F.split(value, ""))) / F.least(length, F.lit(64.0)),
         "longest_digits": longest("[0-9]") / length, "longest_letters": longest("[A-Za-z]") / length,
         "dictionary": 1 - left(f"({_any(sorted((w for w in DICTIONARY if len(w) > 3), key=len, reverse=True))})", lowered) / length,
         "placeholder": flag(lowered.rlike(f"{_any(PLACEHOLDERS)}") | value.rlike(r"(.)\1{5,}")),
@@ -136,12 +182,15 @@ def labelled_findings(spark: SparkSession, rows: int = 5000, seed: int = 5) -> D
     upper, lower, digit = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
     any_char, cat = upper + lower + digit, lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
     hex_of = lambda name: F.substring(digest(name), F.lit(1), F.array(*(F.lit(n) for n in (32, 40, 64, 40)))[draw("hex", 4)])
+    words = [w for w in DICTIONARY if len(w) > 3]
     secrets = [
         hex_of("a"), hex_of("b"), letters("mix", any_char, draw("n", 40) + 20), letters("mix2", any_char + "+/", 40), letters("mix3", any_char + "_-", draw("n2", 60) + 24),
         cat("AKIA", letters("aws", upper + digit, 16)), cat("ghp_", letters("gh", any_char, 36)), cat("sk-", letters("sk", any_char, 48)),
         cat("xoxb-", letters("x1", digit, 12), "-", letters("x2", any_char, 24)), cat("AIza", letters("g", any_char + "_-", 35)),
-        letters("pw", any_char + "@_-", draw("n3", 8) + 16)]
-    words = [w for w in DICTIONARY if len(w) > 3]
+        letters("pw", any_char + "@_-", draw("n3", 8) + 16), letters("short", any_char + "!#$%&*~:=?", draw("n6", 9) + 8),
+        cat(pick("h1", words), letters("h2", digit, 1), letters("h3", "!#$%&*~", 1), letters("h4", lower, 1)), cat(pick("h5", words), letters("h6", digit, draw("n7", 3) + 2)),
+        cat(pick("q1", words), letters("q5", " -", 1), pick("q2", words), " ", pick("q3", words), " ", pick("q4", words)),
+        cat(pick("q1", words), pick("q2", words), pick("q3", words), pick("q4", words))]
     split_digest = lambda name: F.regexp_replace(F.substring(digest(name), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     plain = [
         letters("card", digit, 16), letters("num", digit, draw("n4", 10) + 16), split_digest("u"), split_digest("u2"),
@@ -154,6 +203,9 @@ def labelled_findings(spark: SparkSession, rows: int = 5000, seed: int = 5) -> D
         cat(pick("w1", words), "-", pick("w2", words), "-", letters("v", digit, 1), ".", letters("v2", digit, 2), ".", letters("v3", digit, 1)),
         cat("your_", pick("w1", words), "_", pick("sw", ["key", "token", "secret"]), "_here"), F.lit("xxxxxxxxxxxxxxxxxxxxxxxx"),
         cat("example", letters("e", any_char, 12)),
+        pick("v1", words), letters("v4", digit, draw("n8", 6) + 1), letters("v5", lower, draw("n9", 12) + 2), cat(pick("v6", words), " ", pick("v7", words)),
+        cat(letters("t1", digit, 2), ":", letters("t2", digit, 2)), cat(pick("v8", words), "-", pick("v9", words), "-", pick("v10", words)),
+        letters("v11", lower, draw("n10", 10) + 16), cat(letters("v12", digit, 1), ".", letters("v13", digit, 2)), F.initcap(pick("v14", words)),
         F.substring(digest("c"), 1, 40), F.substring(digest("c2"), 1, 40), F.substring(digest("c3"), 1, 64)]
     secret = draw("label", 2) == 1
     filler = [*words[:60], "the", "of", "and", "is", "to", "la", "de", "und", "der", "que"]
@@ -185,7 +237,7 @@ def scan(docs: DataFrame, model: PipelineModel | None = None, threshold: float =
          text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """One row per candidate: doc_id, text_mark, token_no, start, value, probability, is_secret.
 
-    `start` is the place of the value's first occurrence in the text; text_mark the 64-bit hash of the text, which tells
+    `start` is the candidate's own place in the text, from 0; token_no counts separators before it; text_mark the 64-bit hash of the text, which tells
     rows of one id apart. Null and empty texts have no findings, a null path is an empty one, null ids are kept,
     repeated rows have findings each. Columns but id, text and path are not read.
     """
@@ -193,8 +245,8 @@ def scan(docs: DataFrame, model: PipelineModel | None = None, threshold: float =
     path = F.lit("") if path_col is None or path_col not in docs.columns else F.coalesce(F.col(path_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("body"), path.alias("path"))
     found = rows.where(F.col("body").rlike(SHAPE)).select(
-        "doc_id", F.xxhash64("body").alias("text_mark"), "path", "body", F.explode(candidates(F.col("body"))).alias("c"))
-    found = found.select("doc_id", "text_mark", "path", "c.*", (F.instr(F.col("body"), F.col("c.value")) - 1).alias("start"))
+        "doc_id", F.xxhash64("body").alias("text_mark"), "path", F.explode(candidates(F.col("body"))).alias("c"))
+    found = found.select("doc_id", "text_mark", "path", "c.*")
     scored = (model or train(spark)).transform(with_features(found))
     chance = vector_to_array("probability")[1]
     return scored.select("doc_id", "text_mark", "token_no", "start", "value", F.round(chance, 6).alias("probability"),
@@ -211,8 +263,14 @@ def redact(docs: DataFrame, model: PipelineModel | None = None, mark: str = "[se
     found = keyed.where(F.col(text_col).rlike(SHAPE)).select(
         "_sc_id", "_sc_mark", path.alias("path"), F.explode(candidates(F.col(text_col))).alias("c")).select("_sc_id", "_sc_mark", "path", "c.*")
     scored = (model or train(spark)).transform(with_features(found)).where(vector_to_array("probability")[1] >= threshold)
-    values = scored.groupBy("_sc_id", "_sc_mark").agg(F.collect_set("value").alias("_sc_values"))  # of one document
-    longest = F.array_sort(F.col("_sc_values"), lambda a, b: F.length(b) - F.length(a))
-    cleaned = F.aggregate(longest, F.col(text_col), lambda t, v: F.replace(t, v, F.lit(mark)))
-    return (keyed.join(values, ["_sc_id", "_sc_mark"], "left")
-            .withColumn(text_col, F.when(F.col("_sc_values").isNull(), F.col(text_col)).otherwise(cleaned)).select(docs.columns))
+    spans = scored.groupBy("_sc_id", "_sc_mark").agg(F.array_sort(F.collect_set(F.struct("start", "value"))).alias("_sc_spans"))  # of one document
+    text, own = F.col(text_col), F.col("_sc_spans")
+    end = lambda s: s["start"] + F.length(s["value"])
+    between = F.transform(own, lambda s, k: let(F.when(k == 0, 0).otherwise(end(F.get(own, k - 1))), lambda last: F.concat(
+        F.substring(text, last + 1, s["start"] - last), F.lit(mark))))
+    hidden = F.concat(F.array_join(between, ""), F.substring(text, end(F.element_at(own, -1)) + 1, F.length(text)))
+    unique = F.array_distinct(F.filter(F.transform(own, lambda s: s["value"]), lambda v: F.length(v) >= UNIQUE_LEAST))
+    longest = F.array_sort(unique, lambda a, b: F.length(b) - F.length(a))
+    cleaned = F.aggregate(longest, hidden, lambda t, v: F.replace(t, v, F.lit(mark)))
+    return (keyed.join(spans, ["_sc_id", "_sc_mark"], "left")
+            .withColumn(text_col, F.when(own.isNull(), text).otherwise(cleaned)).select(docs.columns))

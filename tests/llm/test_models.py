@@ -133,6 +133,29 @@ def test_secret_scan(spark, forest):
     assert scan(frame(spark, []), forest).count() == 0 and redact(frame(spark, []), forest).count() == 0
 
 
+SHORT_SECRETS = [
+    ('password = "hunter2!x" for the box', "hunter2!x"), ("db_password: k7#mQ9$wz2&L", "k7#mQ9$wz2&L"), ("see postgres://admin:s3cr!tPw9@db.local/x now", "s3cr!tPw9"),
+    ("open https://x.org/a?access_token=Zk39fQ1x&page=2 there", "Zk39fQ1x"), ('passphrase = "correct horse battery staple"', "correct horse battery staple"),
+    ("secret: aB3$xY9!kL2#mN4%qR=7:z", "aB3$xY9!kL2#mN4%qR=7:z")]
+
+
+def test_short_secrets_and_places(spark, forest):
+    rows = [(n, text) for n, (text, _) in enumerate(SHORT_SECRETS)]
+    again = "token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\""
+    rows += [(50, f"first {again}\nthen {again}"), (51, "the time is 12:30, note: nothing more"), (52, 'pin is here. password = "hunter2!x" hunter')]
+    docs, texts = frame(spark, rows), dict(rows)
+    got = scan(docs, forest).collect()
+    assert all(texts[r["doc_id"]][r["start"]:r["start"] + len(r["value"])] == r["value"] for r in got)
+    seen = {(r["doc_id"], r["value"]) for r in got}
+    assert seen >= {(n, value) for n, (_, value) in enumerate(SHORT_SECRETS)}
+    secret = {(r["doc_id"], r["value"]) for r in got if r["is_secret"]}
+    assert secret >= {(n, value) for n, (_, value) in enumerate(SHORT_SECRETS)} and not any(n == 51 for n, _ in secret)
+    assert len({r["start"] for r in got if r["doc_id"] == 50 and r["is_secret"]}) == 2
+    after = {r["doc_id"]: r["text"] for r in redact(docs, forest).collect()}
+    assert all(after[n] == text.replace(value, "[secret]") for n, (text, value) in enumerate(SHORT_SECRETS))
+    assert after[52] == 'pin is here. password = "[secret]" hunter' and after[51] == texts[51]
+
+
 # merge dropout
 
 ODD_TEXTS = ["  a  b\n c\t d ", "", " ", "\n\n x", " é ﬁ Ⅳ 日本語", "\x00\x01 z", "x" * 300, "a" * 60 + " " + "the" * 40]
