@@ -11,6 +11,7 @@ from tenura.llm.exact_dedup import LOWER, UPPER, exact_dedup
 from tenura.llm.line_chunks import passage_dedup
 from tenura.llm.near_join import near_join
 from tenura.llm import toxicity
+from tenura.llm import language_id
 from tenura.llm.merge_dropout import decode, encode
 from tenura.llm.neighbours import nearest
 from tenura.llm.packing import pack
@@ -70,6 +71,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(language_id.learned_rows(docs)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_merge_dropout": op8_merge_dropout,
     "op9_page_text": op9_page_text,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_language_id": op11_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {

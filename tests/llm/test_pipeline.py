@@ -49,5 +49,5 @@ def test_one_of_repeated_rows_stays(spark):
 
 def test_registered():
     names = entry_point.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if name.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if name.startswith("op")}
     assert "pipeline" in names and os.path.isfile(corpus_pipeline.__file__)
