@@ -18,6 +18,7 @@ from tenura.llm.packing import pack
 from tenura.llm.page_text import extract
 from tenura.llm.secret_scan import scan
 from tenura.llm.token_files import digest, read_tokens, write_tokens
+from tenura.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +77,10 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(language_id.learned_rows(docs)))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op9_page_text": op9_page_text,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_language_id": op11_language_id,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
