@@ -16,6 +16,7 @@ from tenura.llm.merge_dropout import decode, encode
 from tenura.llm.neighbours import nearest
 from tenura.llm.packing import pack
 from tenura.llm.page_text import extract
+from tenura.llm.prefix_trie import prefix_trie
 from tenura.llm.secret_scan import scan
 from tenura.llm.token_files import digest, read_tokens, write_tokens
 from tenura.llm.whitening import whiten
@@ -81,6 +82,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_language_id": op11_language_id,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -122,4 +128,38 @@ ORACLE_SQL: dict[str, str] = {
         degrees AS (SELECT x AS doc_id, count(*) AS n_links, count(*) FILTER (WHERE same) AS copies FROM links GROUP BY x)
         SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(copies, 0) + 1 AS class_size, doc_id = class_id AS kept
         FROM classes LEFT JOIN degrees USING (doc_id)""",
+    # every prefix as the digests of its turns one behind the other; a subtree is what starts with a node's
+    "op13_conversation_trie": """
+        WITH turns AS (
+            SELECT conv_id, turn, length(coalesce(text, '')) AS points, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark
+            FROM conversations WHERE conv_id IS NOT NULL),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) AS place FROM turns),
+        sizes AS (SELECT conv_id, count(*) AS n FROM placed GROUP BY conv_id),
+        hashed AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base,
+                   (xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                       lambda digit: list_prepend(ascii(digit)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1])))),
+                       lambda c, x: CASE WHEN x < 0 THEN xor(c >> 1, (c & 1) * 3988292384) ELSE xor(c, x) END), 4294967295)) % 6 AS h
+            FROM sizes),
+        convs AS (SELECT hashed.*, least(h, coalesce(n, 0)) AS shared FROM hashed LEFT JOIN sizes ON sizes.conv_id = hashed.base),
+        rebuilt AS (
+            SELECT convs.conv_id, place AS depth, points, mark FROM convs JOIN placed ON placed.conv_id = convs.base WHERE place <= shared
+            UNION ALL
+            SELECT convs.conv_id, place - h + shared, points, mark FROM convs JOIN placed ON placed.conv_id = convs.conv_id WHERE place > h),
+        prefixes AS (
+            SELECT conv_id, depth, points, string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM rebuilt
+            UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+        nodes AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(points) AS points FROM prefixes GROUP BY depth, path),
+        children AS (SELECT depth - 1 AS depth, left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+        whole AS (SELECT conv_id, max(depth) AS depth FROM prefixes GROUP BY conv_id),
+        ends AS (
+            SELECT depth, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM prefixes JOIN whole USING (conv_id, depth) GROUP BY depth, path),
+        below AS (
+            SELECT above.depth, above.path, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((under.n_convs - 1) * under.points) AS saved_tokens
+            FROM nodes above JOIN nodes under ON under.depth >= above.depth AND left(under.path, 32 * above.depth) = above.path
+            LEFT JOIN children ON children.depth = under.depth AND children.path = under.path GROUP BY above.depth, above.path)
+        SELECT nodes.conv_id, nodes.depth, parents.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children,
+               n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM nodes JOIN below USING (depth, path) LEFT JOIN children USING (depth, path) LEFT JOIN ends USING (depth, path)
+        LEFT JOIN nodes parents ON parents.depth = nodes.depth - 1 AND parents.path = left(nodes.path, 32 * (nodes.depth - 1))""",
 }
