@@ -19,11 +19,13 @@ from tenura import functions as fn
 from tenura.checks import oracle as sql
 from tenura.operators import activity, contracts, divisions, monitoring
 from tenura.operators.grid import ACCOUNT, REF
+from tenura.operators.states import STATES
 from tenura.plans import learn
 from tenura.plans.dataset import base_accounts, dataset, features, model_columns
 from tenura.plans.dates import evaluation_date, training_dates
 from tenura.plans.specs import SPECS, ProductSpec
 from tenura.sources.sinks import append_rows, cut_lineage, shared_path, statistics_row, write_by_reference_date
+from tenura.sources.state import StateStore
 from tenura.sources.tables import Tables, read_health_score_csv, run_sql
 from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 
@@ -439,6 +441,16 @@ def _monitoring_queries(sf_dir: str) -> dict[str, Query]:
             _kinds("lang:s positives:i negatives:i auc:f"),
             _auc_sql("SELECT d.lang, d.n_chars % 101 AS score, l.quality FROM documents d JOIN labels l "
                      "ON d.doc_id = l.doc_id", "score", "quality", "lang")),
+        # a score with a value of its own for nearly every row, in groups of which one holds half of them
+        "auc_of_continuous_score": Query(
+            lambda t: monitoring.auc_by_rank(
+                t.spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+                    "CAST(round(o_totalprice * 100) AS BIGINT) * 1000003 % 998244353 AS score",
+                    "CASE WHEN o_totalprice > 150000 + o_orderkey % 90000 THEN 1 ELSE 0 END AS dear", "o_orderstatus AS status"),
+                "score", "dear", ["status"]),
+            _kinds("status:s positives:i negatives:i auc:f"),
+            _auc_sql("SELECT o_orderstatus AS status, CAST(round(o_totalprice * 100) AS BIGINT) * 1000003 % 998244353 AS score, "
+                     "CASE WHEN o_totalprice > 150000 + o_orderkey % 90000 THEN 1 ELSE 0 END AS dear FROM orders", "score", "dear", "status")),
         "fold_sizes": Query(
             lambda t: learn.stratified_folds(dataset(t, _refs(established), established), "churned",
                                              [REF, "environment", "account_code", "package_code"])
@@ -572,6 +584,35 @@ def _preparation_queries() -> dict[str, Query]:
     }
 
 
+def _state_queries() -> dict[str, Query]:
+    """As-of operators on states that were carried on month by month from the given tables."""
+    financial = ["num_activated_divisions", *divisions.FINANCIAL_FLAGS, *divisions.FINANCIAL]
+
+    def kept(t: Tables, name: str) -> Tables:
+        store = StateStore(t.spark, shared_path(t.spark, "state"), STATES)
+        # a third of the days' facts before the oldest date come late and are taken in
+        late = t.with_table(name, t.get(name).where("pmod(xxhash64(environment, date), 3) <> 0"))
+        store.advance(late, name, min(GRID))
+        store.advance(t, name, min(GRID), late_since=min(GRID) - dt.timedelta(days=60))
+        for ref in sorted(GRID)[1:]:
+            store.advance(t, name, ref)
+        return t.with_state(store)
+
+    return {
+        "latest_contract_from_state": Query(
+            lambda t: contracts.latest_contract(kept(t, "activity_daily_contracts"), GRID),
+            _kinds(KEY + "package_code:s event_type:s account_id:s number_of_users:i number_of_administrations:i "
+                   "accountant_or_linked:i mrr:f date:d"),
+            sql.union_refs(GRID, sql.latest_contract)),
+        "last_upgrade_from_state": Query(
+            lambda t: contracts.last_upgrade(kept(t, "activity_daily_contracts"), GRID), _keyed(["last_contract_upgrade_date"], "d"),
+            sql.union_refs(GRID, sql.last_upgrade)),
+        "division_financials_from_state": _block(
+            lambda t, *args: divisions.financial_statistics(kept(t, "division_statistics_daily"), *args), sql.financial, financial,
+            WINDOW, EVERYWHERE, "Accounting"),
+    }
+
+
 def _storage_queries() -> dict[str, Query]:
     """Sources and sinks: given tables written to the shared folder and read back."""
     spec = _spec("churn", "accountancy")
@@ -649,6 +690,7 @@ def all_queries(sf_dir: str = "") -> dict[str, Query]:
         **{name: _dataset(*key) for name, key in DATASETS.items()},
         **_monitoring_queries(sf_dir),
         **_preparation_queries(),
+        **_state_queries(),
         **_storage_queries(),
         **_learning_queries(),
     }

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions import add_period, guarded_log, in_list, label_text, quoted, whole_months
-from tenura.operators.grid import ACCOUNT, REF, Refs, as_of_latest, as_of_parts, by_ref, day, in_horizon, unfold
+from tenura.operators.grid import ACCOUNT, REF, Refs, as_of_latest, as_of_parts, by_ref, day, in_horizon, unfold, with_records
 from tenura.sources.tables import Tables
 
 UPGRADE_EVENT = "cup"  # fixed values: contract event types
@@ -31,6 +31,7 @@ SETUP_CATEGORIES = {
 }
 TEMPORARY_SETUP = "TemporaryDivision"
 
+CONTRACT_KEY = ("environment", "account_code")
 CONTRACT_FIELDS = ("date", "package_code", "event_type", "account_id", "number_of_users",
                    "number_of_administrations", "accountant_or_linked", "mrr")
 
@@ -42,16 +43,26 @@ def _contract_state(tables: Tables, refs: Refs, fields: tuple[str, ...] = (), up
     A record starts with the date and holds every column used later, so rows of one
     date have one answer.
     """
+    facts = tables.newest("activity_daily_contracts", refs)
     aggregates, names = [], []
     if fields:
-        aggregates += as_of_parts(refs, "latest", f"struct({', '.join(fields)})")
-        names.append("latest")
+        aggregates += as_of_parts(refs, "day", "date")
+        names.append("day")
     if upgrades:
         aggregates += as_of_parts(refs, "upgrade", "date", f"event_type = '{UPGRADE_EVENT}'")
         names.append("upgrade")
-    folded = (tables.get("activity_daily_contracts", until=max(refs))
-              .groupBy("environment", "account_code").agg(*aggregates))
-    return as_of_latest(folded, refs, *names)
+    ends = as_of_latest(facts.groupBy(*CONTRACT_KEY).agg(*aggregates), refs, *names)
+    return with_records(ends, facts, CONTRACT_KEY, refs, "day", "latest", fields) if fields else ends
+
+
+def compact_contracts(rows: DataFrame) -> DataFrame:
+    """The rows that any later reference date can need: of each account the newest record and the newest upgrade."""
+    def newest(some: DataFrame) -> DataFrame:
+        ends = some.groupBy(*CONTRACT_KEY).agg(F.max("date").alias("day_0"))
+        return with_records(ends, some, CONTRACT_KEY, [dt.date.max], "day", "latest", CONTRACT_FIELDS).selectExpr(*CONTRACT_KEY, "latest_0.*")
+
+    dated = rows.where("date IS NOT NULL")
+    return newest(dated).unionByName(newest(dated.where(f"event_type = '{UPGRADE_EVENT}'")))
 
 
 def latest_contract(tables: Tables, refs: Refs) -> DataFrame:

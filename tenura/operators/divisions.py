@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.functions import guarded_log, has_value, in_list, not_negative, not_negative_sql
 from tenura.operators.contracts import cohort
 from tenura.operators.grid import (
     ACCOUNT, REF, LatestInt, Refs, as_of_latest, as_of_parts, day, in_look_back, look_back_windows,
-    unfold,
+    rows_of_days, unfold,
 )
 from tenura.sources.tables import Tables
 
@@ -58,24 +58,38 @@ LOGGED_FINANCIAL = ("gl_transactions", "purchase_entry_count", "bank_entry_count
 
 def _states(tables: Tables, refs: Refs, countries: str) -> DataFrame:
     """Per division: packed state of the newest snapshot on or before each reference date."""
-    rows = tables.get("division_statistics_daily", until=max(refs)).where(in_list("environment", countries))
+    rows = tables.newest("division_statistics_daily", refs).where(in_list("environment", countries))
     aggregates = [part for name, value in SNAPSHOT_STATE.items()
                   for part in as_of_parts(refs, name, LatestInt.pack(value))]
     return as_of_latest(rows.groupBy(*DIVISION).agg(*aggregates), refs, *SNAPSHOT_STATE)
 
 
+def compact_snapshots(rows: DataFrame) -> DataFrame:
+    """The rows that any later reference date can need: of each division the newest day, with its largest values."""
+    columns = (*BANKS, "automatic_bank_link", "currency_count")
+    newest = rows.where("date IS NOT NULL").groupBy(*DIVISION).agg(*[F.expr(f"max({LatestInt.pack(c)}) AS {c}") for c in columns])
+    return newest.selectExpr(*DIVISION, f"{LatestInt.day(columns[0])} AS date", *[f"{LatestInt.unpack(c)} AS {c}" for c in columns])
+
+
 def _growth(tables: Tables, refs: Refs, window: int, countries: str) -> DataFrame:
     """Per division: last minus first snapshot inside each window, as one struct.
 
     An aggregate of its own: it only reads the windows, where the state needs the
-    whole history."""
+    whole history. First and last day come from an aggregate of dates alone; only
+    snapshots of those two days are compared, by their values."""
     rows = (tables.get("division_statistics_daily", windows=look_back_windows(refs, window))
             .where(in_list("environment", countries)))
-    record = "struct(date, " + ", ".join(f"coalesce({c}, 0L) AS {c}" for c in GROWTH) + ")"
-    difference = "struct(" + ", ".join(f"last.{c} - first.{c} AS {c}" for c in GROWTH) + ")"
-    return (in_look_back(rows, refs, window).groupBy(REF, *DIVISION)
-            .agg(F.expr(f"min({record}) AS first"), F.expr(f"max({record}) AS last"))
-            .selectExpr(REF, *DIVISION, f"{difference} AS growth"))
+    tagged = in_look_back(rows, refs, window)
+    ends = tagged.groupBy(REF, *DIVISION).agg(F.min("date").alias("_first_day"), F.max("date").alias("_last_day"))
+    values = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in GROWTH]
+    near = rows_of_days(tagged.select(REF, *DIVISION, "date", *values), ends, [REF, *DIVISION], ["_first_day", "_last_day"])
+    order = ["date", *GROWTH]
+    group = Window.partitionBy(REF, *DIVISION)
+    ranked = near.withColumns({"_first": F.row_number().over(group.orderBy(*order)),
+                               "_last": F.row_number().over(group.orderBy(*[F.col(c).desc() for c in order]))})
+    grown = [F.expr(f"max(CASE WHEN _last = 1 THEN {c} END) - max(CASE WHEN _first = 1 THEN {c} END) AS {c}") for c in GROWTH]
+    return (ranked.where("_first = 1 OR _last = 1").groupBy(REF, *DIVISION).agg(*grown)
+            .select(REF, *DIVISION, F.struct(*GROWTH).alias("growth")))
 
 
 def _changes(tables: Tables, refs: Refs, window: int, countries: str, counters: Sequence[str]) -> DataFrame:

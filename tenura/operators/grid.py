@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Refs = Sequence[dt.date]
@@ -95,6 +96,32 @@ def as_of_latest(df: DataFrame, refs: Refs, *names: str) -> DataFrame:
     return df.withColumns(columns)
 
 
+def rows_of_days(rows: DataFrame, ends: DataFrame, keys: Sequence[str], days: Sequence[str]) -> DataFrame:
+    """Rows dated on one of the days that `ends` has for their key, with its columns. `ends` is an aggregate of dates
+    alone, which hashes, so that whole records are compared on few rows only. Rows without a key belong to nothing."""
+    renamed = ends.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in keys])
+    return rows.join(renamed, same & F.expr(f"date IN ({', '.join(days)})")).drop(*[f"_{k}" for k in keys])
+
+
+def with_records(ends: DataFrame, facts: DataFrame, keys: Sequence[str], refs: Refs, day_name: str, name: str,
+                 fields: Sequence[str]) -> DataFrame:
+    """Replaces the days day_name_0, ... of each key by the records of those days as structs name_0, ...
+
+    A record starts with the date; of several records of one day the largest counts."""
+    days = [f"{day_name}_{i}" for i in range(len(refs))]
+    largest = Window.partitionBy(*keys, "date").orderBy(*[F.col(c).desc() for c in fields if c != "date"])
+    # the few rows left are brought together by key alone, so that what follows by key needs no further shuffle
+    newest = (rows_of_days(facts.select(*keys, *fields), ends, keys, days).repartition(*keys)
+              .withColumn("_rank", F.row_number().over(largest)).where("_rank = 1").drop("_rank"))
+    if len(days) == 1:
+        return newest.withColumn(f"{name}_0", F.struct(*fields)).drop(*days, *fields)
+    # one record a reference date
+    packed = newest.groupBy(*ends.columns).agg(F.collect_list(F.struct(*fields)).alias("_records"))
+    records = {f"{name}_{i}": F.expr(f"get(filter(_records, r -> r.date = {day}), 0)") for i, day in enumerate(days)}
+    return packed.withColumns(records).drop(*days, "_records")
+
+
 def unfold(df: DataFrame, refs: Refs, *names: str) -> DataFrame:
     """Turn columns name_0, name_1, ... into one row per reference date."""
     folded = {f"{name}_{i}" for name in names for i in range(len(refs))}
@@ -129,6 +156,10 @@ class LatestInt:
     def pack(cls, value: str, date: str = "date") -> str:
         return f"unix_date({date}) * {cls.SPAN}L + coalesce(CAST({value} AS BIGINT) + {2 ** 31 + 1}L, 0L)"
 
+    @classmethod
+    def day(cls, packed: str) -> str:
+        return f"date_from_unix_date(CAST(floor({packed} / {cls.SPAN}L) AS INT))"
+
     @classmethod
     def unpack(cls, packed: str) -> str:
         return (f"CAST(CASE WHEN pmod({packed}, {cls.SPAN}L) > 0 "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.window import Window
 from tenura.functions import add_period, event_probability, in_list, label_text
 from tenura.operators.activity import PAGE_VIEW
 from tenura.operators.contracts import churned, downgrade_events, downgraded
+from tenura.sources.sinks import cut_lineage
 from tenura.sources.tables import Tables
 
 SCORE_TABLES = {"churn": ("health_score", "health_score"), "downgrade": ("is_usage_score", "score")}
@@ -91,21 +93,30 @@ def old_downgrade_scores(tables: Tables, past_date: dt.date, countries: str, pro
 
 
 def auc_by_rank(df: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
-    """Area under the ROC curve of a discrete score (probability of the event
-    rises with `score`), per group.
+    """Area under the ROC curve of a score (probability of the event rises with
+    `score`), per group; equal scores count one half, a missing score is the lowest.
 
-    Rows are first counted per score value, so the ordered pass sees a handful of
-    rows per group; equal scores count one half.
+    Rows are first counted per score value. The values of all groups are sorted into ranges, a range is ordered
+    on its own, and starts with the negatives of the group's ranges before it: a prefix sum over totals, a row for each
+    range and group. So a score may have as many values as rows, and one group may hold most of them.
     """
     counts = (df.groupBy(*by, score)
               .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("_pos"),
                    F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("_neg")))
-    below = Window.partitionBy(*by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ordered = counts.withColumn("_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
-    pairs = F.sum(F.col("_pos") * (2 * F.col("_below") + F.col("_neg")))
+    # written, since a range's number must mean the same rows to both that read it
+    ranged = cut_lineage(counts.repartitionByRange(*by, score).withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy("_range", *by).agg(F.sum("_neg").alias("_in_range"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(F.col("_range").alias("_of"), *[F.col(c).alias(f"_of_{c}") for c in by],
+                           F.coalesce(F.sum("_in_range").over(before), F.lit(0)).alias("_start"))
+    same = [F.col("_range") == F.col("_of"), *[F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]]
+    below = Window.partitionBy("_range", *by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    ordered = (ranged.withColumn("_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
+               .join(starts, reduce(Column.__and__, same)))
+    # a product of two counts of rows outgrows a long
+    pairs = F.sum(F.col("_pos").cast("decimal(18,0)") * (2 * (F.col("_start") + F.col("_below")) + F.col("_neg")).cast("decimal(19,0)"))
     return (ordered.groupBy(*by)
             .agg(F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"), pairs.alias("_pairs"))
             .select(*by, "positives", "negatives",
-                    F.try_divide(F.col("_pairs") / F.lit(2.0), F.col("positives") * F.col("negatives"))
+                    F.try_divide(F.col("_pairs").cast("double") / F.lit(2.0), F.col("positives").cast("double") * F.col("negatives"))
                     .alias("auc")))
-

@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from tenura.functions import add_period
 from tenura.operators import monitoring
+from tenura.operators.states import STATES
 from tenura.plans import learn
 from tenura.plans.dataset import dataset
 from tenura.plans.dates import evaluation_date, refine_dates, training_dates
 from tenura.plans.specs import KEYS, ProductSpec, get_spec, load_spec
 from tenura.sources.sinks import ModelStore, append_jdbc, append_rows, statistics_row, write_by_reference_date
+from tenura.sources.state import StateStore
 from tenura.sources.tables import Tables, read_downgrade_score_csv, read_health_score_csv
 
 MODES = ("train", "predict", "evaluate", "validate", "all")
@@ -73,6 +75,14 @@ class Run:
     def models(self) -> ModelStore:
         return ModelStore(f"{self.out}/models")
 
+    def keep_state(self, root: str) -> None:
+        """As-of states below `root`, carried on to the dates of this run: later runs read the history once less."""
+        store = StateStore(self.spark, root, STATES)
+        for ref in sorted({*training_dates(self.spec, self.past), self.current}):
+            for name in STATES:
+                store.advance(self.tables, name, ref)
+        self.tables = self.tables.with_state(store)
+
     def _statistics(self, kind: str, reference_date: dt.date, **values) -> None:
         """One row for a model and reference date: a run again replaces it."""
         row = statistics_row(self.spark, run=kind, environment=self.spec.countries, product=self.spec.product,
@@ -185,6 +195,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="root folder of models, scores and statistics")
     parser.add_argument("--config", help="JSON file instead of the built-in specification")
     parser.add_argument("--score-csv", help="published scores in CSV instead of the lake's table")
+    parser.add_argument("--state", help="root folder of as-of states that runs carry on, instead of reading whole histories")
     parser.add_argument("--clean", action="store_true", help="the lake's tables were written with normalised keys")
     for kind in ("csv", "table", "jdbc"):
         parser.add_argument(f"--publish-{kind}", help=f"append published scores to this {kind} sink as well")
@@ -208,6 +219,8 @@ def main(argv: list[str] | None = None) -> None:
         tables = tables.with_table(monitoring.SCORE_TABLES[spec.category][0], read(spark, options.score_csv))
     run = Run.create(tables, spec, options.out, options.current_date, options.past_date)
     run.sinks = {kind: target for kind in ("csv", "table", "jdbc") if (target := getattr(options, f"publish_{kind}"))}
+    if options.state:
+        run.keep_state(options.state)
     run.run(options.mode)
 
 

@@ -194,12 +194,13 @@ def _either(ranges: list[list[str]]) -> str:
 class Tables:
     """The domain tables of one data set."""
 
-    def __init__(self, spark: SparkSession, stored: Mapping[str, Stored]):
+    def __init__(self, spark: SparkSession, stored: Mapping[str, Stored], state=None):
         unknown = set(stored) - set(SCHEMAS)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         self.spark = spark
         self._stored = dict(stored)
+        self.state = state
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Tables:
@@ -228,7 +229,16 @@ class Tables:
         return cls(spark, {name: reader(name) for name in SCHEMAS})
 
     def with_table(self, name: str, df: DataFrame) -> Tables:
-        return Tables(self.spark, {**self._stored, name: Stored(lambda: df)})
+        return Tables(self.spark, {**self._stored, name: Stored(lambda: df)}, self.state)
+
+    def with_state(self, store) -> Tables:
+        """The same tables, whose newest rows come from a tenura.sources.state.StateStore."""
+        return Tables(self.spark, self._stored, store)
+
+    def newest(self, name: str, refs: Sequence[dt.date]) -> DataFrame:
+        """Rows that hold what is newest on each reference date: the whole history up to the last one, or, where a
+        state is kept, the state before each date and the days since."""
+        return self.get(name, until=max(refs)) if self.state is None else self.state.rows(self, name, refs)
 
     def get(self, name: str, since: dt.date | None = None, until: dt.date | None = None,
             windows: Sequence[tuple[dt.date, dt.date]] | None = None) -> DataFrame:

@@ -1,11 +1,14 @@
+import bisect
 import datetime as dt
 import random
+import re
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from tenura import functions as fn
+from tenura.plans import learn
 from tenura.operators import activity, contracts, divisions, monitoring
 from tenura.operators.grid import DistinctDays, LatestInt, in_look_back
 from tests.conftest import d, rows
@@ -284,10 +287,34 @@ def test_auc_by_rank_equals_all_pairs(spark):
     assert got["c"] is None
 
 
+@pytest.mark.parametrize("threads", ["4", "64"])
+def test_auc_of_scores_over_many_ranges(spark, threads):
+    """As many values as rows, a group over all ranges, small groups, missing groups and scores, against ranks by hand."""
+    random.seed(4)
+    data = [(random.choice(["big", "big", "big", "b", None]), None if i % 97 == 0 else random.random() if i % 5 else round(random.random(), 1), random.randrange(2))
+            for i in range(4000)] + [("one", 0.5, 1), ("all", 0.1, 0), ("all", 0.2, 0)]
+    spark.conf.set("spark.sql.shuffle.partitions", threads)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(data, "g string, s double, y int")
+        got = {r["g"]: (r["positives"], r["negatives"], r["auc"]) for r in monitoring.auc_by_rank(df, "s", "y", ["g"]).collect()}
+        plan = monitoring.auc_by_rank(df, "s", "y", ["g"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # values are ordered inside a range; only totals, a row for each range, are ordered by group
+    assert re.search(r"windowspecdefinition\(_range#\d+, g#\d+, s#", plan) and not re.search(r"windowspecdefinition\(g#\d+, s#", plan)
+    for group in {g for g, _, _ in data}:
+        of = [(-1.0 if s is None else s, y) for g, s, y in data if g == group]
+        positives, negatives = [s for s, y in of if y], sorted(s for s, y in of if not y)
+        pairs = sum(bisect.bisect_left(negatives, s) + bisect.bisect_right(negatives, s) for s in positives) / 2
+        assert got[group][:2] == (len(positives), len(negatives))
+        assert got[group][2] == (pytest.approx(pairs / len(positives) / len(negatives), abs=1e-12) if positives and negatives else None)
+
+
 def test_class_weights(spark):
-    df = spark.createDataFrame([(1.0,), (0.0,), (0.0,), (0.0,)], "y double").withColumn("g", F.lit(1))
-    row = monitoring.class_weights(df, "y", ["g"]).first()
-    assert (row["positive_weight"], row["negative_weight"]) == (0.75, 0.25)
+    df = spark.createDataFrame([(1.0,), (0.0,), (0.0,), (0.0,)], "y double")
+    assert rows(learn.weighted(df, "y"), "y", "class_weight") == [(0.0, 0.25), (0.0, 0.25), (0.0, 0.25), (1.0, 0.75)]
 
 
 def test_event_probability(spark):

@@ -37,7 +37,7 @@ def test_plan_scales(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas", "ExistingRDD"):
         assert bad not in plan, bad
     assert "SinglePartition" not in plan or name in ("freshness_date", "reference_dates", "old_churn_scores",
-                                                     "old_downgrade_scores", "validate_auc")
+                                                     "old_downgrade_scores", "validate_auc", "validate_auc_downgrade")
 
 
 def scans(plan):
