@@ -20,7 +20,8 @@ from tenura.checks import oracle as sql
 from tenura.operators import activity, contracts, divisions, monitoring
 from tenura.operators.grid import ACCOUNT, REF
 from tenura.operators.states import STATES
-from tenura.plans import learn
+from tenura.plans import boosting, learn
+from tenura.plans.certificate import fold_areas, logistic_certificate
 from tenura.plans.dataset import base_accounts, dataset, features, model_columns
 from tenura.plans.dates import evaluation_date, training_dates
 from tenura.plans.specs import SPECS, ProductSpec
@@ -519,6 +520,104 @@ def _learning_queries() -> dict[str, Query]:
     }
 
 
+def _certificate_queries(sf_dir: str) -> dict[str, Query]:
+    """Fitted models held against what they must fulfil; SQL counts the rows, and each claim must hold (1)."""
+    spec = _spec("churn", "accounting_established")
+    rows_sql = sql.union_refs(_refs(spec), lambda ref: sql.dataset(ref, spec))
+    judged = evaluation_date(spec, REFERENCE_DATE)
+    settings = ", ".join(f"({reg})" for reg in learn.LR_REG_PARAM)
+    per_setting = (f"FROM ({rows_sql}), (VALUES {settings}) AS v(reg_param) GROUP BY reg_param")
+
+    def fitted(t: Tables):
+        return cut_lineage(learn.training_frame(cut_lineage(dataset(t, _refs(spec), spec)), spec))
+
+    def optimum(t: Tables) -> DataFrame:
+        """A fit for each penalty on all training rows, and its gradient."""
+        data = fitted(t)
+        encoded = cut_lineage(Pipeline(stages=learn.encoding_stages(data, spec.predictors)).fit(data).transform(data)
+                              .select("features", "label", "class_weight"))
+        algorithm, _ = learn.logistic_regression()
+        found = []
+        for reg in learn.LR_REG_PARAM:
+            model = algorithm.copy({algorithm.regParam: reg}).fit(encoded)
+            certificate = logistic_certificate(encoded, model, reg)
+            found.append((reg, certificate.rows, certificate.positives, int(certificate.gradient < 1e-4), int(certificate.gap < 1e-6)))
+        return t.spark.createDataFrame(found, "reg_param double, n long, positives long, is_optimum int, gap_is_small int")
+
+    def cross_validated(t: Tables) -> DataFrame:
+        """Every fold's model is the optimum of the rows it saw, and the published area is that of its scores."""
+        selection = learn.select_model(fitted(t), spec, parallelism=4, keep_folds=True)
+        encoded, found = cut_lineage(selection.encoded), []
+        for position, (params, metric) in enumerate(selection.metrics):
+            models = [by_setting[position] for by_setting in selection.fold_models]
+            seen = [logistic_certificate(encoded.where(F.col("fold") != fold), model, params["regParam"]) for fold, model in enumerate(models)]
+            areas = fold_areas(encoded, models)
+            found.append((params["regParam"], sum(c.rows for c in seen) // (len(models) - 1), sum(c.gradient < 1e-4 for c in seen),
+                          int(abs(sum(areas.values()) / len(models) - metric) < 1e-9)))
+        return t.spark.createDataFrame(found, "reg_param double, n long, optimal_folds int, area_agrees int")
+
+    def evaluation(t: Tables) -> DataFrame:
+        """The area that the evaluation reports is the exact one of the scores it judged."""
+        _, selection = _trained(t, spec)
+        scored_rows = cut_lineage(learn.score(selection.model, dataset(t, [judged], spec), spec.predictors))
+        reported = learn.area_under_roc(scored_rows, spec.label)
+        exact = monitoring.auc_by_rank(scored_rows, "event_probability", spec.label, [REF])
+        return exact.withColumn("area_agrees", (F.abs(F.col("auc") - reported) < 1e-9).cast("int"))
+
+    # one feature with two values: the sums of both halves follow from the margins before, so SQL can boost as well
+    grid = ", ".join(f"({s.depth}, {s.reg_lambda}, {s.child_weight})" for s in boosting.GRID)
+    fall = "(({g}) * ({g}) / (({h}) + reg_lambda))"
+    both = {"g": "g0 + g1", "h": "h0 + h1"}
+    gain = f"{fall.format(g='g0', h='h0')} + {fall.format(g='g1', h='h1')} - {fall.format(**both)}"
+    odds = {x: f"1 / (1 + exp(-m{x}))" for x in (0, 1)}
+    rounds = 6
+
+    def boosted(t: Tables) -> DataFrame:
+        orders = t.spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+            "o_orderkey AS key", "array(CASE WHEN o_totalprice > 200000 THEN 1D ELSE 0D END, 0.5D) AS x",
+            "CASE WHEN o_totalprice > 120000 + o_orderkey % 150000 THEN 1 ELSE 0 END AS label", "0 AS fold")
+        total = orders.count()
+        data = orders.withColumn("class_weight", F.lit(120.0) / F.lit(float(total)))
+        _, models = boosting.fit_together(data, 2, [(setting, None) for setting in boosting.GRID], rounds=rounds, row_share=1, column_share=1)
+        margins = [f"struct({s.depth} AS depth, {s.reg_lambda}D AS reg_lambda, {s.child_weight}D AS child_weight, {model.margin()} AS margin)"
+                   for s, model in zip(boosting.GRID, models)]
+        return (data.selectExpr("x", f"inline(array({', '.join(margins)}))").selectExpr("CAST(x[0] AS INT) AS dear", "* EXCEPT (x)")
+                .groupBy("depth", "reg_lambda", "child_weight", "dear").agg(F.count(F.lit(1)).alias("n"), F.min("margin").alias("low"), F.max("margin").alias("high")))
+
+    boosted_sql = f"""
+        WITH RECURSIVE halves AS (
+            SELECT CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END AS dear, COUNT(*) AS n,
+                   SUM(CASE WHEN o_totalprice > 120000 + o_orderkey % 150000 THEN 1 ELSE 0 END) AS positives FROM orders GROUP BY 1),
+        sums AS (SELECT SUM(n) AS n, 120.0 * SUM(CASE WHEN dear = 0 THEN n ELSE 0 END) / SUM(n) AS w0, 120.0 * SUM(CASE WHEN dear = 1 THEN n ELSE 0 END) / SUM(n) AS w1,
+                 120.0 * SUM(CASE WHEN dear = 0 THEN positives ELSE 0 END) / SUM(n) AS y0, 120.0 * SUM(CASE WHEN dear = 1 THEN positives ELSE 0 END) / SUM(n) AS y1 FROM halves),
+        settings AS (SELECT * FROM (VALUES {grid}) AS v(depth, reg_lambda, child_weight)),
+        boosted(depth, reg_lambda, child_weight, round, m0, m1) AS (
+            SELECT depth, CAST(reg_lambda AS DOUBLE), CAST(child_weight AS DOUBLE), 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM settings
+            UNION ALL
+            SELECT depth, reg_lambda, child_weight, round + 1,
+                   m0 + 0.05 * CASE WHEN divided THEN -g0 / (h0 + reg_lambda) ELSE -(g0 + g1) / (h0 + h1 + reg_lambda) END,
+                   m1 + 0.05 * CASE WHEN divided THEN -g1 / (h1 + reg_lambda) ELSE -(g0 + g1) / (h0 + h1 + reg_lambda) END
+            FROM (SELECT *, h0 >= child_weight AND h1 >= child_weight AND {gain} >= 0.1 AS divided FROM (
+                SELECT boosted.*, w0 * {odds[0]} - y0 AS g0, w1 * {odds[1]} - y1 AS g1, w0 * {odds[0]} * (1 - {odds[0]}) AS h0, w1 * {odds[1]} * (1 - {odds[1]}) AS h1
+                FROM boosted, sums)) WHERE round < {rounds})
+        SELECT depth, reg_lambda, child_weight, dear, n, CASE WHEN dear = 0 THEN m0 ELSE m1 END AS low, CASE WHEN dear = 0 THEN m0 ELSE m1 END AS high
+        FROM boosted, halves WHERE round = {rounds}"""
+    return {
+        "boosted_with_l2": Query(
+            boosted, _kinds("depth:i reg_lambda:f child_weight:f dear:i n:i low:f high:f"), boosted_sql),
+        "logistic_optimum": Query(
+            optimum, _kinds("reg_param:f n:i positives:i is_optimum:i gap_is_small:i"),
+            f"SELECT reg_param, COUNT(*) AS n, SUM({spec.label}) AS positives, 1 AS is_optimum, 1 AS gap_is_small {per_setting}"),
+        "cross_validation_checked": Query(
+            cross_validated, _kinds("reg_param:f n:i optimal_folds:i area_agrees:i"),
+            f"SELECT reg_param, COUNT(*) AS n, {learn.FOLDS} AS optimal_folds, 1 AS area_agrees {per_setting}"),
+        "evaluation_checked": Query(
+            evaluation, _kinds("reference_date:d positives:i negatives:i area_agrees:i"),
+            f"SELECT reference_date, SUM({spec.label}) AS positives, COUNT(*) - SUM({spec.label}) AS negatives, 1 AS area_agrees "
+            f"FROM ({sql.union_refs([judged], lambda ref: sql.dataset(ref, spec))}) GROUP BY reference_date"),
+    }
+
+
 def _preparation_queries() -> dict[str, Query]:
     """What training does to the rows before a model is fitted, step by step."""
     spec = _spec("churn", "accounting_onboarding")
@@ -693,6 +792,7 @@ def all_queries(sf_dir: str = "") -> dict[str, Query]:
         **_state_queries(),
         **_storage_queries(),
         **_learning_queries(),
+        **_certificate_queries(sf_dir),
     }
 
 

@@ -6,13 +6,14 @@ training and prediction, and an unseen one falls into its own bucket.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, S
 from pyspark.sql.window import Window
 
 from tenura.functions import health_score
+from tenura.plans import boosting
 from tenura.plans.specs import KEYS, ProductSpec
 
 FOLDS = 5
@@ -125,8 +127,9 @@ def boosted_trees():
     return model, grid
 
 
-ALGORITHMS = {"LogisticRegression": logistic_regression, "XGBoost": boosted_trees,
-              "GradientBoostedTrees": boosted_trees}
+ALGORITHMS = {"LogisticRegression": logistic_regression, "GradientBoostedTrees": boosted_trees}
+#: Boosting with an L2 term on the leaves, of tenura.plans.boosting.
+SECOND_ORDER = "XGBoost"
 
 
 @dataclass(frozen=True)
@@ -135,6 +138,9 @@ class Selection:
     params: dict[str, float]
     metrics: list[tuple[dict[str, float], float]]
     model: PipelineModel
+    #: On request the rows as the classifier saw them, and its model for each fold and setting.
+    encoded: DataFrame | None = None
+    fold_models: list | None = None
 
 
 def _plain(params) -> dict[str, float]:
@@ -142,11 +148,13 @@ def _plain(params) -> dict[str, float]:
 
 
 def select_model(data: DataFrame, spec: ProductSpec, algorithm=None, grid=None, folds: int = FOLDS,
-                 parallelism: int = 3) -> Selection:
+                 parallelism: int = 3, keep_folds: bool = False) -> Selection:
     """Stratified cross-validation over the grid. `data` comes from training_frame.
 
     The encoders are fitted once; the folds refit the classifier only.
     """
+    if algorithm is None and spec.algorithm == SECOND_ORDER:
+        return select_boosted(data, spec, folds=folds)
     if algorithm is None:
         try:
             algorithm, default_grid = ALGORITHMS[spec.algorithm]()
@@ -157,12 +165,30 @@ def select_model(data: DataFrame, spec: ProductSpec, algorithm=None, grid=None,
     encoded = encoders.transform(data).select("features", "label", "class_weight", "fold", "stopping")
     validator = CrossValidator(estimator=algorithm, estimatorParamMaps=grid,
                                evaluator=BinaryClassificationEvaluator(numBins=0),
-                               numFolds=folds, foldCol="fold", parallelism=parallelism)
+                               numFolds=folds, foldCol="fold", parallelism=parallelism, collectSubModels=keep_folds)
     fitted = validator.fit(encoded)
     metrics = [(_plain(params), float(metric)) for params, metric in zip(grid, fitted.avgMetrics)]
     position = max(range(len(metrics)), key=lambda i: metrics[i][1])
     model = PipelineModel(stages=[*encoders.stages, fitted.bestModel])
-    return Selection(metrics[position][1], metrics[position][0], metrics, model)
+    kept = (encoded, fitted.subModels) if keep_folds else (None, None)
+    return Selection(metrics[position][1], metrics[position][0], metrics, model, *kept)
+
+
+def select_boosted(data: DataFrame, spec: ProductSpec, settings=tuple(boosting.GRID), folds: int = FOLDS, **options) -> Selection:
+    """Stratified cross-validation of second-order boosting over its grid, all settings and folds in the same passes, and
+    the model of the best setting on all rows. The trees are stored as SQL, so the model is a pipeline like others."""
+    indexers = Pipeline(stages=encoding_stages(data, spec.predictors, one_hot=False)[:-1]).fit(data)
+    categorical, numeric = split_columns(data, spec.predictors)
+    names = [*numeric, *[f"{c}_index" for c in categorical]]
+    keys = ["reference_date", *KEYS]
+    frame = indexers.transform(data).select(F.xxhash64(*keys).alias("key"), F.array(*[F.col(c).cast("double") for c in names]).alias("x"),
+                                            "label", "class_weight", "fold")
+    found = boosting.cross_validated(frame, len(names), settings, folds, **options)
+    best, area = max(found, key=lambda each: each[1])
+    _, (model,) = boosting.fit_together(frame, len(names), [(best, None)], **options)
+    event = SQLTransformer(statement=f"SELECT *, array(1 - _event, _event) AS probability FROM (SELECT *, 1 / (1 + exp(-({model.margin(names=names)}))) AS _event FROM __THIS__)")
+    metrics = [(asdict(setting), metric) for setting, metric in found]
+    return Selection(area, asdict(best), metrics, PipelineModel(stages=[*indexers.stages, event]))
 
 
 def training_frame(dataset: DataFrame, spec: ProductSpec) -> DataFrame:
@@ -180,7 +206,8 @@ def score(model, data: DataFrame, predictors) -> DataFrame:
     frame = data.withColumns({f"_in_{c}": F.col(c) for c in predictors if c in KEYS})
     scored = model.transform(prepared(frame, predictors))
     restored = [F.col(f"_in_{c}").alias(c) if c in predictors and c in KEYS else F.col(c) for c in keep]
-    return (scored.withColumn("_p", vector_to_array("probability"))
+    vector = isinstance(scored.schema["probability"].dataType, VectorUDT)
+    return (scored.withColumn("_p", vector_to_array("probability") if vector else F.col("probability"))
             .select(*restored, F.expr("_p[1] AS event_probability"), health_score("_p[0]").alias("health_score")))
 
 

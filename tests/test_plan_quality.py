@@ -11,7 +11,9 @@ from tenura.sources.tables import DIRECTORIES, Tables
 from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 
 SF = "/root/testdata/sf0.001"
-CHECKED = [name for name, query in all_queries(SF).items() if query.sql is not None]
+#: Their rows are made on the driver from fitted models: there is no plan to look at.
+FITTED = ("logistic_optimum", "cross_validation_checked")
+CHECKED = [name for name, query in all_queries(SF).items() if query.sql is not None and name not in FITTED]
 
 
 def plan_text(spark, df):
