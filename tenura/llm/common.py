@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,25 @@ def saved(frame: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: What operators keep in a Python worker between tasks, and how to empty it. Workers live on from stage to stage.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, empty: Callable[[], None]) -> None:
+    _KEPT[name] = empty
+
+
+def starts_task(name: str) -> None:
+    """Empties what other operators left in this worker, so that a worker holds one operator's store at a time."""
+    others = [other for other in _KEPT if other != name]
+    for other in others:
+        _KEPT.pop(other)()
+    if others:
+        import pyarrow
+
+        pyarrow.default_memory_pool().release_unused()
+
+
 def vocabulary(name: str) -> str:
     """Place of an installed public vocabulary file."""
     import public_tokenizers

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import key_counts, saved, spread, spread_join, text_of
+from tenura.llm.common import key_counts, saved, spread, spread_join, starts_task, text_of
 
 WORD = re.compile(r"\w+")
 NO_ID = -(2 ** 63)
@@ -220,6 +220,7 @@ def near_join(docs: DataFrame, threshold: float = 0.8, words: int = 5, trees: in
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("body"))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        starts_task("shingles")
         shingle = Shingler(forest.n)
         for batch in batches:
             sets = [shingle(text) for text in batch["body"]]

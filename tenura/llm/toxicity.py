@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenura.llm.common import text_of
+from tenura.llm.common import keeps, starts_task, text_of
 
 WORD = re.compile(r"\w+")
 WINDOW, STRIDE = 32, 16
@@ -374,6 +374,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        starts_task("trigrams")
+        keeps("trigrams", GRAMS.clear)
         for batch in batches:
             found = model.scores(batch["body"].tolist()) if len(batch) else np.zeros(0)
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_mark": batch["text_mark"], "held_out": batch["held_out"], "score": found})
@@ -391,6 +393,8 @@ def clean(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     name = "_tx_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts_task("trigrams")
+        keeps("trigrams", GRAMS.clear)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(name)).to_pylist()
             keep = model.scores(texts) < threshold if texts else np.zeros(0, dtype=bool)

@@ -7,6 +7,8 @@ import re
 
 import numpy as np
 
+from tenura.llm.common import keeps, starts_task
+
 #: Words of these characters (printable, up to Latin Extended-A, without the dotted capital I) are not changed by
 #: composition and are split and lower-cased here; any other word goes through the library whole.
 PLAIN = re.compile("[!-~¡-¬®-įı-ſ]+")
@@ -72,6 +74,8 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 def encoder(path: str) -> WordEncoder:
     """One encoder per Python worker and vocabulary."""
+    starts_task("words")
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    keeps("words", _ENCODERS.clear)
     return _ENCODERS[path]

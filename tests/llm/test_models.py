@@ -308,3 +308,21 @@ def test_queries_of_a_part_come_in_blocks(spark):
 
 def test_chi_square_point():
     assert neighbours.chi_square_point(2, 0.95) == pytest.approx(5.991, abs=1e-3) and neighbours.chi_square_point(8, 0.99) == pytest.approx(20.090, abs=1e-3)
+
+
+def test_a_worker_keeps_one_store():
+    """What an operator keeps between tasks goes when another one's task starts, and comes back as it was."""
+    from tenura.llm import toxicity, word_ids
+    from tenura.llm.common import keeps, starts_task, vocabulary
+
+    path = vocabulary("word_bpe_49k.json")
+    first = word_ids.encoder(path)
+    ids = first.encode("Some words, kept.")
+    assert word_ids.encoder(path) is first and first.kept
+    starts_task("trigrams")
+    keeps("trigrams", toxicity.GRAMS.clear)
+    grams = toxicity.trigrams("word")
+    assert not word_ids._ENCODERS and toxicity.GRAMS
+    again = word_ids.encoder(path)
+    assert again is not first and again.encode("Some words, kept.") == ids
+    assert not toxicity.GRAMS and toxicity.trigrams("word") == grams
