@@ -7,6 +7,7 @@ as text), so that values compare across engines.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -25,9 +26,9 @@ from tenura.plans.certificate import fold_areas, logistic_certificate
 from tenura.plans.dataset import base_accounts, dataset, features, model_columns
 from tenura.plans.dates import evaluation_date, training_dates
 from tenura.plans.specs import SPECS, ProductSpec
-from tenura.sources.sinks import append_rows, cut_lineage, shared_path, statistics_row, write_by_reference_date
+from tenura.sources.sinks import append_rows, cut_lineage, publish_table, shared_path, statistics_row, write_by_day, write_by_reference_date
 from tenura.sources.state import StateStore
-from tenura.sources.tables import Tables, read_health_score_csv, run_sql
+from tenura.sources.tables import DIRECTORIES, Tables, read_health_score_csv, run_sql
 from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
 
 EVERYWHERE = "NL,BE"  # all countries of the data
@@ -751,8 +752,28 @@ def _storage_queries() -> dict[str, Query]:
         days = t.get("activity_daily").groupBy("date").agg(F.count(F.lit(1)).alias("events"))
         return found.join(days, found[REF] == days["date"], "left").withColumn("events", F.coalesce("events", F.lit(0)))
 
+    def published_twice(t: Tables) -> DataFrame:
+        name = f"published_{uuid.uuid4().hex}"
+        scores = t.get("is_usage_score").withColumn("predict_date", F.to_date("predict_date"))
+        publish_table(scores.withColumn("score", F.col("score") + 1), name)  # a first run, corrected by the second
+        publish_table(scores, name)
+        return t.spark.table(name)
+
+    def from_day_folders(t: Tables) -> DataFrame:
+        root = shared_path(t.spark, "lake")
+        write_by_day(t.get("activity_daily"), f"{root}/{DIRECTORIES['activity_daily']}")
+        stored = Tables.from_parquet(t.spark, root, by_day=["activity_daily"])
+        lake = t.with_stored("activity_daily", stored)
+        return activity.pageviews(lake, GRID, WINDOW, EVERYWHERE, "Accounting")
+
     grid = ", ".join(f"(DATE '{ref}')" for ref in GRID)
     return {
+        "published_table": Query(
+            published_twice, _kinds("environment:s account_code:s package_code:s score:i reference_date:d predict_date:d phase:s"),
+            "SELECT * REPLACE (CAST(predict_date AS DATE) AS predict_date) FROM t_is_usage_score"),
+        "pageviews_from_day_folders": Query(
+            from_day_folders, _kinds(KEY + "pageviews:i"),
+            sql.union_refs(GRID, lambda ref: sql.pageviews(ref, WINDOW, EVERYWHERE, "Accounting"))),
         "training_set_written": Query(
             written_twice, _kinds("reference_date:d environment:s n:i churned:i"),
             f"SELECT reference_date, environment, COUNT(*) AS n, SUM(churned) AS churned FROM ({dataset_sql}) GROUP BY ALL"),

@@ -21,7 +21,7 @@ from tenura.plans import learn
 from tenura.plans.dataset import dataset
 from tenura.plans.dates import evaluation_date, refine_dates, training_dates
 from tenura.plans.specs import KEYS, ProductSpec, get_spec, load_spec
-from tenura.sources.sinks import ModelStore, append_jdbc, append_rows, statistics_row, write_by_reference_date
+from tenura.sources.sinks import ModelStore, append_jdbc, append_rows, publish_table, statistics_row, write_by_reference_date
 from tenura.sources.state import StateStore
 from tenura.sources.tables import Tables, read_downgrade_score_csv, read_health_score_csv
 
@@ -123,8 +123,8 @@ class Run:
         return f"{self.out}/publish/{self.score_table}/model={self.spec.model_name}"
 
     def predict(self) -> str:
-        """Publish the scores of the current date. Running it again replaces them; the further sinks, which only
-        append, get them too."""
+        """Publish the scores of the current date. Running it again replaces them, in a catalog table too; csv and
+        jdbc sinks only append."""
         name = monitoring.SCORE_TABLES[self.spec.category][1]
         scored = self._scored(self.current, label=False).select(
             *KEYS, F.col("health_score").alias(name), "reference_date",
@@ -134,6 +134,8 @@ class Run:
             written = self.spark.read.parquet(self.scores_path()).where(F.col("reference_date") == F.lit(self.current))
             if kind == "jdbc":
                 append_jdbc(written, target, self.score_table)
+            elif kind == "table":
+                publish_table(written, target)
             else:
                 append_rows(written, target, kind)
         return self.scores_path()
@@ -196,9 +198,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--config", help="JSON file instead of the built-in specification")
     parser.add_argument("--score-csv", help="published scores in CSV instead of the lake's table")
     parser.add_argument("--state", help="root folder of as-of states that runs carry on, instead of reading whole histories")
+    parser.add_argument("--by-day", nargs="*", default=[], help="tables of the lake that lie in folders year=/month=/day= of their date")
     parser.add_argument("--clean", action="store_true", help="the lake's tables were written with normalised keys")
     for kind in ("csv", "table", "jdbc"):
-        parser.add_argument(f"--publish-{kind}", help=f"append published scores to this {kind} sink as well")
+        parser.add_argument(f"--publish-{kind}", help=f"write published scores to this {kind} sink as well")
     parser.add_argument("--current-date", type=dt.date.fromisoformat)
     parser.add_argument("--past-date", type=dt.date.fromisoformat)
     parser.add_argument("--shuffle-partitions", type=int,
@@ -213,7 +216,7 @@ def main(argv: list[str] | None = None) -> None:
     if options.shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", options.shuffle_partitions)
     spark = builder.getOrCreate()
-    tables = Tables.from_parquet(spark, options.lake, clean=options.clean)
+    tables = Tables.from_parquet(spark, options.lake, clean=options.clean, by_day=options.by_day)
     if options.score_csv:
         read = read_health_score_csv if spec.category == "churn" else read_downgrade_score_csv
         tables = tables.with_table(monitoring.SCORE_TABLES[spec.category][0], read(spark, options.score_csv))

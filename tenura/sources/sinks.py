@@ -51,6 +51,33 @@ def append_rows(df: DataFrame, path: str, kind: str = "parquet") -> None:
         raise ValueError(f"unknown sink {kind!r}")
 
 
+def publish_table(df: DataFrame, name: str) -> None:
+    """Writes to a catalog table by reference date: dates present in df replace those of the table, others stay, so a run
+    published twice leaves one set of rows. The table is made where it is not there; columns are matched by name."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.hint("rebalance", "reference_date").write.partitionBy("reference_date").saveAsTable(name)
+        return
+    columns = spark.table(name).columns
+    if set(columns) != set(df.columns):
+        raise ValueError(f"columns of {name} are {sorted(columns)}, not {sorted(df.columns)}")
+    # a catalog table takes the mode from the session only
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*columns).hint("rebalance", "reference_date").write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def write_by_day(df: DataFrame, path: str, date: str = "date") -> None:
+    """Writes folders year=/month=/day=; days present in df replace themselves. Rows are brought together by day first."""
+    folders = {"year": F.year(date), "month": F.month(date), "day": F.dayofmonth(date)}
+    (df.withColumns(folders).hint("rebalance", *folders).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path))
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
     df.write.jdbc(url, table, mode="append", properties=properties or {})
 

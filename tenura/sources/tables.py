@@ -172,6 +172,21 @@ def _stored_bounds(table: str, df: DataFrame) -> Bounds:
     return bounds
 
 
+def _folder_bounds(table: str, read: Callable[[], DataFrame]) -> Bounds:
+    """Bounds of a table in folders year=/month=/day= of its date: whole folders are left out before any file is opened,
+    and what the stored date itself can rule out inside them."""
+    def bounds(since: dt.date | None, until: dt.date | None) -> list[str]:
+        df = read()
+        missing = {"year", "month", "day"} - {c.lower() for c in df.columns}
+        if missing:
+            raise ValueError(f"{table} does not lie in folders by {sorted(missing)}")
+        sides = ((">=", since), ("<=", until))
+        folders = [f"make_date(year, month, day) {sign} DATE '{day}'" for sign, day in sides if day is not None]
+        return folders + _stored_bounds(table, df)(since, until)
+
+    return bounds
+
+
 @dataclass(frozen=True)
 class Stored:
     """A stored frame, how date bounds translate to its own columns, and the
@@ -208,10 +223,11 @@ class Tables:
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, merge_schema: bool | Collection[str] = False,
-                     paths: Mapping[str, str] | None = None, clean: bool | Collection[str] = False) -> Tables:
+                     paths: Mapping[str, str] | None = None, clean: bool | Collection[str] = False,
+                     by_day: Collection[str] = ()) -> Tables:
         """One directory (or glob, through `paths`) per table below `root`, opened once. Schemas are merged for all
-        tables or the named ones; `clean` says which tables were written with normalised keys. A lake without
-        published scores has an empty table of them."""
+        tables or the named ones; `clean` says which tables were written with normalised keys, `by_day` which lie in
+        folders year=/month=/day= of their date. A lake without published scores has an empty table of them."""
         def among(name: str, chosen: bool | Collection[str]) -> bool:
             return chosen if isinstance(chosen, bool) else name in chosen
 
@@ -224,13 +240,17 @@ class Tables:
                 return read_or_empty(spark, path, name) if name in SCORES else \
                     spark.read.option("mergeSchema", merge).parquet(path)
 
-            return Stored(read, clean=among(name, clean))
+            return Stored(read, _folder_bounds(name, read) if name in by_day else None, clean=among(name, clean))
 
         return cls(spark, {name: reader(name) for name in SCHEMAS})
 
     def with_table(self, name: str, df: DataFrame) -> Tables:
         return Tables(self.spark, {**self._stored, name: Stored(lambda: df)}, self.state)
 
+    def with_stored(self, name: str, other: Tables) -> Tables:
+        """The same tables, with one as another set stores it."""
+        return Tables(self.spark, {**self._stored, name: other._stored[name]}, self.state)
+
     def with_state(self, store) -> Tables:
         """The same tables, whose newest rows come from a tenura.sources.state.StateStore."""
         return Tables(self.spark, self._stored, store)

@@ -1,10 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tenura.sources import sinks
-from tenura.sources.tables import SCHEMAS, Tables, column_names, read_health_score_csv, run_sql
+from tenura.sources.tables import DIRECTORIES, SCHEMAS, Tables, column_names, read_health_score_csv, run_sql
 from tenura.sources.testdata import MAPPINGS, REFERENCE_DATE, star_schema_tables
 from tests.conftest import d, rows
 from tests.fixtures import tables
@@ -135,3 +136,35 @@ def test_checkpoint_folder_of_the_session_is_used(spark):
     df = sinks.cut_lineage(spark.range(5))
     assert df.count() == 5
     assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
+
+
+def test_table_published_again_replaces_its_dates(spark):
+    name = "published_again"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    names = "account_code string, score int, reference_date date"
+    first = spark.createDataFrame([("a", 1, d("2024-01-01")), ("b", 2, d("2024-02-01"))], names)
+    sinks.publish_table(first, name)
+    again = spark.createDataFrame([(d("2024-02-01"), 9, "c")], "reference_date date, score int, account_code string")
+    for _ in range(2):
+        sinks.publish_table(again, name)
+    assert rows(spark.table(name), "account_code", "score", "reference_date") == [("a", 1, d("2024-01-01")), ("c", 9, d("2024-02-01"))]
+    with pytest.raises(ValueError, match="columns of"):
+        sinks.publish_table(first.withColumn("more", F.lit(1)), name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_day_folders_prune_files(spark, tmp_path):
+    days = [d("2023-12-30"), d("2023-12-31"), d("2024-01-01"), d("2024-01-15"), d("2024-02-01")]
+    stored = spark.createDataFrame([("nl", f"a{n}", day, 1, n) for n, day in enumerate(days * 2)],
+                                   "environment string, account_code string, date date, activity_id int, quantity int")
+    sinks.write_by_day(stored, f"{tmp_path}/{DIRECTORIES['activity_daily']}")
+    sinks.write_by_day(stored.where("date = DATE '2024-01-15'"), f"{tmp_path}/{DIRECTORIES['activity_daily']}")  # that day replaces itself
+    by_day, plain = (Tables.from_parquet(spark, str(tmp_path), by_day=names) for names in (["activity_daily"], []))
+    for windows in ([(d("2023-12-31"), d("2024-01-15"))], [(d("2023-12-30"), d("2023-12-30")), (d("2024-01-02"), None)], [(None, d("2024-01-01"))]):
+        found = by_day.get("activity_daily", windows=windows)
+        assert rows(found) == rows(plain.get("activity_daily", windows=windows)) != []
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*make_date\(year#\d+, month#\d+, day#\d+", plan)
+    with pytest.raises(ValueError, match="folders"):
+        Tables.from_parquet(spark, str(tmp_path), by_day=["users"], paths={"users": f"{tmp_path}/{DIRECTORIES['activity_daily']}/year=2023/month=12/day=30"}) \
+            ._stored["users"].bounds(None, None)
