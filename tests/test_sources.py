@@ -9,6 +9,7 @@ from tenura.sources.tables import DIRECTORIES, SCHEMAS, Tables, column_names, re
 from tenura.sources.testdata import MAPPINGS, REFERENCE_DATE, star_schema_tables
 from tests.conftest import d, rows
 from tests.fixtures import tables
+from tests.test_plan_quality import plan_text
 
 SF = "/root/testdata/sf0.001"
 
@@ -163,7 +164,7 @@ def test_day_folders_prune_files(spark, tmp_path):
     for windows in ([(d("2023-12-31"), d("2024-01-15"))], [(d("2023-12-30"), d("2023-12-30")), (d("2024-01-02"), None)], [(None, d("2024-01-01"))]):
         found = by_day.get("activity_daily", windows=windows)
         assert rows(found) == rows(plain.get("activity_daily", windows=windows)) != []
-        plan = found._jdf.queryExecution().executedPlan().toString()
+        plan = plan_text(spark, found)
         assert re.search(r"PartitionFilters: \[[^\]]*make_date\(year#\d+, month#\d+, day#\d+", plan)
     with pytest.raises(ValueError, match="folders"):
         Tables.from_parquet(spark, str(tmp_path), by_day=["users"], paths={"users": f"{tmp_path}/{DIRECTORIES['activity_daily']}/year=2023/month=12/day=30"}) \
