@@ -1,5 +1,8 @@
 """Trained models, tokenizer variants, pages and vectors: held-out accuracy, round trips, fixed cases, brute force."""
 
+import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -245,6 +248,103 @@ def test_formulas_drawings_and_maps(page, text):
     assert page_text(page).replace("\n\n", "\n") == text.replace("\n\n", "\n")
 
 
+@pytest.mark.parametrize("page,text", [
+    # declarations, not parts of other names
+    ("<p style='backface-visibility:hidden'>a<p style='--x-display:none'>b<p style='color:red; DISPLAY : none !important'>c", "a\n\nb"),
+    ("<p style='display:none;display:block'>a<p hidden style='display:block'>b<p hidden>c", "a\n\nb"),
+    # children of invisible parents
+    ("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b><i>no</i></div>z", "yes\nz"),
+    ("<div style='display:none'>no<b style='display:block;visibility:visible'>no</b></div>z", "z"),
+    ("<ol><li>a<li style='visibility:hidden'>b<li style='display:none'>c<li>d</ol>", "1. a\n3. d"),
+    # stray quotes
+    ("<p class=a\">one</p>two", "one\n\ntwo"), ("<a title=it's>link</a> don't", "link don't"), ("<p \" x>q", "q"), ("<a x=\"open>t", "t"),
+    ("<a href=a\"b>c</a>d", "cd"), ("<p a = '>'>q", "q"), ("a <b c=\"d", "a <b c=\"d"),
+    # style sheets
+    ("<style>.n{display:none}</style><p class='m n'>no<p class=nn>yes", "yes"),
+    ("<style>/* .a{display:none} */ p#x, i.y.z {visibility:hidden}</style><p id=x>no<b style='visibility:visible'>b</b></p><i class='z y'>no</i><i class=y>i</i>", "b\n\ni"),
+    ("<style>@import 'q'; @media print {.a{display:none}} .b{display:none}</style><b class=a>a</b><b class=b>b</b>", "a"),
+    ("<style media=print>b{display:none}</style><style>i{display:none}#k{display:inline}</style><b>b</b><i>i</i><i id=k>k</i>", "bk"),
+    ("<style>p{display:none!important}.q{display:block}u{display:none}</style><p class=q style='display:block'>p</p><u style='display:inline'>u</u>", "u"),
+    ("<p class=n>no</p>yes<style>.n{display:none</style>", "yes"), ("<style>.a .n{display:none}b:hover{display:none}{}{</style><b class=n>b</b>", "b"),
+    # cells over several rows, numbers of lists
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ("<table><tr><td>x<td rowspan=0 colspan=2>yy<td>z<tr><td>a<td>b<tr><td>c<td>d</table>", "x  yy  z\na      b\nc      d"),
+    ("<table><tr><td rowspan=2>a<td><tr><td><tr><td>d<td>e</table>", "a\nd  e"),
+    ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"), ("<ol reversed><li>a<li>b<li hidden>h<li>c</ol>", "3. a\n2. b\n1. c"),
+    ("<ol reversed start=10><li>a<li value=x>b</ol>", "10. a\n9. b"), ("<ol start=-1><li>a<li>b</ol>", "-1. a\n0. b"),
+])
+def test_visibility_quotes_spans_and_numbers(page, text):
+    assert page_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 60000 + "deep", "<p><table><td>" + "<div>" * 60000 + "deep", "<svg><text>" + "<tspan>" * 60000 + "deep", "<b>" * 30000 + "<div>" + "</b>" * 30000 + "deep",
+    "<i a='" * 30000 + "deep", "deep" + "<i " * 60000, "<style>" + "a " * 100000 + "</style>deep", "<ul><li>" * 3000 + "deep", "</i>" * 60000 + "deep"])
+def test_time_does_not_grow_with_depth(page):
+    began = time.process_time()
+    assert "deep" in page_text(page) or "='" in page
+    assert time.process_time() - began < 8
+
+
+def random_page(seed):
+    """A well-formed page and the words that it shows, in order: visibility is worked out while the page is written."""
+    rng, seen, out, number = random.Random(seed), [], [], [0]
+
+    def element(depth, placed, visible):
+        name = rng.choice(("div", "span", "b", "section", "ul", "table", "p"))
+        style, hidden = [], ""
+        if rng.random() < 0.1:
+            style.append("display:none")
+        if rng.random() < 0.2:
+            style.append(rng.choice(("visibility:hidden", "visibility: visible", "visibility:inherit", "backface-visibility:hidden")))
+        if rng.random() < 0.1:
+            hidden = " hidden"
+        mark = rng.choice(("", "", " class=gone", " class='back x'", " class=faint"))
+        placed = placed and "display:none" not in style and not hidden and "gone" not in mark
+        visible = visible if not "faint" in mark else False
+        visible = {"visibility:hidden": False, "visibility: visible": True}.get(style[-1], visible) if style else visible
+        if "visibility:inherit" in style:
+            visible = element.parent
+        out.append(f"<{name}{mark}{hidden}" + (f" style='{';'.join(style)}'" if style else "") + ">")
+        if name == "table":
+            for _ in range(rng.randint(1, 3)):
+                out.append("<tr>")
+                for _ in range(rng.randint(1, 3)):
+                    out.append("<td>")
+                    word(placed, visible)
+                    out.append("</td>")
+                out.append("</tr>")
+        else:
+            inside(depth + 1, placed, visible, "li" if name == "ul" else "", ("span", "b") if name in ("p", "span", "b") else ())
+        out.append(f"</{name}>")
+
+    def word(placed, visible):
+        number[0] += 1
+        out.append(f" w{number[0]} ")
+        if placed and visible:
+            seen.append(f"w{number[0]}")
+
+    def inside(depth, placed, visible, item, only):
+        for _ in range(rng.randint(1, 4)):
+            out.append(f"<{item}>" if item else "")
+            if only or depth > 5 or rng.random() < 0.5:
+                word(placed, visible)
+            else:
+                element.parent = visible
+                element(depth, placed, visible)
+            out.append(f"</{item}>" if item else "")
+
+    element.parent = True
+    inside(0, True, True, "", ())
+    return "<style>.gone{display:none} .faint{visibility:hidden}</style>" + "".join(out), seen
+
+
+def test_random_pages_show_their_words():
+    for seed in range(400):
+        page, seen = random_page(seed)
+        assert re.findall(r"w\d+", page_text(page)) == seen, seed
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (None, "u", None), (1, "u", "<p>x"), (2, "u", "")], "page_id long, text string, html string")
     assert sorted(map(tuple, extract(pages).collect()), key=repr) == sorted([(1, "x"), (None, ""), (1, "x"), (2, "")], key=repr)
