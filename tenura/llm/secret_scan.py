@@ -42,6 +42,8 @@ MARKED = f"$1{''.join(_GROUPS[1::2])}{MARKS[0]}{''.join(_GROUPS[2:-1:2])}{MARKS[
 SHAPE = r"[A-Za-z0-9_+/.@\-!#$%&*~^?]{16,}|[:=]|(?i:\bis\b)"
 #: Characters beside a candidate in which its neighbouring words are looked for.
 BESIDE = 200
+#: Texts are cut into blocks of this many characters, so that a part is taken without counting from the first character.
+BLOCK = 1024
 #: A found value of this length is hidden wherever it stands in its text; a shorter one, which may be a common word, where it was found.
 UNIQUE_LEAST = 16
 CANDIDATE_LEAST = 16
@@ -83,6 +85,25 @@ def _any(words: list[str]) -> str:
     return "|".join(words)
 
 
+def blocks_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def part_of(blocks: Column, start: Column, size: Column) -> Column:
+    """`size` characters from `start`, counted from 0, or as many as there are; reads the blocks they lie in."""
+    first = F.floor(start / BLOCK).cast("int")
+    spanned = F.slice(blocks, first + 1, F.floor((start + size) / BLOCK).cast("int") - first + 1)
+    return F.substring(F.array_join(spanned, ""), start - first * BLOCK + 1, size)
+
+
+def running_sums(sizes: Column) -> Column:
+    """Sums of every element and those before it, in rounds that each add the sum of twice as many: n log n steps."""
+    def widened(sums: Column, level: Column) -> Column:
+        return F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), level)), F.lit(0)))
+
+    return F.aggregate(F.sequence(F.lit(0), F.length(F.bin(F.size(sizes)))), sizes, widened)
+
+
 def candidates(text: Column) -> Column:
     """Array of (token_no, start, value, before, after): candidates, their places and the words around them."""
 
@@ -93,10 +114,10 @@ def candidates(text: Column) -> Column:
     def words(part: Column) -> Column:
         return F.filter(F.split(F.lower(part), SEPARATOR, -1), lambda w: w != "")
 
-    def tally(counts: Column, k: Column) -> Column:
-        return F.aggregate(F.slice(counts, 1, k), F.lit(0), lambda a, x: a + x)
+    def tally(sums: Column, k: Column) -> Column:
+        return F.coalesce(F.get(sums, k - 1), F.lit(0))
 
-    def of(found: Column) -> Column:
+    def of(found: Column, blocks: Column) -> Column:
         lengths = F.transform(found, lambda f: F.length(f["ahead"]) + F.length(f["raw"]))
         separators = F.transform(found, lambda f: F.size(F.regexp_extract_all(F.concat(f["ahead"], f["raw"]), F.lit(SEPARATOR), F.lit(0))))
 
@@ -111,16 +132,17 @@ def candidates(text: Column) -> Column:
 
             def beside(c: Column) -> Column:
                 first = F.greatest(c["start"] - BESIDE, F.lit(0))
-                before = F.reverse(F.slice(F.reverse(words(F.substring(text, first + 1, c["start"] - first))), 1, NEIGHBOURS))
-                after = F.slice(words(F.substring(text, c["start"] + F.length(c["value"]) + 1, F.lit(BESIDE))), 1, 2)
+                before = F.reverse(F.slice(F.reverse(words(part_of(blocks, first, c["start"] - first))), 1, NEIGHBOURS))
+                after = F.slice(words(part_of(blocks, c["start"] + F.length(c["value"]), F.lit(BESIDE))), 1, 2)
                 return F.struct(c["token_no"], c["start"], c["value"], F.array_join(before, " ").alias("before"), F.array_join(after, " ").alias("after"))
 
             return F.transform(F.filter(F.transform(found, one), lambda c: c["fits"]), beside)
 
-        return let(F.struct(lengths.alias("lengths"), separators.alias("separators")), numbered)
+        return let(F.struct(running_sums(lengths).alias("lengths"), running_sums(separators).alias("separators")), numbered)
 
     marked = F.regexp_replace(F.translate(text, MARKS, "\ufffd\ufffd"), FOUND, MARKED)
-    return let(let(F.split(marked, MARKS[0], -1), pieces_of), of)
+    pieces = let(F.split(marked, MARKS[0], -1), pieces_of)
+    return let(F.struct(pieces.alias("found"), blocks_of(text).alias("blocks")), lambda parts: of(parts["found"], parts["blocks"]))
 
 
 def with_features(findings: DataFrame) -> DataFrame:
@@ -138,8 +160,10 @@ def with_features(findings: DataFrame) -> DataFrame:
     def changes(pattern: str, of: Column = value) -> Column:
         return F.size(F.regexp_extract_all(of, F.lit(pattern), 0)) / length
 
-    near = F.concat_ws(" ", "before", "after")
-    last = F.substring_index(F.col("before"), " ", -2)
+    # words before another value speak for that one
+    before = F.regexp_replace("before", r"^.*(?<!\S)(?=\S{16,})\S*[0-9]\S*( |$)", "")
+    near = F.concat_ws(" ", before, "after")
+    last = F.substring_index(before, " ", -2)
     flag = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
     word = lambda words: rf"(^|[^a-z])({_any(words)})([^a-z]|$)"
     return findings.withColumns({
@@ -155,7 +179,7 @@ def with_features(findings: DataFrame) -> DataFrame:
         "placeholder": flag(lowered.rlike(f"{_any(PLACEHOLDERS)}") | value.rlike(r"(.)\1{5,}")),
         "has_at": flag(value.contains("@")), "slashes": 1 - left("/") / length, "dots": 1 - left("[.]") / length, "dashes": 1 - left("-") / length,
         "known_prefix": flag(value.rlike("^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abprs]-|AIza|SG[.]|npm_|eyJ)")),
-        "secret_near": flag(F.col("before").rlike(word(SECRET_WORDS)) | F.regexp_replace("before", "_", " ").rlike(word(SECRET_WORDS))),
+        "secret_near": flag(before.rlike(word(SECRET_WORDS)) | F.regexp_replace(before, "_", " ").rlike(word(SECRET_WORDS))),
         "secret_next": flag(F.regexp_replace(last, "[_.]", " ").rlike(word(SECRET_WORDS))),
         "plain_near": flag(near.rlike(word(PLAIN_WORDS))), "plain_next": flag(last.rlike(word(PLAIN_WORDS))),
         "test_path": flag(F.lower("path").rlike(word(PATH_WORDS))),
@@ -206,6 +230,8 @@ def labelled_findings(spark: SparkSession, rows: int = 5000, seed: int = 5) -> D
         pick("v1", words), letters("v4", digit, draw("n8", 6) + 1), letters("v5", lower, draw("n9", 12) + 2), cat(pick("v6", words), " ", pick("v7", words)),
         cat(letters("t1", digit, 2), ":", letters("t2", digit, 2)), cat(pick("v8", words), "-", pick("v9", words), "-", pick("v10", words)),
         letters("v11", lower, draw("n10", 10) + 16), cat(letters("v12", digit, 1), ".", letters("v13", digit, 2)), F.initcap(pick("v14", words)),
+        letters("u3", upper, draw("n11", 20) + 8), F.upper(cat(pick("u4", words), pick("u5", words), pick("u6", words))),
+        cat(letters("u7", upper, draw("n12", 20) + 8), letters("u8", ".!?", 1)), F.initcap(letters("u9", lower, draw("n13", 20) + 8)),
         F.substring(digest("c"), 1, 40), F.substring(digest("c2"), 1, 40), F.substring(digest("c3"), 1, 64)]
     secret = draw("label", 2) == 1
     filler = [*words[:60], "the", "of", "and", "is", "to", "la", "de", "und", "der", "que"]
@@ -256,7 +282,7 @@ def scan(docs: DataFrame, model: PipelineModel | None = None, threshold: float =
 def redact(docs: DataFrame, model: PipelineModel | None = None, mark: str = "[secret]", id_col: str = "doc_id",
            text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
     """`docs` with every found secret replaced by `mark` in its text; all rows stay, also without id or text. Names that begin with
-    `_sc_` are taken."""
+    `_sc_` are taken. Long values are looked for in the whole text, once for each distinct one."""
     spark = docs.sparkSession
     path = F.lit("") if path_col is None or path_col not in docs.columns else F.coalesce(F.col(path_col).cast("string"), F.lit(""))
     keyed = docs.withColumns({"_sc_id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_sc_mark": F.xxhash64(F.col(text_col))})
@@ -264,13 +290,13 @@ def redact(docs: DataFrame, model: PipelineModel | None = None, mark: str = "[se
         "_sc_id", "_sc_mark", path.alias("path"), F.explode(candidates(F.col(text_col))).alias("c")).select("_sc_id", "_sc_mark", "path", "c.*")
     scored = (model or train(spark)).transform(with_features(found)).where(vector_to_array("probability")[1] >= threshold)
     spans = scored.groupBy("_sc_id", "_sc_mark").agg(F.array_sort(F.collect_set(F.struct("start", "value"))).alias("_sc_spans"))  # of one document
-    text, own = F.col(text_col), F.col("_sc_spans")
+    text, own, blocks = F.col(text_col), F.col("_sc_spans"), F.col("_sc_blocks")
     end = lambda s: s["start"] + F.length(s["value"])
     between = F.transform(own, lambda s, k: let(F.when(k == 0, 0).otherwise(end(F.get(own, k - 1))), lambda last: F.concat(
-        F.substring(text, last + 1, s["start"] - last), F.lit(mark))))
-    hidden = F.concat(F.array_join(between, ""), F.substring(text, end(F.element_at(own, -1)) + 1, F.length(text)))
+        part_of(blocks, last, s["start"] - last), F.lit(mark))))
+    hidden = F.concat(F.array_join(between, ""), part_of(blocks, end(F.element_at(own, -1)), F.length(text) - end(F.element_at(own, -1))))
     unique = F.array_distinct(F.filter(F.transform(own, lambda s: s["value"]), lambda v: F.length(v) >= UNIQUE_LEAST))
     longest = F.array_sort(unique, lambda a, b: F.length(b) - F.length(a))
     cleaned = F.aggregate(longest, hidden, lambda t, v: F.replace(t, v, F.lit(mark)))
-    return (keyed.join(spans, ["_sc_id", "_sc_mark"], "left")
+    return (keyed.join(spans, ["_sc_id", "_sc_mark"], "left").withColumn("_sc_blocks", F.when(own.isNotNull(), blocks_of(text)))
             .withColumn(text_col, F.when(own.isNull(), text).otherwise(cleaned)).select(docs.columns))

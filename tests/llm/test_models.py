@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tenura.llm import neighbours, toxicity
+from tenura.llm import neighbours, secret_scan, toxicity
 from tenura.llm.common import vocabulary
 from tenura.llm.merge_dropout import Encoder, decode, encode
 from tenura.llm.page_text import extract, page_text
@@ -159,6 +159,67 @@ def test_short_secrets_and_places(spark, forest):
     assert after[52] == 'pin is here. password = "[secret]" hunter' and after[51] == texts[51]
 
 
+def found_by_hand(text):
+    """(start, value, before, after) of the candidates: at every place the first context that fits."""
+    contexts = [(re.compile(context, re.ASCII), re.compile(value, re.ASCII)) for context, value in secret_scan.CONTEXTS]
+    split = lambda part: [w for w in re.split(secret_scan.SEPARATOR, part.lower()) if w]
+    out, place = [], 0
+    while place < len(text):
+        for number, (context, value) in enumerate(contexts):
+            opened = context.match(text, place)
+            whole = opened and value.match(text, opened.end())
+            if whole:
+                token, raw, start = number == len(contexts) - 1, whole[0], whole.start()
+                cut = re.sub(r"^[.@/+\-]+", "", raw) if token else raw
+                shown = re.sub(secret_scan.EDGES, "", raw) if token else re.sub(secret_scan.TRAILING, "", raw)
+                start += len(raw) - len(cut)
+                if shown and (not token or len(shown) >= secret_scan.CANDIDATE_LEAST):
+                    before, after = text[max(start - secret_scan.BESIDE, 0):start], text[start + len(shown):][:secret_scan.BESIDE]
+                    out.append((start, shown, " ".join(split(before)[-secret_scan.NEIGHBOURS:]), " ".join(split(after)[:2])))
+                place = whole.end()
+                break
+        else:
+            place += 1
+    return out
+
+
+def test_candidates_by_hand(spark):
+    rng = random.Random(3)
+    parts = ["token = ", 'key: "', "'", '"', "password is ", "://me:", "@host ", "?a=", "&b=", "x" * 17, "A1b2" * 5, "ende", "日本", "😀", "\n", " ", ".", "a.b@c.de", "-/",
+             "=", ":", "hello world ", "pass phrase: one two\n", "0123456789abcdef0", "!!", "k=v "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice((3, 10, 40, 400)))) for _ in range(150)]
+    texts += ["", "x" * 3000, "a = b " * 700] + [t or "" for _, t in odd_documents()]
+    texts += [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("text is not null").collect()]
+    texts = sorted(set(texts))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {n: [] for n in range(len(texts))}
+    for r in rows.select("doc_id", F.explode(secret_scan.candidates(F.col("text"))).alias("c")).select("doc_id", "c.*").collect():
+        got[r["doc_id"]].append((r["start"], r["value"], r["before"], r["after"]))
+    for n, text in enumerate(texts):
+        assert got[n] == found_by_hand(text), text[:200]
+
+
+def test_planted_findings(spark, forest):
+    """Every digest after `token = ` in the corpus is found, and nothing else is called secret."""
+    for docs in (spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/documents.parquet")):
+        planted = {(r["doc_id"], v) for r in docs.where("text is not null").select("doc_id", "text").collect()
+                   for v in re.findall(r'token = "([0-9a-f]{40})"', r["text"])}
+        found = {(r["doc_id"], r["value"]) for r in scan(docs, forest).where("is_secret").collect()}
+        assert planted and planted <= found
+        assert len(found - planted) <= 0.02 * len(found), sorted(v for _, v in found - planted)
+
+
+def test_many_candidates_in_one_text(spark, forest):
+    """100,000 assignments in one text: what comes before a candidate is not counted again for each."""
+    lines = spark.range(1).select(F.lit(1).cast("long").alias("doc_id"), F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(100_000)), lambda i: F.concat(F.lit("name = v"), i.cast("string"))), "\n").alias("text"))
+    began = time.monotonic()
+    rows = lines.select(F.explode(secret_scan.candidates(F.col("text"))).alias("c")).select("c.*").agg(
+        F.count(F.lit(1)).alias("n"), F.max("start").alias("last")).first()
+    assert rows["n"] == 100_000 and rows["last"] == sum(len(f"name = v{i}\n") for i in range(1, 100_000)) + len("name = ")
+    assert time.monotonic() - began < 60
+
+
 # merge dropout
 
 ODD_TEXTS = ["  a  b\n c\t d ", "", " ", "\n\n x", " é ﬁ Ⅳ 日本語", "\x00\x01 z", "x" * 300, "a" * 60 + " " + "the" * 40]
