@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tenura.llm import near_join as near
 from tenura.llm.common import vocabulary
 from tenura.llm.exact_dedup import directory, exact_dedup
-from tenura.llm.line_chunks import chunks_of, let, line_dedup, lines_of, passage_dedup
+from tenura.llm.line_chunks import chunks_of, let, line_dedup, lines_of, not_covered, passage_dedup
 from tenura.llm.packing import best_fit, bin_completion, lower_bound, pack, sequences
 from tenura.llm.token_files import Shard, digest, read_tokens, to_payload, write_tokens
 from tenura.llm.word_ids import WordEncoder
@@ -241,11 +241,20 @@ def passage_rows():
     return rows + [(2100, "\n".join(["again"] * 5)), (2101, "again\nonly one shared line\nagain")]
 
 
-@pytest.mark.parametrize("hot", [2, 256])
-def test_passages_of_any_place_go(spark, hot):
-    rows = passage_rows() + odd_documents()
+def long_copies():
+    """Texts of many lines: copies with lines put in, parts of others, and a text whose second half is its first."""
+    lines = [" ".join(words(9100 + k, 6)) for k in range(60)]
+    put_in = [x for k, line in enumerate(lines) for x in ([line, f"own line {k}"] if k % 17 == 5 else [line])]
+    spaced = [x for k, line in enumerate(lines) for x in ([line, "", " "] if k % 5 == 0 else [line])]
+    shared = ["own start", *lines[10:40], "own middle", *lines[45:60], *lines[:3]]
+    return [(3000 + k, "\n".join(x)) for k, x in enumerate([lines, put_in, spaced, shared, lines[:30] + lines[:30], ["a", "b"] * 12])]
+
+
+@pytest.mark.parametrize("hot, one_in", [(2, 4), (256, 4), (256, 1), (256, 2), (256, 10 ** 9)])
+def test_passages_of_any_place_go(spark, hot, one_in):
+    rows = passage_rows() + odd_documents() + long_copies()
     expected = passages_by_hand(rows)
-    got = [(r["doc_id"], r["text"], r["removed_lines"]) for r in passage_dedup(frame(spark, rows), hot_least=hot).collect()]
+    got = [(r["doc_id"], r["text"], r["removed_lines"]) for r in passage_dedup(frame(spark, rows), hot_least=hot, one_in=one_in).collect()]
     assert sorted(got, key=repr) == sorted(((i, *(expected[(-2 ** 63 if i is None else i, t)] if t is not None else (None, 0))) for i, t in rows), key=repr)
     lines = {i: n for i, _, n in got}
     assert [lines[1000 + 10 * size + copy] for size in range(2, 6) for copy in range(3)] == [n for size in range(2, 6) for n in (0, size, size)]
@@ -320,3 +329,14 @@ def test_components_of_paths(spark):
 @pytest.mark.parametrize("operator", [exact_dedup, near.near_join, line_dedup, lambda d: pack(d)[1], lambda d: digest(read_tokens(write_tokens(d)))])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).collect() == []
+
+
+def test_pairs_inside_a_repeated_chunk_are_not_looked_at(spark):
+    def flag(start, lines, filled, first=False):
+        return (start, lines, filled, 100 * start + filled, 1, first)
+
+    flags = [flag(0, 2, 2), flag(1, 4, 4), flag(1, 2, 2), flag(1, 1, 1), flag(2, 2, 2, True), flag(3, 2, 2), flag(4, 2, 2), flag(4, 1, 1),
+             flag(7, 3, 3, True), flag(7, 2, 2), flag(8, 2, 2)]
+    rows = spark.createDataFrame([(flags,)], "f array<struct<start int, lines int, filled int, hash long, salts int, first boolean>>")
+    left = rows.select(not_covered(F.col("f")).alias("f")).first()["f"]
+    assert [(f["start"], f["filled"]) for f in left] == [(0, 2), (1, 4), (2, 2), (4, 1), (4, 2), (7, 2), (7, 3), (8, 2)]
