@@ -801,7 +801,25 @@ DATASETS = {
 }
 
 
+#: Queries that also run with the cohort found first: name there -> name here. Rows and SQL are the same.
+COHORT_FIRST = {
+    "pageviews_cohort_first": "pageviews_window",
+    "active_users_cohort_first": "active_users_divisions",
+    "established_cohort_first": "established_dataset",
+    "wholesale_cohort_first": "wholesale_dataset",
+}
+
+
+def _cohort_first(query: Query) -> Query:
+    return replace(query, run=lambda t: query.run(t.with_cohort_first()))
+
+
 def all_queries(sf_dir: str = "") -> dict[str, Query]:
+    usual = _usual_queries(sf_dir)
+    return usual | {name: _cohort_first(usual[other]) for name, other in COHORT_FIRST.items()}
+
+
+def _usual_queries(sf_dir: str) -> dict[str, Query]:
     return {
         **_activity_queries(),
         **_contract_queries(),

@@ -6,12 +6,16 @@ facts are scanned once whatever the number of features.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.functions import guarded_log, in_list, not_negative, not_negative_sql, null_safe_sum_sql
-from tenura.operators.contracts import cohort
+from tenura.operators.contracts import CONTRACT_KEY, cohort
 from tenura.operators.grid import ACCOUNT, REF, DistinctDays, Refs, in_look_back, look_back_windows
+from tenura.operators.sideways import among, small_keys
+from tenura.sources.sinks import cut_lineage
 from tenura.sources.tables import Tables
 
 # fixed values: activity codes
@@ -37,14 +41,14 @@ ACCOUNTANCY_SUMS = ("continuous_monitoring", "scanning", "process_management")
 MANUFACTURING_SUMS = ("manufacturing_basic", "manufacturing_advanced")
 
 
-def _facts(tables: Tables, refs: Refs, window: int, countries: str | None, ids=None) -> DataFrame:
-    """Activity rows of the look-back windows, tagged with their reference date."""
+def _facts(tables: Tables, refs: Refs, window: int, countries: str | None, ids=None, keys: DataFrame | None = None) -> DataFrame:
+    """Activity rows of the look-back windows, tagged with their reference date; of the accounts among `keys` only."""
     rows = tables.get("activity_daily", windows=look_back_windows(refs, window))
     if countries is not None:
         rows = rows.where(in_list("environment", countries))
     if ids is not None:
         rows = rows.where(f"activity_id IN ({', '.join(map(str, ids))})")
-    return in_look_back(rows, refs, window)
+    return in_look_back(among(rows, keys), refs, window)
 
 
 def _sum_of(measure: str) -> Column:
@@ -58,12 +62,13 @@ def _logins() -> Column:
 
 def activity_measures(tables: Tables, refs: Refs, window: int, countries: str | None,
                       sums: tuple[str, ...] = (), logins: bool = False, actives: bool = False,
-                      every_activity: bool = False) -> DataFrame:
+                      every_activity: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """Requested measures per account. `every_activity` keeps accounts whose only
-    activity is of other kinds (their sums are NULL)."""
+    activity is of other kinds (their sums are NULL). Facts of accounts that are
+    not among `keys` may be left out."""
     ids = {i for measure in sums for i in SUMS[measure]} | ({LOGIN} if logins else set()) \
         | ({PAGE_VIEW} if actives else set())
-    facts = _facts(tables, refs, window, countries, None if every_activity else sorted(ids))
+    facts = _facts(tables, refs, window, countries, None if every_activity else sorted(ids), keys)
     aggregates = [_sum_of(m) for m in sums] + ([_logins()] if logins else [])
     if not actives:
         return facts.groupBy(*ACCOUNT).agg(*aggregates)
@@ -78,54 +83,60 @@ def activity_measures(tables: Tables, refs: Refs, window: int, countries: str |
         *again)
 
 
-def _of_cohort(measures: DataFrame, tables: Tables, refs: Refs, countries: str, product: str) -> DataFrame:
+def _of_cohort(measures: Callable[[DataFrame | None], DataFrame], tables: Tables, refs: Refs, countries: str, product: str) -> DataFrame:
+    """Measures of the product's accounts. Where the tables allow the keys some bytes, the cohort is found first and
+    keeps the facts of other accounts out of the aggregate."""
     accounts = cohort(tables, refs, countries, product).select(*ACCOUNT)
-    return measures.join(accounts, ACCOUNT)
+    keys = None
+    if tables.cohort_bytes:
+        accounts = cut_lineage(accounts, "cohort")
+        keys = small_keys(accounts, CONTRACT_KEY, tables.cohort_bytes)
+    return measures(keys).join(accounts, ACCOUNT)
+
+
+def _measured(tables: Tables, refs: Refs, window: int, countries: str, product: str, sums: tuple[str, ...] = (), **wanted) -> DataFrame:
+    """activity_measures of the product's accounts."""
+    return _of_cohort(lambda keys: activity_measures(tables, refs, window, countries, sums, keys=keys, **wanted),
+                      tables, refs, countries, product)
 
 
 def pageviews(tables: Tables, refs: Refs, window: int, countries: str, product: str) -> DataFrame:
-    measures = activity_measures(tables, refs, window, countries, ("pageviews",))
-    return _of_cohort(measures, tables, refs, countries, product)
+    return _measured(tables, refs, window, countries, product, ("pageviews",))
 
 
 def active_days(tables: Tables, refs: Refs, window: int, countries: str, product: str) -> DataFrame:
     """Number of login records per account."""
-    measures = activity_measures(tables, refs, window, countries, logins=True)
-    return _of_cohort(measures, tables, refs, countries, product)
+    return _measured(tables, refs, window, countries, product, logins=True)
 
 
 def mobile_use(tables: Tables, refs: Refs, window: int, countries: str, product: str) -> DataFrame:
-    measures = activity_measures(tables, refs, window, countries, ("use_mobile",))
-    return _of_cohort(measures, tables, refs, countries, product)
+    return _measured(tables, refs, window, countries, product, ("use_mobile",))
 
 
 def accountancy_activity(tables: Tables, refs: Refs, window: int, countries: str,
                          product: str = "Accountancy") -> DataFrame:
-    measures = activity_measures(tables, refs, window, countries, ACCOUNTANCY_SUMS, every_activity=True)
-    return _of_cohort(measures, tables, refs, countries, product)
+    return _measured(tables, refs, window, countries, product, ACCOUNTANCY_SUMS, every_activity=True)
 
 
 def manufacturing_activity(tables: Tables, refs: Refs, window: int, countries: str,
                            product: str = "Manufacturing") -> DataFrame:
-    measures = activity_measures(tables, refs, window, countries, MANUFACTURING_SUMS, every_activity=True)
-    return _of_cohort(measures, tables, refs, countries, product)
+    return _measured(tables, refs, window, countries, product, MANUFACTURING_SUMS, every_activity=True)
 
 
 def active_users_divisions(tables: Tables, refs: Refs, window: int, countries: str, product: str) -> DataFrame:
-    measures = activity_measures(tables, refs, window, countries, actives=True)
-    return _of_cohort(measures, tables, refs, countries, product)
+    return _measured(tables, refs, window, countries, product, actives=True)
 
 
-def user_roles(tables: Tables, refs: Refs, window: int, countries: str) -> DataFrame:
+def user_roles(tables: Tables, refs: Refs, window: int, countries: str, keys: DataFrame | None = None) -> DataFrame:
     """Page views, and the days on which an account's own users (entrepreneur) and
     users of an accountant account (accountant) viewed pages in it.
 
     Facts are reduced to one row per account and user before the users are looked
     up, so the joins carry no fact rows. Users of unknown accounts count for the
-    page views only.
+    page views only. Facts of accounts that are not among `keys` may be left out.
     """
     own, other, days = (DistinctDays(name, window) for name in ("own", "other", "days"))
-    by_user = (_facts(tables, refs, window, countries, [PAGE_VIEW])
+    by_user = (_facts(tables, refs, window, countries, [PAGE_VIEW], keys)
                .groupBy(*ACCOUNT, "account_id", "user_id")
                .agg(F.sum("quantity").alias("_views"), *days.of_rows()))
     homes = (tables.get("accounts").where("account_id IS NOT NULL").groupBy("account_id")

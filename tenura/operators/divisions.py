@@ -17,6 +17,7 @@ from tenura.operators.grid import (
     ACCOUNT, REF, LatestInt, Refs, as_of_latest, as_of_parts, day, in_look_back, look_back_windows,
     rows_of_days, unfold,
 )
+from tenura.operators.sideways import among, small_keys
 from tenura.sources.tables import Tables
 
 BLOCKED_FROM = 100  # fixed value: blocking status of a closed division
@@ -56,9 +57,9 @@ LOGGED_FINANCIAL = ("gl_transactions", "purchase_entry_count", "bank_entry_count
                     "num_activated_divisions")
 
 
-def _states(tables: Tables, refs: Refs, countries: str) -> DataFrame:
+def _states(tables: Tables, refs: Refs, countries: str, keys: DataFrame | None = None) -> DataFrame:
     """Per division: packed state of the newest snapshot on or before each reference date."""
-    rows = tables.newest("division_statistics_daily", refs).where(in_list("environment", countries))
+    rows = among(tables.newest("division_statistics_daily", refs).where(in_list("environment", countries)), keys)
     aggregates = [part for name, value in SNAPSHOT_STATE.items()
                   for part in as_of_parts(refs, name, LatestInt.pack(value))]
     return as_of_latest(rows.groupBy(*DIVISION).agg(*aggregates), refs, *SNAPSHOT_STATE)
@@ -71,7 +72,7 @@ def compact_snapshots(rows: DataFrame) -> DataFrame:
     return newest.selectExpr(*DIVISION, f"{LatestInt.day(columns[0])} AS date", *[f"{LatestInt.unpack(c)} AS {c}" for c in columns])
 
 
-def _growth(tables: Tables, refs: Refs, window: int, countries: str) -> DataFrame:
+def _growth(tables: Tables, refs: Refs, window: int, countries: str, keys: DataFrame | None = None) -> DataFrame:
     """Per division: last minus first snapshot inside each window, as one struct.
 
     An aggregate of its own: it only reads the windows, where the state needs the
@@ -79,7 +80,7 @@ def _growth(tables: Tables, refs: Refs, window: int, countries: str) -> DataFram
     snapshots of those two days are compared, by their values."""
     rows = (tables.get("division_statistics_daily", windows=look_back_windows(refs, window))
             .where(in_list("environment", countries)))
-    tagged = in_look_back(rows, refs, window)
+    tagged = in_look_back(among(rows, keys), refs, window)
     ends = tagged.groupBy(REF, *DIVISION).agg(F.min("date").alias("_first_day"), F.max("date").alias("_last_day"))
     values = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in GROWTH]
     near = rows_of_days(tagged.select(REF, *DIVISION, "date", *values), ends, [REF, *DIVISION], ["_first_day", "_last_day"])
@@ -92,11 +93,12 @@ def _growth(tables: Tables, refs: Refs, window: int, countries: str) -> DataFram
             .select(REF, *DIVISION, F.struct(*GROWTH).alias("growth")))
 
 
-def _changes(tables: Tables, refs: Refs, window: int, countries: str, counters: Sequence[str]) -> DataFrame:
+def _changes(tables: Tables, refs: Refs, window: int, countries: str, counters: Sequence[str],
+             keys: DataFrame | None = None) -> DataFrame:
     """Sum of each counter per division and look-back window."""
     rows = (tables.get("division_statistics_daily_changes", windows=look_back_windows(refs, window))
             .where(in_list("environment", countries)))
-    return (in_look_back(rows, refs, window).groupBy(REF, *DIVISION)
+    return (in_look_back(among(rows, keys), refs, window).groupBy(REF, *DIVISION)
             .agg(F.expr("count(1) AS _change_rows"), *[F.expr(f"sum({c}) AS _sum_{c}") for c in counters]))
 
 
@@ -108,22 +110,26 @@ def _open_divisions(tables: Tables, countries: str, refs: Refs) -> DataFrame:
 
 
 def division_measures(tables: Tables, refs: Refs, window: int, countries: str, financial: bool = False,
-                      growth: bool = False, projects: bool = False) -> DataFrame:
+                      growth: bool = False, projects: bool = False, ids: DataFrame | None = None) -> DataFrame:
     """Measures per (reference date, account id).
 
     A measure is NULL for an account without a division that qualifies for it:
     a division deleted on the reference date still counts for the financial
     measures and no longer for growth and projects; financial measures need a
     snapshot and a summary row, growth a snapshot in the window, projects a change.
+
+    Given account ids, the open divisions of those are found first, and their keys
+    keep the facts of others out of the aggregates.
     """
-    divisions = _open_divisions(tables, countries, refs)
+    divisions = among(_open_divisions(tables, countries, refs), ids)
+    keys = small_keys(divisions, DIVISION, tables.cohort_bytes) if ids is not None else None
     counters = list(dict.fromkeys([*(FINANCIAL.values() if financial else ()),
                                    *(PROJECTS.values() if projects else ())]))
     if financial:
         summary = (tables.get("division_statistics_summary")
                    .selectExpr(*DIVISION, "sales_invoice_first_date", "true AS _has_summary"))
         divisions = divisions.join(summary, DIVISION, "left")
-        divisions = divisions.join(_states(tables, refs, countries), DIVISION, "left")
+        divisions = divisions.join(_states(tables, refs, countries, keys), DIVISION, "left")
         rows = unfold(divisions, refs, *SNAPSHOT_STATE)
         if not (growth or projects):
             rows = rows.where("big3_bank_account IS NOT NULL")
@@ -131,10 +137,10 @@ def division_measures(tables: Tables, refs: Refs, window: int, countries: str, f
         rows = unfold(divisions, refs)
     rows = rows.where(f"deleted IS NULL OR deleted >= {REF}")
     if counters:
-        changes = _changes(tables, refs, window, countries, counters)
+        changes = _changes(tables, refs, window, countries, counters, keys)
         rows = rows.join(changes, [REF, *DIVISION], "left" if financial or growth else "inner")
     if growth:
-        rows = rows.join(_growth(tables, refs, window, countries), [REF, *DIVISION],
+        rows = rows.join(_growth(tables, refs, window, countries, keys), [REF, *DIVISION],
                          "left" if financial or projects else "inner")
 
     still_open = f"(deleted IS NULL OR deleted > {REF})"

@@ -19,7 +19,9 @@ from tenura.functions import (
 )
 from tenura.operators import activity, contracts, divisions
 from tenura.operators.grid import ACCOUNT, REF, Refs
+from tenura.operators.sideways import small_keys
 from tenura.plans.specs import KEYS, ProductSpec
+from tenura.sources.sinks import cut_lineage
 from tenura.sources.tables import Tables
 
 
@@ -69,10 +71,11 @@ def base_accounts(tables: Tables, refs: Refs, spec: ProductSpec) -> DataFrame:
     return base
 
 
-def with_activity(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec, recipe: Recipe) -> DataFrame:
+def with_activity(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec, recipe: Recipe,
+                  keys: DataFrame | None = None) -> DataFrame:
     window, countries = spec.window_activities, spec.countries
     if recipe.roles:
-        roles = activity.user_roles(tables, refs, window, countries).drop("_known")
+        roles = activity.user_roles(tables, refs, window, countries, keys).drop("_known")
         df = df.join(roles, ACCOUNT, "left").withColumns({
             "accountant_days_active": F.expr("coalesce(accountant_days_active, 0)"),
             "accountant": activity.accountant_status(),
@@ -81,7 +84,7 @@ def with_activity(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec,
         })
     if recipe.sums or recipe.logins or recipe.actives:
         measures = activity.activity_measures(tables, refs, window, countries, recipe.sums,
-                                              recipe.logins, recipe.actives)
+                                              recipe.logins, recipe.actives, keys=keys)
         df = df.join(measures, ACCOUNT, "left")
     if recipe.logins:
         days = "coalesce(active_days, 0)"
@@ -102,10 +105,11 @@ def with_activity(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec,
     return df
 
 
-def with_divisions(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec, recipe: Recipe) -> DataFrame:
+def with_divisions(df: DataFrame, tables: Tables, refs: Refs, spec: ProductSpec, recipe: Recipe,
+                   ids: DataFrame | None = None) -> DataFrame:
     measures = divisions.division_measures(
         tables, refs, spec.window_activities, spec.countries, financial=True,
-        growth=recipe.growth, projects=recipe.projects)
+        growth=recipe.growth, projects=recipe.projects, ids=ids)
     names = {**{f"fin_{c}": c for c in divisions.FINANCIAL},
              **({f"growth_{c}": c for c in divisions.GROWTH} if recipe.growth else {}),
              **({f"project_{c}": c for c in divisions.PROJECTS} if recipe.projects else {})}
@@ -125,8 +129,13 @@ def features(tables: Tables, refs: Refs, spec: ProductSpec, label: bool = True)
     """Every feature of the product, one row per account and reference date."""
     recipe = RECIPES[spec.name]
     df = base_accounts(tables, refs, spec)
-    df = with_divisions(df, tables, refs, spec, recipe)
-    df = with_activity(df, tables, refs, spec, recipe)
+    keys = ids = None
+    if tables.cohort_bytes:  # the base is found first; facts of other accounts stay out of every aggregate
+        df = cut_lineage(df, "base")
+        keys = small_keys(df, contracts.CONTRACT_KEY, tables.cohort_bytes)
+        ids = small_keys(df, ["account_id"], tables.cohort_bytes)
+    df = with_divisions(df, tables, refs, spec, recipe, ids)
+    df = with_activity(df, tables, refs, spec, recipe, keys)
     if recipe.setup:
         setup = contracts.best_setup(tables, spec.countries)
         df = df.join(setup, "account_id", "left").withColumn(

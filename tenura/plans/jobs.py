@@ -23,7 +23,7 @@ from tenura.plans.dates import evaluation_date, refine_dates, training_dates
 from tenura.plans.specs import KEYS, ProductSpec, get_spec, load_spec
 from tenura.sources.sinks import ModelStore, append_jdbc, append_rows, publish_table, statistics_row, write_by_reference_date
 from tenura.sources.state import StateStore
-from tenura.sources.tables import Tables, read_downgrade_score_csv, read_health_score_csv
+from tenura.sources.tables import COHORT_BYTES, Tables, read_downgrade_score_csv, read_health_score_csv
 
 MODES = ("train", "predict", "evaluate", "validate", "all")
 
@@ -198,6 +198,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--config", help="JSON file instead of the built-in specification")
     parser.add_argument("--score-csv", help="published scores in CSV instead of the lake's table")
     parser.add_argument("--state", help="root folder of as-of states that runs carry on, instead of reading whole histories")
+    parser.add_argument("--cohort-mb", type=int, default=COHORT_BYTES >> 20,
+                        help="largest size of a cohort's keys that are found first and keep other facts out; 0: never")
     parser.add_argument("--by-day", nargs="*", default=[], help="tables of the lake that lie in folders year=/month=/day= of their date")
     parser.add_argument("--clean", action="store_true", help="the lake's tables were written with normalised keys")
     for kind in ("csv", "table", "jdbc"):
@@ -216,7 +218,7 @@ def main(argv: list[str] | None = None) -> None:
     if options.shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", options.shuffle_partitions)
     spark = builder.getOrCreate()
-    tables = Tables.from_parquet(spark, options.lake, clean=options.clean, by_day=options.by_day)
+    tables = Tables.from_parquet(spark, options.lake, clean=options.clean, by_day=options.by_day).with_cohort_first(options.cohort_mb << 20)
     if options.score_csv:
         read = read_health_score_csv if spec.category == "churn" else read_downgrade_score_csv
         tables = tables.with_table(monitoring.SCORE_TABLES[spec.category][0], read(spark, options.score_csv))

@@ -100,6 +100,9 @@ DATE_COLUMNS = {
     "division_statistics_daily_changes": "date",
 }
 
+#: Keys of a cohort that may be sent to every executor.
+COHORT_BYTES = 64 * 2 ** 20
+
 # SQL predicates on the stored columns for [since, until], both ends included.
 Bounds = Callable[[dt.date | None, dt.date | None], list[str]]
 
@@ -207,15 +210,18 @@ def _either(ranges: list[list[str]]) -> str:
 
 
 class Tables:
-    """The domain tables of one data set."""
+    """The domain tables of one data set.
+
+    `cohort_bytes`: how large the keys of a cohort may be that are found first and sent to the fact scans; 0 sends none."""
 
-    def __init__(self, spark: SparkSession, stored: Mapping[str, Stored], state=None):
+    def __init__(self, spark: SparkSession, stored: Mapping[str, Stored], state=None, cohort_bytes: int = 0):
         unknown = set(stored) - set(SCHEMAS)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         self.spark = spark
         self._stored = dict(stored)
         self.state = state
+        self.cohort_bytes = cohort_bytes
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Tables:
@@ -245,15 +251,19 @@ class Tables:
         return cls(spark, {name: reader(name) for name in SCHEMAS})
 
     def with_table(self, name: str, df: DataFrame) -> Tables:
-        return Tables(self.spark, {**self._stored, name: Stored(lambda: df)}, self.state)
+        return Tables(self.spark, {**self._stored, name: Stored(lambda: df)}, self.state, self.cohort_bytes)
 
     def with_stored(self, name: str, other: Tables) -> Tables:
         """The same tables, with one as another set stores it."""
-        return Tables(self.spark, {**self._stored, name: other._stored[name]}, self.state)
+        return Tables(self.spark, {**self._stored, name: other._stored[name]}, self.state, self.cohort_bytes)
 
     def with_state(self, store) -> Tables:
         """The same tables, whose newest rows come from a tenura.sources.state.StateStore."""
-        return Tables(self.spark, self._stored, store)
+        return Tables(self.spark, self._stored, store, self.cohort_bytes)
+
+    def with_cohort_first(self, most_bytes: int = COHORT_BYTES) -> Tables:
+        """The same tables, whose facts are read for the accounts of a cohort only, as long as its keys take at most so many bytes."""
+        return Tables(self.spark, self._stored, self.state, most_bytes)
 
     def newest(self, name: str, refs: Sequence[dt.date]) -> DataFrame:
         """Rows that hold what is newest on each reference date: the whole history up to the last one, or, where a
