@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline
@@ -26,7 +26,7 @@ from tenura.plans.certificate import fold_areas, logistic_certificate
 from tenura.plans.dataset import base_accounts, dataset, features, model_columns
 from tenura.plans.dates import evaluation_date, training_dates
 from tenura.plans.specs import SPECS, ProductSpec
-from tenura.sources.sinks import append_rows, cut_lineage, publish_table, shared_path, statistics_row, write_by_day, write_by_reference_date
+from tenura.sources.sinks import append_rows, cut_lineage, publish_table, shared_path, statistics_row, write_bucketed, write_by_day, write_by_reference_date
 from tenura.sources.state import StateStore
 from tenura.sources.tables import DIRECTORIES, Tables, read_health_score_csv, run_sql
 from tenura.sources.testdata import REFERENCE_DATE, star_schema_tables
@@ -810,13 +810,36 @@ COHORT_FIRST = {
 }
 
 
+#: Queries that also run on tables in buckets by account: name there -> name here. Rows and SQL are the same.
+BUCKETED = {
+    "contract_base_bucketed": "contract_base_tenure",
+    "pageviews_bucketed": "pageviews_window",
+    "established_bucketed": "established_dataset",
+}
+BY_ACCOUNT = ("accounts", "accounts_contract_summary", "activity_daily_contracts", "activity_daily")
+
+
+def in_buckets(t: Tables, buckets: int, names: Sequence[str] = BY_ACCOUNT) -> Tables:
+    """The tables with the named ones written to the catalog in buckets by account."""
+    run = uuid.uuid4().hex
+    catalog = {name: f"bucketed_{name}_{run}" for name in names}
+    for name, table in catalog.items():
+        write_bucketed(t.get(name), table, contracts.CONTRACT_KEY, buckets)
+    return t.with_catalog(catalog, clean=True)
+
+
+def _bucketed(query: Query) -> Query:
+    return replace(query, run=lambda t: query.run(in_buckets(t, int(t.spark.conf.get("spark.sql.shuffle.partitions")))))
+
+
 def _cohort_first(query: Query) -> Query:
     return replace(query, run=lambda t: query.run(t.with_cohort_first()))
 
 
 def all_queries(sf_dir: str = "") -> dict[str, Query]:
     usual = _usual_queries(sf_dir)
-    return usual | {name: _cohort_first(usual[other]) for name, other in COHORT_FIRST.items()}
+    return (usual | {name: _cohort_first(usual[other]) for name, other in COHORT_FIRST.items()}
+            | {name: _bucketed(usual[other]) for name, other in BUCKETED.items()})
 
 
 def _usual_queries(sf_dir: str) -> dict[str, Query]:

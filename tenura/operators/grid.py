@@ -110,10 +110,11 @@ def with_records(ends: DataFrame, facts: DataFrame, keys: Sequence[str], refs: R
 
     A record starts with the date; of several records of one day the largest counts."""
     days = [f"{day_name}_{i}" for i in range(len(refs))]
-    largest = Window.partitionBy(*keys, "date").orderBy(*[F.col(c).desc() for c in fields if c != "date"])
-    # the few rows left are brought together by key alone, so that what follows by key needs no further shuffle
-    newest = (rows_of_days(facts.select(*keys, *fields), ends, keys, days).repartition(*keys)
-              .withColumn("_rank", F.row_number().over(largest)).where("_rank = 1").drop("_rank"))
+    # by key alone, not by day as well: the few rows left come together as the tables around them do (or already lie), so
+    # that what follows by key needs no further shuffle. The largest record of a day is where another day begins.
+    largest = Window.partitionBy(*keys).orderBy(F.col("date").desc(), *[F.col(c).desc() for c in fields if c != "date"])
+    newest = (rows_of_days(facts.select(*keys, *fields), ends, keys, days)
+              .withColumn("_before", F.lag("date").over(largest)).where("NOT (_before <=> date)").drop("_before"))
     if len(days) == 1:
         return newest.withColumn(f"{name}_0", F.struct(*fields)).drop(*days, *fields)
     # one record a reference date

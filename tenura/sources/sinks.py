@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -78,6 +79,12 @@ def write_by_day(df: DataFrame, path: str, date: str = "date") -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path))
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    """Writes a catalog table in buckets by `keys`, one sorted file a bucket; an older table of the name is replaced. Joins
+    and aggregates by these keys (or by more columns) then need no shuffle. One key's rows share a bucket."""
+    (df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
     df.write.jdbc(url, table, mode="append", properties=properties or {})
 

@@ -257,6 +257,15 @@ class Tables:
         """The same tables, with one as another set stores it."""
         return Tables(self.spark, {**self._stored, name: other._stored[name]}, self.state, self.cohort_bytes)
 
+    def with_catalog(self, names: Mapping[str, str], clean: bool = False) -> Tables:
+        """The same tables, some of them read from catalog tables (domain name -> catalog name). `clean` says that these
+        were written with normalised keys; only then do filters on keys reach them and buckets by keys hold."""
+        unknown = set(names) - set(SCHEMAS)
+        if unknown:
+            raise ValueError(f"unknown tables: {sorted(unknown)}")
+        found = {name: Stored(lambda table=table: self.spark.table(table), clean=clean) for name, table in names.items()}
+        return Tables(self.spark, {**self._stored, **found}, self.state, self.cohort_bytes)
+
     def with_state(self, store) -> Tables:
         """The same tables, whose newest rows come from a tenura.sources.state.StateStore."""
         return Tables(self.spark, self._stored, store, self.cohort_bytes)
