@@ -120,6 +120,9 @@ def division_measures(tables: Tables, refs: Refs, window: int, countries: str, f
 
     Given account ids, the open divisions of those are found first, and their keys
     keep the facts of others out of the aggregates.
+
+    Divisions grow with the facts, and a row for each reference date takes many times
+    its stored bytes, by which a broadcast would be chosen: they meet by merge.
     """
     divisions = among(_open_divisions(tables, countries, refs), ids)
     keys = small_keys(divisions, DIVISION, tables.cohort_bytes) if ids is not None else None
@@ -128,8 +131,8 @@ def division_measures(tables: Tables, refs: Refs, window: int, countries: str, f
     if financial:
         summary = (tables.get("division_statistics_summary")
                    .selectExpr(*DIVISION, "sales_invoice_first_date", "true AS _has_summary"))
-        divisions = divisions.join(summary, DIVISION, "left")
-        divisions = divisions.join(_states(tables, refs, countries, keys), DIVISION, "left")
+        divisions = divisions.join(summary.hint("merge"), DIVISION, "left")
+        divisions = divisions.join(_states(tables, refs, countries, keys).hint("merge"), DIVISION, "left")
         rows = unfold(divisions, refs, *SNAPSHOT_STATE)
         if not (growth or projects):
             rows = rows.where("big3_bank_account IS NOT NULL")
@@ -138,10 +141,10 @@ def division_measures(tables: Tables, refs: Refs, window: int, countries: str, f
     rows = rows.where(f"deleted IS NULL OR deleted >= {REF}")
     if counters:
         changes = _changes(tables, refs, window, countries, counters, keys)
-        rows = rows.join(changes, [REF, *DIVISION], "left" if financial or growth else "inner")
+        rows = rows.join(changes.hint("merge"), [REF, *DIVISION], "left" if financial or growth else "inner")
     if growth:
-        rows = rows.join(_growth(tables, refs, window, countries, keys), [REF, *DIVISION],
-                         "left" if financial or projects else "inner")
+        grown = _growth(tables, refs, window, countries, keys)
+        rows = rows.join(grown.hint("merge"), [REF, *DIVISION], "left" if financial or projects else "inner")
 
     still_open = f"(deleted IS NULL OR deleted > {REF})"
     aggregates: list[Column] = []

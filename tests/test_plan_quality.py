@@ -88,3 +88,11 @@ def test_dataset_prunes_counters_it_does_not_use(spark):
     plan = plan_of(spark, "established_dataset")
     assert "project_total" not in plan and "gl_transactions" not in plan
     assert plan.count("FileScan parquet [ts#") == 1  # page views and roles in one pass
+
+
+@pytest.mark.parametrize("name", ["project_sums", "division_growth_first_last", "division_financials"])
+def test_divisions_are_not_broadcast(spark, name):
+    """However small their files are: unfolded, they take many times that room in every task."""
+    # those of a snapshot's own days aside
+    joins = [line for line in plan_of(spark, name).splitlines() if "Join" in line and " division_code#" in line and " _division_code#" not in line]
+    assert any("SortMergeJoin" in line for line in joins) and not any("Broadcast" in line for line in joins)
