@@ -28,6 +28,10 @@ SHORT, NONE = 48, float("inf")
 #: Ways with more skipped candidates are made anew each time: there are too many to be met again.
 KEPT_DROPS = 1
 GOLDEN, LOW = 0x9E3779B97F4A7C15, 0xFFFFFFFFFFFFFFFF
+#: In arrays: a symbol merged into the one before it, no piece, characters that are no piece, an agenda's place without a candidate.
+GONE, NO, OTHER, SHIFT, DONE = -1, -1, 1 << 20, 22, 1 << 40
+#: Words are run together by length, up to these many characters; longer ones than SHORT by themselves.
+WIDTHS = np.array([*range(2, 11), 12, 14, 16, 20, 24, 32, SHORT])
 ENCODED = "doc_id long, text string, ids binary"
 
 
@@ -57,6 +61,76 @@ class Pieces:
         self.pairs = {piece[k:k + 2] for piece in self.ids for k in range(len(piece) - 1)}
 
 
+class Merges:
+    """The merges as arrays. A symbol is the id of a piece, or OTHER and the code of a character that is none."""
+
+    def __init__(self, pieces: Pieces):
+        ids = pieces.ids
+        self.of_char = np.arange(0x110000, dtype=np.int64) + OTHER
+        for piece, n in ids.items():
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = n
+        scores = np.array([pieces.scores.get(piece, NONE) for piece in ids])
+        self.rank = np.full(len(pieces.spelled) + 1, DONE, dtype=np.int64)  # the last one, NO, is of no piece
+        values, order = np.unique(scores, return_inverse=True)
+        self.rank[np.fromiter(ids.values(), np.int64, len(ids))] = order
+        self.ranks = len(values)
+        both = {}
+        for piece, n in ids.items():
+            for k in range(1, len(piece)):
+                left, right = (ids.get(x, OTHER + ord(x) if len(x) == 1 else NO) for x in (piece[:k], piece[k:]))
+                if left != NO and right != NO:
+                    both[left << SHIFT | right] = n
+        self.keys, self.values = np.full(1 << (8 * len(both)).bit_length(), NO, dtype=np.int64), np.full(1 << (8 * len(both)).bit_length(), NO, dtype=np.int32)
+        self.down = np.uint64(64 - (len(self.keys).bit_length() - 1))
+        for key, n in both.items():
+            at = (key * GOLDEN & LOW) >> int(self.down)
+            while self.keys[at] != NO:
+                at = (at + 1) % len(self.keys)
+            self.keys[at], self.values[at] = key, n
+        self.pairs = np.array(sorted(ord(x[0]) << SHIFT | ord(x[1]) for x in pieces.pairs), dtype=np.int64)
+        self.byte_ids = np.array(pieces.byte_ids, dtype=np.int64)
+
+    def made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ids of the pieces that pairs of symbols make, or NO: looked up by hash, the next place where another one is."""
+        keys = left << SHIFT | right
+        at = ((keys.astype(np.uint64) * np.uint64(GOLDEN)) >> self.down).astype(np.int64)
+        there = self.keys[at]
+        found = np.where(there == keys, self.values[at], NO).astype(np.int64)
+        further = np.nonzero((there != keys) & (there != NO))
+        while len(further[0]):
+            at[further] = (at[further] + 1) % len(self.keys)
+            there = self.keys[at[further]]
+            same = there == keys[further]
+            found[tuple(x[same] for x in further)] = self.values[at[further][same]]
+            further = tuple(x[~same & (there != NO)] for x in further)
+        return found
+
+    def neighbours(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether characters stand side by side in some piece."""
+        if not len(self.pairs):
+            return np.zeros(left.shape, dtype=bool)
+        keys = left << SHIFT | right
+        return self.pairs[np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)] == keys
+
+    def spelled(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of rows of symbols one after the other, characters without a piece in bytes, and the number of each row's."""
+        here = symbols != GONE
+        flat, counts = symbols[here], here.sum(axis=1)
+        other = flat >= OTHER
+        if not other.any():
+            return flat, counts
+        codes = np.where(other, flat - OTHER, 0)
+        sizes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+        starts, ids = np.cumsum(sizes) - sizes, np.repeat(flat, sizes)
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])
+        for k in range(4):
+            at = np.flatnonzero(other & (sizes > k))
+            bits = codes[at] >> 6 * (sizes[at] - 1 - k)
+            ids[starts[at] + k] = self.byte_ids[lead[sizes[at]] | bits if k == 0 else 0x80 | bits & 0x3F]
+        return ids, np.bincount(np.repeat(np.arange(len(counts)), counts), weights=sizes, minlength=len(counts)).astype(np.int64)
+
+
 class Way:
     """How a part is cut when the candidates numbered `drops` are skipped and all after them taken: `left` is the number of
     candidates after the last skipped one, `further` the ways with one more skipped, by its place among those."""
@@ -85,6 +159,7 @@ class Encoder:
         self.kept: dict[str, tuple[float, bytes, list[tuple[str, Way]]]] = {}
         self.held = 0
         self.chunks = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+        self.merges = Merges(self.pieces)
         self.mark = np.array([self.pieces.byte_ids[b] for b in SPACE.encode()], dtype="<u4").tobytes()
 
     def taken(self, key: int, n: int) -> float:
@@ -98,11 +173,13 @@ class Encoder:
 
     def first_taken(self, keys: np.ndarray) -> list:
         """`taken` of many keys, draw 0."""
-        if self.never:
-            return [NONE] * len(keys)
+        return [NONE] * len(keys) if self.never else self.taken_of(keys).tolist()
+
+    def taken_of(self, keys: np.ndarray) -> np.ndarray:
+        """`taken` of many keys, to which GOLDEN times the draw is added."""
         x = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return (len(self.bounds) - np.searchsorted(self.bounds_at, (x ^ (x >> np.uint64(31))) >> np.uint64(32), side="right")).tolist()
+        return (len(self.bounds) - np.searchsorted(self.bounds_at, (x ^ (x >> np.uint64(31))) >> np.uint64(32), side="right"))
 
     def drops(self, key: int) -> Iterator[float]:
         """Numbers of the skipped candidates."""
@@ -263,38 +340,168 @@ class Encoder:
             found.append(ids)
         return b"".join(found)
 
+    def _scalar(self, chunk: str, taken: float, key: int) -> bytes:
+        """Ids of one occurrence of a chunk, with what is kept of earlier ones."""
+        if self.held > self.most:
+            self.held = 0
+            self.kept.clear()
+        whole = self.kept.get(chunk)
+        if not whole:
+            if whole is None:  # most chunks are met once
+                self.kept[chunk] = ()
+                self.held += 1
+                return self._once(chunk, taken, key)
+            whole = self._whole(chunk)
+        return whole[1] if taken >= whole[0] else self._skipping(whole[2], taken, key)
+
+    def _matrix(self, chunks: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of chunks of at most `width` characters, filled up with GONE, and the number of each one's part."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        chars = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.int64)
+        inside = np.arange(width) < sizes[:, None]
+        codes = np.zeros(inside.shape, dtype=np.int64)
+        codes[inside] = chars
+        symbols = np.where(inside, self.merges.of_char[codes], GONE)
+        ends = ~self.merges.neighbours(codes[:, :-1], codes[:, 1:])
+        parts = np.zeros(inside.shape, dtype=np.int64)
+        np.cumsum(ends, axis=1, out=parts[:, 1:])
+        return symbols, parts
+
+    def _agendas(self, symbols: np.ndarray, parts: np.ndarray, taken: np.ndarray | None = None, keys: np.ndarray | None = None) -> np.ndarray:
+        """`merged` of many chunks at once, a candidate of each in a step: the symbols left, with GONE between them. Parts come
+        one after the other. The first skipped candidate follows `taken` ones, later ones the draws of `keys`; none without."""
+        merges, (n, width) = self.merges, symbols.shape
+        symbols, made = symbols.ravel().copy(), np.full((n, width), NO, dtype=np.int64)
+        made[:, :-1] = merges.made(symbols.reshape(n, width)[:, :-1], symbols.reshape(n, width)[:, 1:])
+        first = (parts * merges.ranks).ravel()
+        agenda = np.where(made == NO, DONE, parts * merges.ranks + merges.rank[made])
+        made, after, before = made.ravel(), np.tile(np.arange(1, width + 1), n), np.tile(np.arange(-1, width - 1), n)
+        rows, draws = np.arange(n), np.zeros(n, dtype=np.uint64)
+        left = None if taken is None else taken.copy()
+        while len(rows):
+            at = agenda.argmin(axis=1)
+            open_ = agenda[np.arange(len(rows)), at] < DONE
+            if not open_.all():
+                agenda, rows, at = agenda[open_], rows[open_], at[open_]
+            here = np.arange(len(rows))
+            if left is not None:
+                out = left[rows] == 0
+                if out.any():
+                    of, k = rows[out], at[out]
+                    agenda[here[out], k] = DONE
+                    draws[of] += np.uint64(1)
+                    left[of] = self.taken_of(keys[of] + draws[of] * np.uint64(GOLDEN))
+                    here, at = here[~out], at[~out]
+                left[rows[here]] -= 1
+            start = rows[here] * width
+            one = start + at
+            two = start + after[one]
+            symbols[one], symbols[two] = made[one], GONE
+            agenda[here, two - start] = DONE
+            following, previous = after[two], before[one]
+            after[one] = following
+            some = following < width
+            before[(start + following)[some]] = at[some]
+            new = np.full(len(one), NO, dtype=np.int64)
+            new[some] = merges.made(symbols[one[some]], symbols[(start + following)[some]])
+            made[one] = new
+            agenda[here, at] = np.where(new == NO, DONE, first[one] + merges.rank[new])
+            some = previous >= 0
+            one, earlier = one[some], (start + previous)[some]
+            new = merges.made(symbols[earlier], symbols[one])
+            made[earlier] = new
+            agenda[here[some], previous[some]] = np.where(new == NO, DONE, first[earlier] + merges.rank[new])
+        return symbols.reshape(n, width)
+
+    def _blocks(self, chunks: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """(width, places) of the chunks whose agendas are run together."""
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        classes = np.searchsorted(WIDTHS, sizes)
+        for k, width in enumerate(WIDTHS):
+            if len(places := np.flatnonzero((classes == k) & (sizes > 0))):
+                yield width, places
+
     def encode(self, text: str, doc_id: int) -> bytes:
         """Ids as little-endian unsigned 32-bit integers. A mark that stands for a space elsewhere is spelled in bytes."""
-        if not text:
-            return b""
-        segments = (" " + text).split(SPACE) if SPACE in text else [" " + text]
-        out = []
-        for n, segment in enumerate(segments):
-            chunks = self.chunks.findall(segment.replace(" ", SPACE))
-            first = xxhash.xxh64_intdigest(f"{doc_id}/{n}", self.seed)
-            with np.errstate(over="ignore"):
-                keys = np.arange(len(chunks), dtype=np.uint64) + np.uint64(first)
-                if self.variants:
-                    keys = (keys * np.uint64(GOLDEN) >> np.uint64(32)) % np.uint64(self.variants)
-                takes = self.first_taken(keys)
-            if self.held > self.most:
-                self.held = 0
-                self.kept.clear()
-            kept, found = self.kept, []
-            for k, (taken, chunk) in enumerate(zip(takes, chunks)):
-                whole = kept.get(chunk)
-                if not whole:
-                    if whole is None:  # most chunks are met once
-                        kept[chunk] = ()
-                        self.held += 1
-                        found.append(self._once(chunk, taken, int(keys[k])))
-                        continue
-                    whole = self._whole(chunk)
-                found.append(whole[1] if taken >= whole[0] else self._skipping(whole[2], taken, int(keys[k])))
-            if n:
-                out.append(self.mark)
-            out.append(b"".join(found))
-        return b"".join(out)
+        return self.encode_all([text], [doc_id])[0]
+
+    def encode_all(self, texts: list[str], doc_ids: list[int]) -> list[bytes]:
+        """`encode` of several texts: the agendas of all their words are run together, by numpy."""
+        chunks, keys, ends = [], [], []
+        for text, doc_id in zip(texts, doc_ids):
+            segments = (" " + text).split(SPACE) if text and SPACE in text else [" " + text] if text else []
+            for n, segment in enumerate(segments):
+                if n:
+                    chunks.append("")  # stands for a mark
+                    keys.append(np.zeros(1, dtype=np.uint64))
+                found = self.chunks.findall(segment.replace(" ", SPACE))
+                first = xxhash.xxh64_intdigest(f"{doc_id}/{n}", self.seed)
+                chunks += found
+                keys.append(np.arange(len(found), dtype=np.uint64) + np.uint64(first))
+            ends.append(len(chunks))
+        if not chunks:
+            return [b""] * len(texts)
+        keys = np.concatenate(keys)
+        if self.variants:
+            keys = (keys * np.uint64(GOLDEN) >> np.uint64(32)) % np.uint64(self.variants)
+        distinct = list(dict.fromkeys(chunks))
+        numbers = dict(zip(distinct, range(len(distinct))))
+        codes = np.fromiter(map(numbers.__getitem__, chunks), np.int64, len(chunks))
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        flat, counts, starts, held = [], np.zeros(len(chunks), dtype=np.int64), np.zeros(len(chunks), dtype=np.int64), 0
+
+        def keep(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+            """Ids of rows one after the other are stored; their starts."""
+            nonlocal held
+            flat.append(ids)
+            found = held + np.cumsum(lengths) - lengths
+            held += len(ids)
+            return found
+
+        taken = None if self.never else self.taken_of(keys)
+        matrices, whole, whole_starts = {}, np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
+        candidates, place = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
+        if "" in numbers:
+            mark = np.frombuffer(self.mark, "<u4")
+            whole[numbers[""]], whole_starts[numbers[""]] = len(mark), keep(mark, np.array([len(mark)]))[0]
+        for width, places in self._blocks(distinct):
+            matrices[width] = symbols, parts = self._matrix([distinct[k] for k in places], width)
+            place[places] = np.arange(len(places))
+            left = self._agendas(symbols, parts)
+            candidates[places] = sizes[places] - (left != GONE).sum(axis=1)  # each one takes two symbols together
+            ids, whole[places] = self.merges.spelled(left)
+            whole_starts[places] = keep(ids, whole[places])
+        counts[:], starts[:] = whole[codes], whole_starts[codes]
+        if taken is not None:
+            skips = taken < candidates[codes]
+            classes = np.searchsorted(WIDTHS, sizes)[codes]
+            for width, (symbols, parts) in matrices.items():
+                at = np.flatnonzero(skips & (classes == np.searchsorted(WIDTHS, width)))
+                if len(at):
+                    of = place[codes[at]]
+                    ids, counts[at] = self.merges.spelled(self._agendas(symbols[of], parts[of], taken[at], keys[at]))
+                    starts[at] = keep(ids, counts[at])
+        for k in np.flatnonzero(sizes[codes] > SHORT).tolist():
+            ids = np.frombuffer(self._scalar(chunks[k], NONE if taken is None else int(taken[k]), int(keys[k])), "<u4")
+            counts[k] = len(ids)
+            starts[k] = keep(ids, counts[k:k + 1])[0]
+        totals = np.cumsum(counts)
+        picked = np.repeat(starts - (totals - counts), counts) + np.arange(totals[-1])
+        out = np.concatenate(flat).astype("<u4")[picked].tobytes()
+        bounds = [0, *[int(totals[end - 1]) * 4 if end else 0 for end in ends]]
+        return [out[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def text_blocks(texts: list[str], most: int = 1 << 20) -> Iterator[slice]:
+    """Places of neighbouring texts of about `most` characters together."""
+    start = held = 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= most:
+            yield slice(start, k + 1)
+            start, held = k + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 _MADE: dict[tuple, Encoder] = {}
@@ -316,7 +523,8 @@ def encode(docs: DataFrame, rate: float = 0.1, seed: int = 17, variants: int | N
         made = _MADE[key]
         for batch in batches:
             ids = batch["doc_id"].astype("Int64")
-            yield batch.assign(doc_id=ids, ids=[made.encode(text, -1 if n is pd.NA else int(n)) for n, text in zip(ids, batch["text"])])
+            texts, numbers = batch["text"].tolist(), [-1 if n is pd.NA else int(n) for n in ids]
+            yield batch.assign(doc_id=ids, ids=[found for some in text_blocks(texts) for found in made.encode_all(texts[some], numbers[some])])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, ENCODED)
 

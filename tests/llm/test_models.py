@@ -277,6 +277,29 @@ def test_every_occurrence_is_cut_by_itself(spark):
     assert abs(none / 4000 - 0.9 ** 13) < 0.03
 
 
+@pytest.mark.parametrize("rate,variants", [(0.0, None), (0.1, None), (0.6, None), (0.3, 3)])
+def test_agendas_run_together_are_those_run_alone(rate, variants):
+    made = Encoder(vocabulary("piece_bpe_32k.model"), rate, 17, variants)
+    some = random.Random(4)
+    letters = "etaoinshr THE\u2581\n\u65e5\u672c\u00e9\U0001f600\x01\ufb01-,0"
+    texts = ["", *ODD_TEXTS, "mark \u2581 inside\u2581", "\u2581", "the international law of nations " * 30, "x" * 47 + " " + "the" * 16 + " " + "ab" * 25,
+             *["".join(some.choices(letters, k=some.randrange(1, 400))) for _ in range(60)],
+             *[r for r in ("unbelievable misunderstandings internationally " * 5).split(" ")]]
+    alone = []
+    for doc_id, text in enumerate(texts):
+        out = []
+        for n, segment in enumerate((" " + text).split("\u2581") if text else []):
+            out += [made.mark] * bool(n)
+            first = xxhash.xxh64_intdigest(f"{doc_id}/{n}", 17)
+            for k, chunk in enumerate(made.chunks.findall(segment.replace(" ", "\u2581"))):
+                key = (first + k) % 2 ** 64
+                if variants:
+                    key = (key * 0x9E3779B97F4A7C15 % 2 ** 64 >> 32) % variants
+                out.append(made._once(chunk, made.taken(key, 0), key))
+        alone.append(b"".join(out))
+    assert made.encode_all(texts, list(range(len(texts)))) == alone == [made.encode(t, k) for k, t in enumerate(texts)]
+
+
 # pages
 
 @pytest.mark.parametrize("page,text", [
