@@ -16,7 +16,8 @@ from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -492,16 +493,22 @@ class Encoder:
         return [out[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def text_blocks(texts: list[str], most: int = 1 << 20) -> Iterator[slice]:
-    """Places of neighbouring texts of about `most` characters together."""
-    start = held = 0
-    for k, text in enumerate(texts):
-        held += len(text)
+def blocks(sizes: Iterable[int], most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """(start, number) of neighbouring values of about `most` bytes together."""
+    start = held = k = 0
+    for k, size in enumerate(sizes, 1):
+        held += size
         if held >= most:
-            yield slice(start, k + 1)
-            start, held = k + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+            yield start, k - start
+            start, held = k, 0
+    if start < k:
+        yield start, k - start
+
+
+def _sliced(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces, by the bytes of a column, so that what a worker makes at once stays small."""
+    for start, number in blocks(pc.binary_length(batch.column(column)).to_pylist()):
+        yield batch.slice(start, number)
 
 
 _MADE: dict[tuple, Encoder] = {}
@@ -517,28 +524,27 @@ def encode(docs: DataFrame, rate: float = 0.1, seed: int = 17, variants: int | N
     """
     key = (vocabulary_path or vocabulary("piece_bpe_32k.model"), rate, seed, variants)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _MADE:
             _MADE[key] = Encoder(*key)
         made = _MADE[key]
-        for batch in batches:
-            ids = batch["doc_id"].astype("Int64")
-            texts, numbers = batch["text"].tolist(), [-1 if n is pd.NA else int(n) for n in ids]
-            yield batch.assign(doc_id=ids, ids=[found for some in text_blocks(texts) for found in made.encode_all(texts[some], numbers[some])])
+        for some in (part for batch in batches for part in _sliced(batch, "text")):
+            ids = made.encode_all(some.column("text").to_pylist(), [-1 if n is None else n for n in some.column("doc_id").to_pylist()])
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(ids, pa.binary())], ["doc_id", "text", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInPandas(run, ENCODED)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, ENCODED)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     """`encoded` (doc_id, text, ids) with `decoded`, made from the ids alone."""
     path = vocabulary_path or vocabulary("piece_bpe_32k.model")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _PIECES:
             _PIECES[path] = Pieces(path)
         spelled = _PIECES[path].spelled
-        for batch in batches:
-            texts = [b"".join(map(spelled.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:].decode() for ids in batch["ids"]]
-            yield batch.assign(doc_id=batch["doc_id"].astype("Int64"), decoded=texts)
+        for some in (part for batch in batches for part in _sliced(batch, "ids")):
+            texts = [b"".join(map(spelled.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:].decode() for ids in some.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], ["doc_id", "text", "ids", "decoded"])
 
-    return encoded.mapInPandas(run, ENCODED + ", decoded string")
+    return encoded.mapInArrow(run, ENCODED + ", decoded string")
