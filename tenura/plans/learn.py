@@ -6,6 +6,7 @@ training and prediction, and an unseen one falls into its own bucket.
 
 from __future__ import annotations
 
+import math
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -38,6 +39,8 @@ GBT_MIN_GAIN = 1e-4
 #: One row in so many is held back to stop boosting when its error no longer falls.
 STOP_SHARE = 10
 MISSING_CATEGORY = "missing"
+#: Training rows of a partition, where that makes more partitions than the cores need.
+PARTITION_ROWS = 100_000
 
 
 def split_columns(df: DataFrame, predictors) -> tuple[list[str], list[str]]:
@@ -191,11 +194,19 @@ def select_boosted(data: DataFrame, spec: ProductSpec, settings=tuple(boosting.G
     return Selection(area, asdict(best), metrics, PipelineModel(stages=[*indexers.stages, event]))
 
 
+def in_few_partitions(folded: DataFrame, rows: int) -> DataFrame:
+    """Folded rows in fewer partitions than the session shuffles into: a fit makes hundreds of passes, each with a task for
+    every partition, so there are two for each core, and more only for many rows."""
+    spark = folded.sparkSession
+    needed = max(2 * spark.sparkContext.defaultParallelism, math.ceil(rows / PARTITION_ROWS))
+    return folded.coalesce(needed) if needed < int(spark.conf.get("spark.sql.shuffle.partitions")) else folded
+
+
 def training_frame(dataset: DataFrame, spec: ProductSpec) -> DataFrame:
     """Prepared predictors, label, class weight, fold, and which rows stop the boosting."""
     keys = ["reference_date", *KEYS]
     rows = dataset.select(*dict.fromkeys([*keys, *spec.predictors, spec.label]))
-    folded = stratified_folds(rows, spec.label, keys)
+    folded = in_few_partitions(stratified_folds(rows, spec.label, keys), rows.count())
     stopping = F.pmod(F.xxhash64(F.lit("stopping"), *keys), F.lit(STOP_SHARE)) == 0
     return weighted(prepared(folded, spec.predictors), spec.label, class_share(rows, spec.label)).withColumn("stopping", stopping)
 

@@ -161,3 +161,20 @@ def test_search_and_stored_model(spark, tmp_path):
     scored = learn.score(model, dataset, Spec.predictors)
     assert scored.count() == 600 and scored.where("health_score NOT BETWEEN 0 AND 100").isEmpty()
     assert auc_by_rank(scored.withColumn("g", F.lit(1)), "event_probability", "churned", ["g"]).first()["auc"] > 0.7
+
+
+def test_training_rows_come_in_few_partitions(spark):
+    """Two partitions for each core, however many the session shuffles into; more for many rows; the folds are the same."""
+    rows = spark.range(400).selectExpr("id", "CAST(id % 7 = 0 AS DOUBLE) AS label")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        folded = learn.stratified_folds(rows, "label", ["id"])
+        few = learn.in_few_partitions(folded, 400).persist()
+        cores = spark.sparkContext.defaultParallelism
+        assert few.rdd.getNumPartitions() == 2 * cores
+        assert sorted(few.collect()) == sorted(folded.collect())
+        assert learn.in_few_partitions(folded, 49 * learn.PARTITION_ROWS).persist().rdd.getNumPartitions() == 49
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.catalog.clearCache()
